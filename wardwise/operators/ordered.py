@@ -132,7 +132,13 @@ def rolling_readmission_rate(df: DataFrame, value: str = "readmitted_code",
     feeds_next = F.col("global_index") % block_rows >= block_rows - (rows - 1)
     copies = F.when(feeds_next, F.array(block, block + 1)).otherwise(F.array(block))
     spread = indexed.withColumn("_block", F.explode(copies))
-    w = (Window.partitionBy("_block").orderBy("global_index")
-         .rowsBetween(-(rows - 1), Window.currentRow))
-    return (spread.withColumn("rolling_rate", F.avg(value).over(w))
-            .filter(F.col("_block") == block).drop("_block"))
+    w = Window.partitionBy("_block").orderBy("global_index")
+    through = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Running totals and the totals ``rows`` before, instead of summing every frame anew.
+    spread = (spread
+              .withColumn("_sum", F.sum(F.coalesce(F.col(value), F.lit(0))).over(through))
+              .withColumn("_n", F.count(value).over(through)))
+    inside = lambda c: F.col(c) - F.coalesce(F.lag(c, rows).over(w), F.lit(0))
+    return (spread
+            .withColumn("rolling_rate", F.try_divide(inside("_sum").cast("double"), inside("_n")))
+            .filter(F.col("_block") == block).drop("_block", "_sum", "_n"))

@@ -127,7 +127,7 @@ def crosstab(df: DataFrame, rows: str | Column, columns: str | Column,
     named = df.select((F.col(rows) if isinstance(rows, str) else rows).alias("row"),
                       (F.col(columns) if isinstance(columns, str) else columns).alias("col"))
     return (named.filter("row IS NOT NULL AND col IS NOT NULL")
-            .groupBy("row").pivot("col", values).agg(F.count("*")).fillna(0))
+            .groupBy("row").pivot("col", values).agg(F.count(F.lit(1))).fillna(0))
 
 
 def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

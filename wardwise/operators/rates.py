@@ -103,8 +103,8 @@ def rate_by_age_gender_wide(df: DataFrame, genders: list[str] | None = None) ->
     """The same shares with one column per gender and class."""
     long = rate_by_age_gender(df)
     names = genders and [f"{g} {c}" for g in genders for c in CLASSES]
-    return (long.groupBy("age_group")
-            .pivot(F.concat_ws(" ", "gender", "readmitted"), names).agg(F.max("percentage"))
+    cells = long.withColumn("cell", F.concat_ws(" ", "gender", "readmitted"))
+    return (cells.groupBy("age_group").pivot("cell", names).agg(F.max("percentage"))
             .orderBy("age_group"))
 
 

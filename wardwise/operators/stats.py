@@ -16,24 +16,44 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
                        drop=("encounter_id", "patient_nbr", "rolling_avg")) -> DataFrame:
     """Pearson correlation of every pair of varying numeric columns, long and symmetric.
 
-    All pairs come from one aggregation over the rows where both values are present.
+    A first pass finds constant columns, nulls and means (one row). The second takes all products
+    about the means in one aggregation: plain sums stay in generated code where dozens of ``corr``
+    aggregates do not. A pair with nulls gets its own sums over the rows where both are present.
     """
     names = [c for c in (columns or numeric_columns(df)) if c not in drop]
-    pairs = list(combinations(range(len(names)), 2))
-    double = {i: C.col(n).cast("double") for i, n in enumerate(names)}
-    row = df.agg(
-        *[F.corr(double[i], double[j]).alias(f"r_{i}_{j}") for i, j in pairs],
-        *[(F.min(double[i]) < F.max(double[i])).alias(f"v_{i}") for i in double])
-    varies = lambda i: F.coalesce(F.col(f"v_{i}"), F.lit(False))
-
-    def cell(i, j, value):
-        return F.struct(F.lit(names[i]).alias("feature_a"), F.lit(names[j]).alias("feature_b"),
-                        F.when(varies(i) & varies(j), F.nanvl(value, F.lit(None))).alias("corr"))
-
-    cells = [cell(i, i, F.lit(1.0)) for i in double]
-    for i, j in pairs:
-        r = F.col(f"r_{i}_{j}")
-        cells += [cell(i, j, r), cell(j, i, r)]
+    x = {n: C.col(n).cast("double") for n in names}
+    first = df.agg(
+        *[F.struct(F.avg(x[n]).alias("mean"), (F.min(x[n]) < F.max(x[n])).alias("varies"),
+                   F.count_if(C.col(n).isNull()).alias("nulls")).alias(n) for n in names]).first()
+    names = [n for n in names if first[n]["varies"]]
+    off = {n: x[n] - F.lit(first[n]["mean"]) for n in names}
+    gaps = {n for n in names if first[n]["nulls"]}
+    parts = {f"s_{n}": F.sum(off[n]) for n in names} | {
+        f"q_{n}": F.sum(off[n] * off[n]) for n in names}
+    picked = {}
+    for a, b in combinations(names, 2):
+        key = f"{a}|{b}"
+        parts[f"p_{key}"] = F.sum(off[a] * off[b])
+        if a in gaps or b in gaps:
+            for tag, mine, other in (("a", a, b), ("b", b, a)):
+                seen = F.when(C.col(other).isNotNull(), off[mine])
+                parts[f"s{tag}_{key}"], parts[f"q{tag}_{key}"] = F.sum(seen), F.sum(seen * seen)
+            parts[f"n_{key}"] = F.count(off[a] * off[b])
+            picked[a, b] = [f"{t}_{key}" for t in ("n", "sa", "sb", "qa", "qb", "p")]
+        else:
+            picked[a, b] = ["n", f"s_{a}", f"s_{b}", f"q_{a}", f"q_{b}", f"p_{key}"]
+    row = df.agg(F.count("*").alias("n"), *[e.alias(k) for k, e in parts.items()])
+
+    def cell(a, b, value):
+        return F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                        value.alias("corr"))
+
+    cells = [cell(n, n, F.lit(1.0)) for n in names]
+    for (a, b), sums in picked.items():
+        n, sa, sb, qa, qb, p = [C.col(k) for k in sums]
+        scale = F.sqrt(n * qa - sa * sa) * F.sqrt(n * qb - sb * sb)
+        r = F.try_divide(n * p - sa * sb, scale)
+        cells += [cell(a, b, r), cell(b, a, r)]
     return (row.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
             .filter("corr IS NOT NULL"))
 

@@ -25,4 +25,5 @@ def load() -> None:
     from wardwise.plans import (  # noqa: F401
         clinical_queries,
         suite_queries,
+        table_queries,
     )
