@@ -44,18 +44,20 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
             picked[a, b] = ["n", f"s_{a}", f"s_{b}", f"q_{a}", f"q_{b}", f"p_{key}"]
     row = df.agg(F.count("*").alias("n"), *[e.alias(k) for k, e in parts.items()])
 
-    def cell(a, b, value):
-        return F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                        value.alias("corr"))
-
-    cells = [cell(n, n, F.lit(1.0)) for n in names]
-    for (a, b), sums in picked.items():
+    def pearson_of(sums):
         n, sa, sb, qa, qb, p = [C.col(k) for k in sums]
-        scale = F.sqrt(n * qa - sa * sa) * F.sqrt(n * qb - sb * sb)
-        r = F.try_divide(n * p - sa * sb, scale)
-        cells += [cell(a, b, r), cell(b, a, r)]
-    return (row.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
-            .filter("corr IS NOT NULL"))
+        return F.try_divide(n * p - sa * sb, F.sqrt(n * qa - sa * sa) * F.sqrt(n * qb - sb * sb))
+
+    found = row.select(*[F.lit(1.0).alias(f"{n}|{n}") for n in names],
+                       *[pearson_of(sums).alias(f"{a}|{b}") for (a, b), sums in picked.items()])
+    pair = F.split("pair", r"\|")
+    one, two = pair[0], pair[1]
+    way = lambda a, b: F.struct(a.alias("feature_a"), b.alias("feature_b"))
+    ways = F.when(one == two, F.array(way(one, two))).otherwise(
+        F.array(way(one, two), way(two, one)))
+    return (found.unpivot([], [C.col(c) for c in found.columns], "pair", "corr")
+            .filter("corr IS NOT NULL")
+            .select("corr", F.explode(ways).alias("_w")).select("_w.*", "corr"))
 
 
 def pearson(df: DataFrame, a: Column, b: Column) -> DataFrame:
