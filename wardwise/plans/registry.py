@@ -24,6 +24,8 @@ def load() -> None:
     """Import every module that registers queries."""
     from wardwise.plans import (  # noqa: F401
         clinical_queries,
+        model_queries,
+        source_queries,
         suite_queries,
         table_queries,
     )
