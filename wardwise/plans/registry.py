@@ -23,6 +23,7 @@ def register(name: str, build: Callable[[Clinic], DataFrame], sql: str | None =
 def load() -> None:
     """Import every module that registers queries."""
     from wardwise.plans import (  # noqa: F401
+        balance_queries,
         clinical_queries,
         model_queries,
         source_queries,
