@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from wardwise.functions import clinical as C
 from wardwise.operators.ordered import HOT_ROWS, running_sums
 
-# Whole part of the block number of a value; fractions share the block of 1/1024.
-_RESOLUTION = 1024
+# Values keep their order on a logarithmic scale: small fractions and 64-bit ids alike fall into
+# many ranking blocks, and all super blocks of doubles together are a few thousand.
+_LOG_SCALE = float(1 << 45)
+
+
+def _block_number(value: Column) -> Column:
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_SCALE).cast("bigint")
 
 
 def value_counts_long(df: DataFrame, columns: list[str], by: list[Column] | None = None) -> DataFrame:
@@ -27,9 +32,8 @@ def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n"
                         hot_rows: int = HOT_ROWS) -> DataFrame:
     """Quantiles (keys..., prob, value) of weighted values: linear between closest ranks."""
     keys = [c for c in counts.columns if c not in ("value", weight)]
-    block = F.floor(F.col("value") * _RESOLUTION).cast("bigint")
-    ranked = running_sums(counts, keys, [F.col("value")], block, {"_through": F.col(weight)},
-                          hot_rows)
+    ranked = running_sums(counts, keys, [F.col("value")], _block_number(F.col("value")),
+                          {"_through": F.col(weight)}, hot_rows)
     totals = counts.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
         F.sum(weight).alias("_total"))
     same = [ranked[k].eqNullSafe(totals[f"{k}_t"]) for k in keys]

@@ -25,6 +25,7 @@ def load() -> None:
     from wardwise.plans import (  # noqa: F401
         balance_queries,
         clinical_queries,
+        learning_queries,
         model_queries,
         source_queries,
         suite_queries,
