@@ -25,11 +25,10 @@ def local_session(cores: int | str = 8, app: str = "wardwise") -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        jvm_dir = spark.sparkContext.getCheckpointDir()
-        folder = jvm_dir or tempfile.mkdtemp(prefix="wardwise-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wardwise-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
