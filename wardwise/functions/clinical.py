@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from wardwise import constants as K
 
-_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-
-
 def col(name: str) -> Column:
     """Column by exact name; drug names contain hyphens."""
     return F.col(f"`{name}`")
@@ -43,16 +40,23 @@ def any_diabetes(*codes: Column) -> Column:
     return reduce(lambda a, b: a | b, [is_diabetes(c) for c in codes])
 
 
-def icd9_category(code: Column, diabetes_closed: bool = True) -> Column:
-    """One of nine diagnosis groups; anything that is not a plain number is ``other``."""
-    text = F.trim(code)
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+def plain_number(text: Column) -> Column:
+    """Number of a text, null where it is none; a cast alone would take 250d or 0x1p8 as well."""
+    return F.translate(F.trim(text), "dDfFxX", "??????").try_cast("double")
 
-    def inside(name, low, high):
-        upper = number < high if name == "diabetes" and not diabetes_closed else number <= high
-        return (number >= low) & upper
 
-    return case([(inside(n, lo, hi), n) for n, lo, hi in K.ICD9_RANGES], "other")
+def icd9_category(code: Column, diabetes_closed: bool = True) -> Column:
+    """One of nine diagnosis groups; anything that is not a plain number is ``other``.
+
+    The ranges do not overlap, so they are walked from the top with one comparison per edge: the
+    number is the common part of all conditions and is taken once, and the code stays short.
+    """
+    number = plain_number(code)
+    steps = []
+    for name, low, high in sorted(K.ICD9_RANGES, key=lambda r: -r[1]):
+        above = number >= high if name == "diabetes" and not diabetes_closed else number > high
+        steps += [(above, "other"), (number >= low, name)]
+    return case(steps, "other")
 
 
 def age_midpoint(age: Column, compat: bool = False) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardwise.operators.ordered import HOT_ROWS, running_sums
+from wardwise.session import materialize
 
 # Probabilities become whole numbers of 2^-40 for the block computation.
 _PROBABILITY_SCALE = float(1 << 40)
@@ -19,9 +20,10 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def _score_counts(scored: DataFrame, by: list[str], label: str, probability: str) -> DataFrame:
-    """Positives and negatives per distinct probability: the rows reduce before the shuffle."""
-    return scored.groupBy(*by, F.col(probability).alias("p")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    """Positives and negatives per distinct probability, written once for the passes over them."""
+    return materialize(scored.groupBy(*by, F.col(probability).alias("p")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")),
+        "score-counts")
 
 
 def exact_auc(scored: DataFrame, by: list[str], label: str = "label",
@@ -61,7 +63,7 @@ def confusion_matrix(scored: DataFrame, by: list[str] | None = None, label: str
 
 def class_report(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class, with macro and weighted means and accuracy."""
-    cells = scored.groupBy(label, prediction).agg(F.count("*").alias("n"))
+    cells = materialize(scored.groupBy(label, prediction).agg(F.count("*").alias("n")), "cells")
     actual = cells.groupBy(F.col(label).cast("string").alias("class")).agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0)).alias("hits"))

@@ -1,9 +1,10 @@
 """Running and rolling computations that stay bounded per task.
 
-A window over one key puts all rows of the key into one task. Here a key that holds more rows than
-``hot_rows`` (and every global computation) is cut into value blocks of the ordering number: the
-totals of the earlier blocks are carried in, and the window runs inside one block only. Totals are
-summed in two levels, so no step sees more rows than the number of blocks of one super block.
+A window over one key puts all rows of the key into one task. The rows per key are therefore counted
+first, reading only the key columns. Without a key above ``hot_rows`` the plain window runs: one
+shuffle. A hot key (and every global computation) is cut into value blocks of the ordering number:
+the totals of the earlier blocks are carried in, and the window runs inside one block only. Totals
+are summed in two levels, so no step sees more rows than the number of blocks of one super block.
 """
 
 from __future__ import annotations
@@ -14,8 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardwise.session import materialize
+
 HOT_ROWS = 1_000_000
 SHIFTS = (20, 40)
+_UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
+_BEFORE = (Window.unboundedPreceding, -1)
 
 
 def _same(left: DataFrame, right: DataFrame, pairs) -> Column:
@@ -36,42 +41,50 @@ def running_sums(
     ``block_of`` is a whole number that never falls along ``order``; rows with equal high bits
     share a block. Without keys the whole table is one run.
     """
-    if keys:
-        # A key is listed only with more than hot_rows rows, so the list holds at most
-        # rows / hot_rows entries: small enough to broadcast by construction.
-        names = [f"_k{i}" for i in range(len(keys))]
-        hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-               .agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-               .select(*names, F.lit(True).alias("_hot")))
-        tagged = df.join(F.broadcast(hot), _same(df, hot, zip(keys, names)), "left").drop(*names)
-    else:
-        tagged = df.withColumn("_hot", F.lit(True))
+    tagged = _tag_hot(df, keys, hot_rows)
+    if tagged is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_UP_TO_HERE)
+        return df.select("*", *[F.sum(expr).over(w).alias(n) for n, expr in measures.items()])
     tagged = (tagged
               .withColumn("_low", F.when(F.col("_hot"), F.shiftright(block_of, shifts[0])))
               .withColumn("_high", F.when(F.col("_hot"), F.shiftright(block_of, shifts[1]))))
-
-    carry = _carry(tagged.filter("_hot"), keys, measures)
     part = [*keys, "_high", "_low"]
+    carry = _carry(tagged.filter("_hot"), keys, measures)
     joined = tagged.join(carry, _same(tagged, carry, [(c, f"{c}_c") for c in part]), "left")
     inside = (Window.partitionBy(*[tagged[c] for c in part]).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = [tagged[c] for c in df.columns]
+              .rowsBetween(*_UP_TO_HERE))
     return joined.select(
-        *kept,
+        *[tagged[c] for c in df.columns],
         *[(F.sum(expr).over(inside) + F.coalesce(F.col(f"_carry_{name}"), F.lit(0))).alias(name)
           for name, expr in measures.items()],
     )
 
 
+def _tag_hot(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """Rows with ``_hot`` where their key is hot; None where no key is."""
+    if not keys:
+        return df.withColumn("_hot", F.lit(True))
+    names = [f"_k{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+           .agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+           .select(*names, F.lit(True).alias("_hot")))
+    if hot.isEmpty():
+        return None
+    # A listed key has more than hot_rows rows, so there are at most rows / hot_rows of them:
+    # small enough to broadcast by construction.
+    hot = materialize(hot, "hot-keys")
+    return df.join(F.broadcast(hot), _same(df, hot, zip(keys, names)), "left").drop(*names)
+
+
 def _carry(rows: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
-    """Totals of all earlier blocks, per block."""
-    before = (Window.unboundedPreceding, -1)
-    low = rows.groupBy(*keys, "_high", "_low").agg(
-        *[F.sum(expr).alias(f"_t_{name}") for name, expr in measures.items()])
+    """Totals of all earlier blocks, per block. The block totals are written once, so that both
+    levels, and Spark's choice of the join, rest on the small table."""
+    low = materialize(rows.groupBy(*keys, "_high", "_low").agg(
+        *[F.sum(expr).alias(f"_t_{name}") for name, expr in measures.items()]), "block-totals")
     high = low.groupBy(*keys, "_high").agg(
         *[F.sum(f"_t_{name}").alias(f"_t_{name}") for name in measures])
-    in_high = Window.partitionBy(*keys, "_high").orderBy("_low").rowsBetween(*before)
-    in_key = Window.partitionBy(*keys).orderBy("_high").rowsBetween(*before)
+    in_high = Window.partitionBy(*keys, "_high").orderBy("_low").rowsBetween(*_BEFORE)
+    in_key = Window.partitionBy(*keys).orderBy("_high").rowsBetween(*_BEFORE)
     low = low.select(
         *[F.col(k).alias(f"{k}_c") for k in keys],
         F.col("_high").alias("_high_c"), F.col("_low").alias("_low_c"),

@@ -11,6 +11,7 @@ from wardwise import constants as K
 from wardwise.functions import clinical as C
 from wardwise.operators.cleaning import numeric_columns, replace_sentinel
 from wardwise.operators.quantiles import quantiles_of_counts, value_counts_long
+from wardwise.session import materialize
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -101,7 +102,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
 
     Returns (column, bin, low, high, n), bins numbered from zero, the last one closed.
     """
-    return histogram_of_counts(value_counts_long(df, columns), bins)
+    return histogram_of_counts(materialize(value_counts_long(df, columns), "value-counts"), bins)
 
 
 def histogram_of_counts(counts: DataFrame, bins: int) -> DataFrame:
@@ -132,7 +133,7 @@ def crosstab(df: DataFrame, rows: str | Column, columns: str | Column,
 
 def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max per numeric column."""
-    counts = value_counts_long(df, columns or numeric_columns(df))
+    counts = materialize(value_counts_long(df, columns or numeric_columns(df)), "value-counts")
     v, n = F.col("value"), F.col("n")
     total = F.sum(n)
     basic = counts.groupBy("column").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardwise import constants as K
 from wardwise.functions import clinical as C
+from wardwise.session import materialize
 
 
 def _null_counts(df: DataFrame) -> list:
@@ -21,10 +22,10 @@ def validate_patients(df: DataFrame) -> DataFrame:
     """
     bad = ~F.coalesce(F.col("readmitted").isin(*K.READMITTED_VALUES), F.lit(False))
     value = F.when(bad, F.coalesce(F.col("readmitted"), F.lit("(null)")))
-    per_value = df.groupBy(value.alias("_bad")).agg(
+    per_value = materialize(df.groupBy(value.alias("_bad")).agg(
         F.count("*").alias("_n"), *_null_counts(df),
         *[agg(c).alias(f"{word}_{c}") for c in ("age", "time_in_hospital")
-          for word, agg in (("min", F.min), ("max", F.max))])
+          for word, agg in (("min", F.min), ("max", F.max))]), "values")
     # per_value has one row for every valid row together and one per invalid value
     first = (per_value.filter("_bad IS NOT NULL").orderBy("_bad").limit(10)
              .agg(F.array_sort(F.collect_list("_bad")).alias("v")))

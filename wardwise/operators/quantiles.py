@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardwise.functions import clinical as C
 from wardwise.operators.ordered import HOT_ROWS, running_sums
+from wardwise.session import materialize
 
 # Values keep their order on a logarithmic scale: small fractions and 64-bit ids alike fall into
 # many ranking blocks, and all super blocks of doubles together are a few thousand.
@@ -30,7 +31,10 @@ def value_counts_long(df: DataFrame, columns: list[str], by: list[Column] | None
 
 def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n",
                         hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Quantiles (keys..., prob, value) of weighted values: linear between closest ranks."""
+    """Quantiles (keys..., prob, value) of weighted values: linear between closest ranks.
+
+    The counts are read several times, so pass a written or cheap table.
+    """
     keys = [c for c in counts.columns if c not in ("value", weight)]
     ranked = running_sums(counts, keys, [F.col("value")], _block_number(F.col("value")),
                           {"_through": F.col(weight)}, hot_rows)
@@ -57,4 +61,5 @@ def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n"
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     by: list[Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows (by..., column, prob, value)."""
-    return quantiles_of_counts(value_counts_long(df, columns, by), probs, hot_rows=hot_rows)
+    counts = materialize(value_counts_long(df, columns, by), "value-counts")
+    return quantiles_of_counts(counts, probs, hot_rows=hot_rows)

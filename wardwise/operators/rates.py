@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wardwise import constants as K
 from wardwise.functions import clinical as C
 from wardwise.operators.quantiles import quantiles_of_counts
+from wardwise.session import materialize
 
 CLASSES = ["<30", ">30"]
 
@@ -54,9 +55,9 @@ def stay_quartiles_by_age_gender(df: DataFrame, stay: str = "time_in_hospital",
     """
     keys = ["age_group", "gender"]
     rows = _grouped(df, age_group=_age_group(df)).filter("gender IS NOT NULL")
-    counts = (rows.filter(F.col(stay).isNotNull())
-              .groupBy(*keys, F.col(stay).cast("double").alias("value"))
-              .agg(F.count("*").alias("n")))
+    counts = materialize(rows.filter(F.col(stay).isNotNull())
+                         .groupBy(*keys, F.col(stay).cast("double").alias("value"))
+                         .agg(F.count("*").alias("n")), "stays")
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
     if approx:
         box = rows.groupBy(*keys).agg(
@@ -182,13 +183,20 @@ def rate_by_discharge(df: DataFrame) -> DataFrame:
             .orderBy("discharge_disposition_desc"))
 
 
+def _long(df: DataFrame, columns: dict[str, Column], name: str, value: str) -> DataFrame:
+    """(name, value) rows of some expressions; they are computed once, before the rows multiply."""
+    wide = df.select(*[e.alias(n) for n, e in columns.items()])
+    return wide.unpivot([], list(columns), name, value)
+
+
+def _categories(diabetes_closed: bool, suffix: str = "") -> dict[str, Column]:
+    return {f"{d}{suffix}": C.icd9_category(F.col(d), diabetes_closed) for d in K.DIAGNOSIS_COLUMNS}
+
+
 def icd9_category_counts(df: DataFrame, diabetes_closed: bool = False) -> DataFrame:
     """Counts of the nine groups in each diagnosis column, zeros included."""
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(d).alias("diagnosis"),
-                 C.icd9_category(F.col(d), diabetes_closed).alias("category"))
-        for d in K.DIAGNOSIS_COLUMNS]))
-    per_column = (df.select(cells.alias("_c")).select("_c.*").groupBy("diagnosis")
+    per_column = (_long(df, _categories(diabetes_closed), "diagnosis", "category")
+                  .groupBy("diagnosis")
                   .agg(*[F.count_if(F.col("category") == name).alias(name)
                          for name in K.ICD9_CATEGORY_ORDER]))
     return per_column.unpivot(["diagnosis"], K.ICD9_CATEGORY_ORDER, "category", "n")
@@ -196,14 +204,11 @@ def icd9_category_counts(df: DataFrame, diabetes_closed: bool = False) -> DataFr
 
 def column_modes(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Most frequent value of each expression, ties to the smallest."""
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), e.alias("value"))
-                                for n, e in columns.items()]))
-    return (df.select(cells.alias("_c")).select("_c.*").filter("value IS NOT NULL")
+    return (_long(df, columns, "column", "value").filter("value IS NOT NULL")
             .groupBy("column", "value").agg(F.count("*").alias("n"))
             .groupBy("column").agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("_top"))
             .select("column", F.col("_top.value").alias("mode")))
 
 
 def category_modes(df: DataFrame, diabetes_closed: bool = False) -> DataFrame:
-    return column_modes(df, {f"{d}_category": C.icd9_category(F.col(d), diabetes_closed)
-                             for d in K.DIAGNOSIS_COLUMNS})
+    return column_modes(df, _categories(diabetes_closed, "_category"))

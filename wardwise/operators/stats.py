@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardwise.functions import clinical as C
 from wardwise.operators.cleaning import numeric_columns
+from wardwise.session import materialize
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -67,10 +68,12 @@ def pearson(df: DataFrame, a: Column, b: Column) -> DataFrame:
 def association(df: DataFrame, a: Column, b: Column) -> DataFrame:
     """Chi-square with Yates correction for two by two tables, degrees of freedom, Cramér's V.
 
-    The sum over all cells, empty ones too, follows from the filled cells and the margins.
+    The sum over all cells, empty ones too, follows from the filled cells and the margins. The
+    cells are written once; the data is read in one pass.
     """
-    cells = (df.select(a.alias("a"), b.alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-             .groupBy("a", "b").agg(F.count("*").cast("double").alias("o")))
+    cells = materialize(
+        df.select(a.alias("a"), b.alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+        .groupBy("a", "b").agg(F.count("*").cast("double").alias("o")), "cells")
     margin = lambda k: cells.groupBy(F.col(k).alias(f"{k}_k")).agg(F.sum("o").alias(f"{k}_n"))  # noqa: E731,E501
     rows, cols = margin("a"), margin("b")
     summary = lambda m, k: m.agg(

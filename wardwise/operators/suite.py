@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwise.functions import clinical as C
+from wardwise.session import materialize
 
 
 def up(name: str) -> Column:
@@ -199,12 +200,12 @@ def model_performance_summary(results: DataFrame) -> DataFrame:
 def data_summary(patients: DataFrame) -> DataFrame:
     """Counts, distributions and age statistics as one long table (section, item, value).
 
-    One pass groups by the two small categories; all sections follow from its result.
+    One pass groups by the two small categories; all sections follow from its written result.
     """
-    cells = patients.groupBy("readmitted", "gender").agg(
+    cells = materialize(patients.groupBy("readmitted", "gender").agg(
         F.count("*").alias("n"), F.min("age").alias("low"), F.max("age").alias("high"),
         F.count("age").alias("known"), F.sum("age").cast("double").alias("s1"),
-        F.sum(F.col("age").cast("double") * F.col("age")).alias("s2"))
+        F.sum(F.col("age").cast("double") * F.col("age")).alias("s2")), "summary")
     text = lambda name: F.coalesce(F.col(name), F.lit("(null)"))
 
     def section(name: str, key: Column) -> DataFrame:
