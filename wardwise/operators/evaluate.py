@@ -97,7 +97,7 @@ def pr_curve(scored: DataFrame, by: list[str] | None = None, label: str = "label
     run = running_sums(counts, by, [F.col("p").desc()], block,
                        {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows)
     if by:
-        whole = counts.groupBy(*by).agg(F.sum("pos").alias("_all"))
+        whole = materialize(counts.groupBy(*by).agg(F.sum("pos").alias("_all")), "totals")
         run = run.join(whole, by)
     else:
         run = run.withColumn("_all", counts.agg(F.sum("pos")).scalar())

@@ -3,6 +3,7 @@
 Equal points are first merged into one weighted point. Points are then ordered along a space-filling
 key and cut into blocks of at most ``block_rows``. Two blocks are compared only if their bounding
 boxes are within the search radius; which ones may be is found by an equi-join on coarse grid cells.
+Key and grid use quantiles as edges, so that outliers do not push all points into one cell.
 A task sees two blocks at a time and returns counts or the nearest k, never the pairs.
 """
 
@@ -22,7 +23,7 @@ from wardwise.session import materialize
 
 BLOCK_ROWS = 2048
 _KEY_DIMS, _KEY_BITS = 6, 5
-_GRID = 64
+_GRID_DIMS, _GRID = 2, 64
 
 
 def _distinct_points(df: DataFrame, features: list[str], key: str) -> DataFrame:
@@ -32,19 +33,36 @@ def _distinct_points(df: DataFrame, features: list[str], key: str) -> DataFrame:
     return df.groupBy(x.alias("x")).agg(F.min(key).alias("pid"), F.count("*").alias("w"))
 
 
-def _blocked(points: DataFrame, dims: int, block_rows: int) -> tuple[DataFrame, list[tuple]]:
-    """Points with their block, written once, and (dimension, low, high) of the widest dimensions."""
+def _cell(value: Column, edges: list[float]) -> Column:
+    """Number of edges at or below the value, as a binary CASE."""
+    def half(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value < F.lit(edges[mid]), half(lo, mid)).otherwise(half(mid + 1, hi))
+    return half(0, len(edges)).cast("bigint")
+
+
+def _edges(points: DataFrame, dims: int) -> list[tuple[int, list[float], list[float]]]:
+    """(dimension, key edges, grid edges) of the widest dimensions; sketches are enough for edges."""
     at = lambda i: F.col("x")[i]
-    spans = points.agg(*[F.struct(F.min(at(i)).alias("lo"), F.max(at(i)).alias("hi"),
-                                  F.var_pop(at(i)).alias("v")).alias(f"d{i}")
-                         for i in range(dims)]).first()
-    wide = sorted(range(dims), key=lambda i: -(spans[f"d{i}"]["v"] or 0.0))
-    bounds = [(i, spans[f"d{i}"]["lo"], spans[f"d{i}"]["hi"]) for i in wide]
-    places = []
-    for i, lo, hi in bounds[:_KEY_DIMS]:
-        step = (hi - lo) / (1 << _KEY_BITS) if lo is not None and hi > lo else 1.0
-        places.append(F.least(F.floor((at(i) - F.lit(lo)) / F.lit(step)),
-                              F.lit((1 << _KEY_BITS) - 1)).cast("bigint"))
+    spread = points.agg(*[F.var_pop(at(i)).alias(f"d{i}") for i in range(dims)]).first()
+    wide = sorted(range(dims), key=lambda i: -(spread[i] or 0.0))[:_KEY_DIMS]
+    steps = [n / _GRID for n in range(1, _GRID)]
+    cuts = points.agg(*[F.percentile_approx(at(i), steps, 1000).alias(f"d{i}") for i in wide]).first()
+    out = []
+    for n, i in enumerate(wide):
+        fine = cuts[n] or []
+        out.append((i, sorted(set(fine[_GRID // (1 << _KEY_BITS) - 1::_GRID >> _KEY_BITS])),
+                    sorted(set(fine))))
+    return out
+
+
+def _blocked(points: DataFrame, dims: int, block_rows: int) -> tuple[DataFrame, list[tuple]]:
+    """Points with their block, written once, and the edges of the widest dimensions."""
+    points = materialize(points, "points")
+    edges = _edges(points, dims)
+    places = [_cell(F.col("x")[i], coarse) for i, coarse, _ in edges]
     key: Column = F.lit(0).cast("bigint")
     for bit in range(_KEY_BITS - 1, -1, -1):
         for p in places:
@@ -55,27 +73,27 @@ def _blocked(points: DataFrame, dims: int, block_rows: int) -> tuple[DataFrame,
     ranked = running_sums(keyed, [], [F.col("_o"), F.col("pid")], F.col("_o"),
                           {"_r": F.lit(1)}, shifts=(10, 30))
     out = ranked.select("pid", "w", "x", F.floor((F.col("_r") - 1) / block_rows).alias("block"))
-    return materialize(out, "blocks"), bounds
+    return materialize(out, "blocks"), edges
 
 
 def _boxes(blocks: DataFrame, dims: int) -> DataFrame:
     return blocks.groupBy("block").agg(
         F.array(*[F.min(F.col("x")[i]) for i in range(dims)]).alias("lo"),
-        F.array(*[F.max(F.col("x")[i]) for i in range(dims)]).alias("hi"))
+        F.array(*[F.max(F.col("x")[i]) for i in range(dims)]).alias("hi"),
+        F.sum("w").alias("weight"))
 
 
-def _block_pairs(boxes: DataFrame, bounds: list[tuple]) -> DataFrame:
+def _block_pairs(boxes: DataFrame, edges: list[tuple]) -> DataFrame:
     """(a, b): blocks b that may hold a point within the ``radius`` of a point of block a."""
+    grid = [(i, fine) for i, _, fine in edges[:_GRID_DIMS]]
+
     def cells(df, grow):
-        for n, (i, lo, hi) in enumerate(bounds[:2]):
-            step = (hi - lo) / _GRID if hi > lo else 1.0
-            edge = lambda c: F.greatest(F.lit(0), F.least(F.lit(_GRID - 1), F.floor(
-                F.greatest(F.lit(-1.0), F.least(F.lit(_GRID + 1.0), (c - F.lit(lo)) / F.lit(step))))))
+        for n, (i, fine) in enumerate(grid):
             df = df.withColumn(f"c{n}", F.explode(F.sequence(
-                edge(F.col("lo")[i] - grow), edge(F.col("hi")[i] + grow))))
+                _cell(F.col("lo")[i] - grow, fine), _cell(F.col("hi")[i] + grow, fine))))
         return df
 
-    on = [f"c{n}" for n in range(len(bounds[:2]))]
+    on = [f"c{n}" for n in range(len(grid))]
     left = cells(boxes, F.col("radius")).select(
         F.col("block").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), "radius", *on)
     right = cells(boxes, F.lit(0.0)).select(
@@ -138,7 +156,7 @@ def nearest(df: DataFrame, features: list[str], key: str, k: int,
     """Blocked distinct points, and (pid, place, nid, w): their k nearest points, self included
     through its other copies. Ties go to the smaller id."""
     dims = len(features)
-    blocks, bounds = _blocked(_distinct_points(df, features, key), dims, block_rows)
+    blocks, edges = _blocked(_distinct_points(df, features, key), dims, block_rows)
     schema = "pid BIGINT, nid BIGINT, w BIGINT, d2 DOUBLE"
     kernel = _nearest_kernel(k)
     # The k-th distance inside the own block bounds the search radius of the block.
@@ -148,7 +166,7 @@ def nearest(df: DataFrame, features: list[str], key: str, k: int,
         F.when(F.count("*") >= k, F.sqrt(F.max("d2"))).otherwise(float("inf")).alias("r"))
     radius = (blocks.select("pid", "block").join(inside, "pid", "left")
               .groupBy("block").agg(F.max(F.coalesce("r", F.lit(float("inf")))).alias("radius")))
-    pairs = _block_pairs(_boxes(blocks, dims).join(radius, "block"), bounds)
+    pairs = _block_pairs(_boxes(blocks, dims).join(radius, "block"), edges)
     found = _compare(blocks, blocks, materialize(pairs, "pairs"), kernel, schema)
     # top-k rank: cut per map task before the shuffle
     best = found.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= k)
@@ -224,13 +242,22 @@ def density_noise(df: DataFrame, features: list[str], key: str, eps: float = 0.5
     core point within ``eps``.
     """
     dims = len(features)
-    blocks, bounds = _blocked(_distinct_points(df, features, key), dims, block_rows)
-    boxes = _boxes(blocks, dims).withColumn("radius", F.lit(float(eps)))
-    pairs = materialize(_block_pairs(boxes, bounds), "pairs")
-    counted = _compare(blocks, blocks, pairs, _count_kernel(eps), "pid BIGINT, n BIGINT")
+    blocks, edges = _blocked(_distinct_points(df, features, key), dims, block_rows)
+    boxes = materialize(_boxes(blocks, dims).withColumn("radius", F.lit(float(eps))), "boxes")
+    pairs = materialize(_block_pairs(boxes, edges), "pairs")
+    # A block no wider than eps across that holds enough rows is core as a whole; in dense regions
+    # most blocks are, and nothing there needs comparing.
+    across = F.aggregate(F.arrays_zip("lo", "hi"), F.lit(0.0),
+                         lambda acc, s: acc + F.pow(s["hi"] - s["lo"], F.lit(2.0)))
+    dense = boxes.filter((across <= eps * eps * (1 - 1e-9)) & (F.col("weight") >= min_samples)) \
+        .select("block")
+    open_blocks = blocks.join(dense, "block", "left_anti")
+    counted = _compare(open_blocks, blocks, pairs, _count_kernel(eps), "pid BIGINT, n BIGINT")
     core = materialize(
         counted.groupBy("pid").agg(F.sum("n").alias("n"))
-        .select("pid", (F.col("n") >= min_samples).alias("core")), "core")
+        .select("pid", (F.col("n") >= min_samples).alias("core"))
+        .unionByName(blocks.join(dense, "block", "left_semi")
+                     .select("pid", F.lit(True).alias("core"))), "core")
     # Second round: only core points count, as one each, and only other points ask.
     flagged = blocks.join(core, "pid")
     queries = flagged.filter("NOT core").select("pid", "w", "x", "block")

@@ -106,8 +106,8 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
 
 
 def histogram_of_counts(counts: DataFrame, bins: int) -> DataFrame:
-    span = counts.groupBy(F.col("column").alias("_c")).agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    span = materialize(counts.groupBy(F.col("column").alias("_c")).agg(
+        F.min("value").alias("_lo"), F.max("value").alias("_hi")), "spans")  # one row per column
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("_lo")) / F.nullif(width, F.lit(0.0))),
@@ -136,9 +136,9 @@ def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFra
     counts = materialize(value_counts_long(df, columns or numeric_columns(df)), "value-counts")
     v, n = F.col("value"), F.col("n")
     total = F.sum(n)
-    basic = counts.groupBy("column").agg(
+    basic = materialize(counts.groupBy("column").agg(
         total.alias("count"), (F.sum(v * n) / total).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+        F.min("value").alias("min"), F.max("value").alias("max")), "basic")  # one row per column
     spread = (counts.join(basic.select("column", "mean", "count"), "column")
               .groupBy("column")
               .agg(F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), F.lit(2))),

@@ -38,8 +38,9 @@ def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n"
     keys = [c for c in counts.columns if c not in ("value", weight)]
     ranked = running_sums(counts, keys, [F.col("value")], _block_number(F.col("value")),
                           {"_through": F.col(weight)}, hot_rows)
-    totals = counts.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
-        F.sum(weight).alias("_total"))
+    # Written, so that Spark knows the size when it chooses between broadcast and shuffle.
+    totals = materialize(counts.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
+        F.sum(weight).alias("_total")), "totals")
     same = [ranked[k].eqNullSafe(totals[f"{k}_t"]) for k in keys]
     both = ranked.join(totals, same).drop(*[f"{k}_t" for k in keys])
     at = F.array(*[F.struct(F.lit(float(p)).alias("prob"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardwise import constants as K
 from wardwise.functions import clinical as C
-from wardwise.functions.hashing import seeded_hash
+from wardwise.functions.hashing import HASH_BITS, seeded_hash
 from wardwise.operators.prepare import fit_scaler
 from wardwise.operators.quantiles import exact_quantiles
 
@@ -91,9 +91,14 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, trees: int =
     The samples are slices of the rows with the smallest hashes: trees x sample rows at most,
     whatever the size of the table.
     """
+    wanted = trees * sample
     hashed = df.select(seeded_hash(seed, F.col(key)).alias("_h"), F.col(key).alias("_k"),
                        _array(features).alias("x"))
-    pool = hashed.orderBy("_h", "_k").limit(trees * sample)
+    # A hash limit that lets about twice the wanted rows through, so that the ordered limit
+    # merges a bounded number of rows however many partitions the table has.
+    share = min(1.0, 2.0 * wanted / max(df.count(), 1))
+    pool = (hashed.filter(F.col("_h") <= int(share * (1 << HASH_BITS)))
+            .orderBy("_h", "_k").limit(wanted))
     numbered = pool.withColumn("_r", F.expr("row_number() OVER (ORDER BY _h, _k) - 1"))
     size = pool.count()
     taken = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),

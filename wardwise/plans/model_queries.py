@@ -11,6 +11,7 @@ from wardwise.operators.profile import union_all
 from wardwise.plans.registry import register
 from wardwise.plans.suite_queries import rounded
 from wardwise.plans.table_queries import union_sql
+from wardwise.session import materialize
 
 # --- preparation ------------------------------------------------------------------------------
 HASH = "CAST('0x' || substr(md5(CAST({0} AS VARCHAR) || ':{1}'), 1, 15) AS BIGINT)"
@@ -39,6 +40,11 @@ def parts(c):
     return M.stratified_split(labelled(c), "label", "encounter_id")
 
 
+def stored_parts(c):
+    """The split, written once for the fit and the transformation."""
+    return materialize(parts(c), "split")
+
+
 register("stratified_split", parts, f"WITH {LABELLED} SELECT * FROM parts")
 register("stratified_split_two_way",
          lambda c: M.stratified_split(labelled(c), "label", "encounter_id", val=0.0).select(
@@ -60,7 +66,7 @@ _CODED = ["race", "diag_1", "insulin"]
 
 
 def _encoded(c):
-    rows = parts(c)
+    rows = stored_parts(c)
     return M.label_encode(rows, M.fit_label_encoder(rows.filter("split = 'train'"), _CODED))
 
 
@@ -72,7 +78,7 @@ _HOT = ["race", "insulin"]
 
 
 def _hot(c):
-    rows = parts(c)
+    rows = stored_parts(c)
     fitted = M.fit_one_hot(rows.filter("split = 'train'"), _HOT)
     return M.one_hot_columns(rows.select("encounter_id", *_HOT), fitted[2])
 
@@ -88,7 +94,7 @@ def _hot_vectors(c):
     """Sum of every slot of the sparse vectors, by name."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = parts(c)
+    rows = stored_parts(c)
     fitted = M.fit_one_hot(rows.filter("split = 'train'"), _HOT)
     out, names = M.one_hot(rows, fitted)
     def slots(n):
@@ -109,7 +115,7 @@ _SCALED = ["time_in_hospital", "num_lab_procedures", "num_medications"]
 
 
 def _scaled(c):
-    rows = parts(c)
+    rows = stored_parts(c)
     scaler = M.fit_scaler(rows.filter("split = 'train'"), _SCALED)
     return rounded(M.standard_scale(rows.select("encounter_id", "split", *_SCALED), scaler), 7)
 
