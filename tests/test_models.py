@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wardwise.operators import cohort as H
 from wardwise.operators import evaluate as E
 from wardwise.operators import prepare as M
 from wardwise.operators import select as G
@@ -105,6 +106,20 @@ def test_training_table(table):
     assert table.data.filter("split = 'val'").count() > 0
 
 
+def test_full_raw_columns(clinic):
+    """The raw file has hyphenated drug columns and two laboratory texts."""
+    extra = {"max_glu_serum": F.lit(None).cast("string"), "A1Cresult": F.lit("Norm"),
+             "glyburide-metformin": F.col("insulin"), "diabetesMed": F.lit("Yes")}
+    raw = clinic.encounters.withColumns(extra)
+    t = S.training_table(S.engineered(H.merged_cohort(clinic, raw)))
+    assert "glyburide-metformin" in t.features and "max_glu_serum" not in t.features
+    ranked = G.rank_mutual_info(t.train, t.features)
+    assert ranked.filter("feature = 'glyburide-metformin'").count() == 1
+    model = R.fit(t.train, t.features, "LogisticRegression")
+    scored = R.batch_score(R.build_scorer(t.encoder, t.scaler, t.features, model), t.raw)
+    assert 0 < scored.agg(F.avg("prediction_probability")).first()[0] < 1
+
+
 def test_balanced(table):
     made = S.balanced(table)
     n = {r.label: r["count"] for r in made.filter("split = 'train'").groupBy("label").count().collect()}

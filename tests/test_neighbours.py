@@ -10,9 +10,9 @@ from wardwise.operators import neighbours as B
 @pytest.fixture(scope="module")
 def points():
     rng = np.random.default_rng(3)
-    spread = np.concatenate([rng.normal(0, 1, (150, 3)), rng.normal(6, 0.4, (80, 3)),
-                             rng.uniform(-20, 20, (30, 3))])
-    same = np.repeat([[1.0, 2.0, 3.0]], 90, axis=0)  # a quarter of the rows are one point
+    spread = np.concatenate([rng.normal(0, 1, (70, 3)), rng.normal(6, 0.4, (50, 3)),
+                             rng.uniform(-20, 20, (20, 3))])
+    same = np.repeat([[1.0, 2.0, 3.0]], 50, axis=0)  # a quarter of the rows are one point
     x = np.concatenate([spread, same])
     return pd.DataFrame(x, columns=list("abc")).assign(id=range(len(x)))
 
@@ -21,8 +21,7 @@ def squared(x):
     return ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
 
 
-@pytest.mark.parametrize("block_rows", [16, 10_000])
-@pytest.mark.parametrize("eps, least", [(0.5, 10), (2.0, 5)])
+@pytest.mark.parametrize("block_rows, eps, least", [(16, 0.5, 10), (16, 2.0, 5), (10_000, 1.0, 8)])
 def test_density_noise(spark, points, block_rows, eps, least):
     d2 = squared(points[list("abc")].to_numpy())
     core = (d2 <= eps * eps).sum(1) >= least
@@ -55,7 +54,7 @@ def test_nearest(spark, points, block_rows):
         assert list(mine["w"]) == [copies[j] for j in got]
 
 
-@pytest.mark.parametrize("block_rows", [8, 10_000])
+@pytest.mark.parametrize("block_rows", [12])
 def test_smote(spark, points, block_rows):
     pdf = points.assign(label=(points["id"] % 7 == 0).astype(int) + 2 * (points["id"] % 11 == 0))
     df = spark.createDataFrame(pdf)

@@ -27,6 +27,8 @@ def test_query(spark, duck, name):
     cursor = duck.execute(entry.oracle_sql()[name])
     want = table([d[0] for d in cursor.description], cursor.fetchall())
     assert got[0] == want[0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert got[1] == want[1]
 
 

@@ -43,10 +43,18 @@ def exclude_dispositions(df: DataFrame, ids=tuple(K.DEATH_OR_HOSPICE_IDS)) -> Da
 
 
 def index_cohort(clinic) -> DataFrame:
-    """Merged index admissions without deaths. The order of the two filters matters."""
-    merged = merge_codes(clinic.encounters, clinic.admission_type, clinic.discharge_disposition,
-                         clinic.admission_source)
-    return exclude_dispositions(index_admissions(merged))
+    """Index admissions without deaths, with the lookups merged.
+
+    The order of the two filters matters. The lookups join one row each, so they are merged after
+    the filters: fewer rows, and narrower ones in the shuffle.
+    """
+    return merged_cohort(clinic, clinic.encounters)
+
+
+def merged_cohort(clinic, encounters: DataFrame) -> DataFrame:
+    first = exclude_dispositions(index_admissions(encounters))
+    return merge_codes(first, clinic.admission_type, clinic.discharge_disposition,
+                       clinic.admission_source)
 
 
 def diabetes_any(df: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 from wardwise import constants as K
 from wardwise.functions import clinical as C
 from wardwise.functions.hashing import HASH_BITS, seeded_hash, seeded_unit
-from wardwise.operators.ordered import HOT_ROWS, running_sums
+from wardwise.operators.ordered import running_sums
+from wardwise.operators.prepare import HASH_SHIFTS
 from wardwise.session import materialize
 
 BLOCK_ROWS = 2048
@@ -211,7 +212,7 @@ def _synthetic(rows: DataFrame, features, label, key, k, seed, n, wanted, block_
     hashed = rows.select(F.col(key), F.col(label), x.alias("x"),
                          seeded_hash(seed, F.col(key)).alias("_h"))
     ranked = running_sums(hashed, [], [F.col("_h"), F.col(key)], F.col("_h"), {"_r": F.lit(1)},
-                          HOT_ROWS, (HASH_BITS - 20, HASH_BITS - 10))
+                          shifts=HASH_SHIFTS)
     copies = F.lit(each) + F.when(F.col("_r") <= extra, 1).otherwise(0)
     made = (ranked.withColumn("copies", copies).filter("copies > 0").join(known, "x")
             .select(key, label, "x", "near", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))

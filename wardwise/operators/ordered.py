@@ -65,14 +65,14 @@ def _tag_hot(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     if not keys:
         return df.withColumn("_hot", F.lit(True))
     names = [f"_k{i}" for i in range(len(keys))]
-    hot = (df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-           .agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-           .select(*names, F.lit(True).alias("_hot")))
+    hot = materialize(
+        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+        .select(*names, F.lit(True).alias("_hot")), "hot-keys")
     if hot.isEmpty():
         return None
     # A listed key has more than hot_rows rows, so there are at most rows / hot_rows of them:
     # small enough to broadcast by construction.
-    hot = materialize(hot, "hot-keys")
     return df.join(F.broadcast(hot), _same(df, hot, zip(keys, names)), "left").drop(*names)
 
 

@@ -11,15 +11,15 @@ from wardwise.functions import clinical as C
 from wardwise.functions.hashing import HASH_BITS, seeded_hash
 from wardwise.operators.ordered import HOT_ROWS, running_sums
 
-# A uniform 60-bit hash falls into 2^20 blocks and 2^10 super blocks.
-_HASH_SHIFTS = (HASH_BITS - 20, HASH_BITS - 10)
+# A uniform 60-bit hash falls into 2^16 blocks and 2^8 super blocks.
+HASH_SHIFTS = (HASH_BITS - 16, HASH_BITS - 8)
 
 
 def _label_rank(df: DataFrame, label: str, key: str, seed: int, hot_rows: int) -> DataFrame:
     """Seeded random rank of every row within its label, from one."""
     hashed = df.withColumn("_h", seeded_hash(seed, F.col(key)))
     return running_sums(hashed, [label], [F.col("_h"), F.col(key)], F.col("_h"),
-                        {"_rank": F.lit(1)}, hot_rows, _HASH_SHIFTS).drop("_h")
+                        {"_rank": F.lit(1)}, hot_rows, HASH_SHIFTS).drop("_h")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = K.TEST_SHARE,

@@ -10,8 +10,9 @@ from wardwise.operators.ordered import HOT_ROWS, running_sums
 from wardwise.session import materialize
 
 # Values keep their order on a logarithmic scale: small fractions and 64-bit ids alike fall into
-# many ranking blocks, and all super blocks of doubles together are a few thousand.
+# ranking blocks of a 2^-14 part of their size, and super blocks are a few thousand at most.
 _LOG_SCALE = float(1 << 45)
+_LOG_SHIFTS = (31, 40)
 
 
 def _block_number(value: Column) -> Column:
@@ -37,7 +38,7 @@ def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n"
     """
     keys = [c for c in counts.columns if c not in ("value", weight)]
     ranked = running_sums(counts, keys, [F.col("value")], _block_number(F.col("value")),
-                          {"_through": F.col(weight)}, hot_rows)
+                          {"_through": F.col(weight)}, hot_rows, _LOG_SHIFTS)
     # Written, so that Spark knows the size when it chooses between broadcast and shuffle.
     totals = materialize(counts.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
         F.sum(weight).alias("_total")), "totals")

@@ -83,7 +83,7 @@ def feature_lists(table: TrainingTable, methods: list[str], top_ns: list[int]):
 # --- sensitivity ------------------------------------------------------------------------------
 
 ANALYSES: dict[str, tuple[Callable, Callable, list[str]]] = {
-    # name: (filter of the merged encounters, change of the engineered rows, dropped columns)
+    # name: (filter of the encounters, change of the engineered rows, dropped columns)
     "Main": (lambda df: df, lambda df: df, []),
     "Comorbidity_1": (lambda df: df, lambda df: H.comorbidity_cohort(df, 1),
                       ["comorbidity", "number_diagnoses"]),
@@ -97,9 +97,7 @@ ANALYSES: dict[str, tuple[Callable, Callable, list[str]]] = {
 def analysis_table(clinic, analysis: str) -> TrainingTable:
     """Training table of one analysis; the cohort filter comes before the index admissions."""
     before, after, drop = ANALYSES[analysis]
-    merged = H.merge_codes(clinic.encounters, clinic.admission_type, clinic.discharge_disposition,
-                           clinic.admission_source)
-    cohort = H.exclude_dispositions(H.index_admissions(before(merged)))
+    cohort = H.merged_cohort(clinic, before(clinic.encounters))
     return training_table(after(engineered(cohort)), drop)
 
 
