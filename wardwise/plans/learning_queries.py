@@ -100,7 +100,7 @@ def scorer(c):
 
 register("batch_score", lambda c: R.batch_score(scorer(c), table(c).raw.drop("label", "split")))
 register("sensitivity_study", lambda c: S.sensitivity_study(
-    c, ["MutualInfo"], 5, {"LogisticRegression": {"C": [0.1, 1.0]}}, folds=2))
+    c, ["MutualInfo"], 5, {"LogisticRegression": {"C": [0.1, 1.0]}}, folds=2, parallelism=2))
 
 
 def _components(c):

@@ -102,14 +102,16 @@ def analysis_table(clinic, analysis: str) -> TrainingTable:
 
 
 def sensitivity_study(clinic, methods: list[str], top_n: int, grids: dict[str, dict],
-                      folds: int = K.CV_FOLDS, analyses: list[str] | None = None) -> DataFrame:
+                      folds: int = K.CV_FOLDS, analyses: list[str] | None = None,
+                      parallelism: int = 1) -> DataFrame:
     """Tuned results of every analysis: search, store the result sets, read back and stack."""
     path = scratch_path(clinic.spark, "sensitivity")
     rows = []
     for analysis in analyses or list(ANALYSES):
         table = analysis_table(clinic, analysis)
         lists = feature_lists(table, methods, [top_n])
-        found, _ = R.cv_search_all_methods(table.data, methods, lists, top_n, grids, folds, LABEL)
+        found, _ = R.cv_search_all_methods(table.data, methods, lists, top_n, grids, folds, LABEL,
+                                            parallelism)
         writers.write_result_sets({(analysis, fs, kind): df for fs, kinds in found.items()
                                    for kind, df in kinds.items()}, path)
         for fs in methods:
