@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwise.llm import quality, secrets, sharding
+from wardwise.llm import decontaminate, jaccard, quality, secrets, sharding
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -24,6 +24,13 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         secrets.listed(F.col("spans"), rules).alias("spans"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(_read(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -38,7 +45,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "kept", "score")
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_groups(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op7_sharding, op8_quality_rules)
+    f.__name__: f for f in (op1_secret_scans, op5_benchmark_decontamination, op7_sharding, op8_quality_rules,
+                          op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {}
