@@ -153,7 +153,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     items = (hits.select("doc_id", "words_hash", "window").distinct().join(owners, "window")
              .groupBy("doc_id", "words_hash")
              .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    judged = covered.join(items, ["doc_id", "words_hash"], "left").select(
+    named = items.select(F.col("doc_id").alias("_item_id"), F.col("words_hash").alias("_item_hash"), "items")
+    judged = covered.join(named, F.col("doc_id").eqNullSafe(F.col("_item_id")) & (
+        F.col("words_hash") == F.col("_item_hash"))).select(
         F.col("doc_id").alias("_id"), F.col("words_hash").alias("_hash"), "n_hit", "items")
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("words_hash") == F.col("_hash"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwise.llm import decontaminate, jaccard, quality, secrets, sharding
+from wardwise.llm import decontaminate, dedup, jaccard, quality, secrets, sharding
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         secrets.listed(F.col("spans"), rules).alias("spans"))
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    return dedup.repeats(docs).drop("row")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
     return found.select(
@@ -50,7 +55,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op5_benchmark_decontamination, op7_sharding, op8_quality_rules,
+    f.__name__: f for f in (op1_secret_scans, op3_substring_dedup, op5_benchmark_decontamination, op7_sharding, op8_quality_rules,
                           op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {}
