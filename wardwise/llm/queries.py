@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardwise.llm import decontaminate, dedup, jaccard, quality, secrets, sharding
+from wardwise.llm import decontaminate, dedup, jaccard, lm, quality, secrets, sharding
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(_read(spark, folder, "documents"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(_read(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -55,7 +59,8 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_substring_dedup, op5_benchmark_decontamination, op7_sharding, op8_quality_rules,
+    f.__name__: f for f in (op1_secret_scans, op3_substring_dedup, op5_benchmark_decontamination,
+                          op6_lm_scoring, op7_sharding, op8_quality_rules,
                           op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {}
