@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwise.llm import words as W
+from wardwise.llm.rows import text_id
 from wardwise.session import materialize
 
 SHINGLE = 5
@@ -66,7 +67,7 @@ def _passages(window: int, sizes: list[int], bits):
     """Per document its number of words, a hash of them, and the passages with possible shingles."""
     hit = pa.struct([("hash", pa.int64()), ("at", pa.int32())])
     passage = pa.struct([("start", pa.int32()), ("words", pa.string()), ("hits", pa.list_(hit))])
-    schema = ("doc_id long, n_words long, words_hash long, "
+    schema = ("doc_id long, text_id long, n_words long, words_hash long, "
               "passages array<struct<start:int,words:string,hits:array<struct<hash:long,at:int>>>>")
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -91,14 +92,14 @@ def _passages(window: int, sizes: list[int], bits):
                 found[d].append({"start": int(start - w.first[d]), "words": text, "hits": [
                     {"hash": h, "at": p} for h, p in zip(hashes[a:b].tolist(), (at[a:b] - w.first[d]).tolist())]})
             yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id"), pa.array(w.counts, pa.int64()), pa.array(W.signed(w.text_hashes())),
-                pa.array([f or None for f in found], pa.list_(passage))], ["doc_id", "n_words", "words_hash", "passages"])
+                rows.column("doc_id"), rows.column("text_id"), pa.array(w.counts, pa.int64()), pa.array(W.signed(w.text_hashes())),
+                pa.array([f or None for f in found], pa.list_(passage))], ["doc_id", "text_id", "n_words", "words_hash", "passages"])
 
     return run, schema
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
-    """One row per row of docs: doc_id, n_words, n_hit, items (sorted strings), contaminated.
+    """One row per row of docs: doc_id, n_words, n_hit, items (sorted strings), contaminated, text_id.
 
     Words are runs of digits, letters and code points above ASCII, with A-Z in lower case. A word is hit
     if it stands in an occurrence of a window; a document is contaminated if a twentieth of its words
@@ -118,7 +119,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
                        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("mask")).collect()):
         known[word] = np.uint64(mask & (2**64 - 1))
     run, schema = _passages(window, sizes or [SHINGLE], spark.sparkContext.broadcast(known))
-    read = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema), "passages")
+    read = materialize(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", text_id().alias("text_id")).mapInArrow(run, schema), "passages")
 
     # equal rows have equal passages; each is judged once
     own = (read.where("passages IS NOT NULL").dropDuplicates(["doc_id", "words_hash"])
@@ -159,6 +161,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
         F.col("doc_id").alias("_id"), F.col("words_hash").alias("_hash"), "n_hit", "items")
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("words_hash") == F.col("_hash"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return read.select("doc_id", "n_words", "words_hash").join(judged, met, "left").select(
+    return read.select("doc_id", "text_id", "n_words", "words_hash").join(judged, met, "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "words_hash")
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_id")

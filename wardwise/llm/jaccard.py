@@ -1,12 +1,17 @@
 """N-gram Jaccard join over a token-group matrix.
 
-Texts become sets of hashed word shingles. Similar sets are gathered into groups: sets with a min-hash
-band in common are compared with the band's first set, and verified links form the groups. The matrix
+Texts become sets of hashed word shingles. Similar sets are gathered into groups: sets with a min-hash band
+in common are compared with the band's first set, and those not far from it join its group. The matrix
 holds, for every token of the sets' prefixes (their rarest tokens), the groups whose union has it, with
 the group's least and largest set and the token's first place. A set queries it with its prefix: only
-groups whose size and place bounds leave room for the asked overlap are opened, and their sets are
-compared exactly. The prefix is long enough that no link is lost, whatever the groups; sets already in the
-group that they query need no comparison, so a group of near copies costs its size, not its square.
+other groups whose size and place bounds leave room for the asked overlap are opened, and their sets are
+compared exactly. The prefix is long enough that no link is lost, whatever the groups.
+
+Inside a group every set is kept as its difference from the group's pivot. Two sets whose differences are
+small together are linked without a look: one edge per set, to the least different one, joins them
+all. Others must share tokens of their differences, and these are rare where the sets' tokens are common
+to the whole group, so a prefix join over differences finds the rest; a group costs about its
+size, not its square.
 """
 
 from __future__ import annotations
@@ -17,15 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardwise.llm import words as W
 from wardwise.llm.graph import components
+from wardwise.llm.rows import MOST_BROADCAST, text_id, without
 from wardwise.session import materialize
 
 SKETCH_BITS = 18
-BANDS, ROWS = 4, 3
-#: A candidate list is broadcast up to so many ids of 8 bytes; beyond, it is joined by shuffle.
-MOST_BROADCAST = 2_000_000
+BANDS, ROWS = 6, 3
+#: Hundredths of similarity below the asked ones that still bring a set into a group.
+APART = 30
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
 
@@ -57,7 +64,9 @@ def _signatures(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _profile(k: int):
     """Per text its set's size, signature and bands; per task the tokens by sketch bucket."""
-    schema = "doc_id long, n long, sig long, bands array<long>, buckets array<long>"
+    schema = "doc_id long, text_id long, n long, sig long, bands array<long>, buckets array<long>"
+
+    names = ["doc_id", "text_id", "n", "sig", "bands", "buckets"]
 
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -72,15 +81,15 @@ def _profile(k: int):
             np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             m = len(n)
             yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(W.signed(_signatures(tokens, bounds))),
+                rows.column("doc_id"), rows.column("text_id"), pa.array(n, pa.int64()),
+                pa.array(W.signed(_signatures(tokens, bounds))),
                 W.listed(W.signed(bands.ravel()), np.arange(m + 1) * BANDS, pa.int64()),
-                pa.nulls(m, pa.list_(pa.int64()))], ["doc_id", "n", "sig", "bands", "buckets"])
+                pa.nulls(m, pa.list_(pa.int64()))], names)
         used = np.flatnonzero(sketch)
         for part in np.array_split(used, max(1, used.size // 4096)):
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())),
-                pa.array([(part << 40) | np.minimum(sketch[part], (1 << 40) - 1)], pa.list_(pa.int64()))],
-                ["doc_id", "n", "sig", "bands", "buckets"])
+                *(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.list_(pa.int64())),
+                pa.array([(part << 40) | np.minimum(sketch[part], (1 << 40) - 1)], pa.list_(pa.int64()))], names)
 
     return run, schema
 
@@ -132,6 +141,16 @@ def _linked(percent: int):
     return run
 
 
+def _sets_of(texts: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """The whole sets of the signatures in pairs (a, b), read again from one text of each class."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    ids = materialize(classes.join(wanted, "sig").select(F.col("doc_id").alias("_id")).distinct(), "ids")
+    side = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    run, schema = _whole_sets(k)
+    found = texts.join(side, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").mapInArrow(run, schema)
+    return materialize(found, "sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of signatures whose sets are as similar as asked."""
     x = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
@@ -139,8 +158,55 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens that a set has and its pivot has not, and, as complements, the other way round."""
+    for batch in batches:
+        found = []
+        for x, y in zip(batch.column("x"), batch.column("y")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            found.append(np.concatenate([np.setdiff1d(x, y, True), ~np.setdiff1d(y, x, True)]))
+        bounds = np.concatenate([[0], np.cumsum([f.size for f in found])])
+        yield pa.RecordBatch.from_arrays([
+            batch.column("b"), batch.column("a"), W.listed(W.signed(np.concatenate(found or [np.zeros(0, np.uint64)])), bounds, pa.int64())],
+            ["group", "sig", "delta"])
+
+
+def _inside(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect, within each group, what is linked there.
+
+    Sets differ by at most |dx| + |dy|, their differences from the pivot, and are linked if they differ by
+    at most (1 - t) / (1 + t) of n + m. With e = |d| - (1 - t) / (1 + t) n (here times 100 + percent) that holds
+    if the e's sum up to 0 or less; else the differences share at least half the sum, rounded up.
+    """
+    of = groups.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    of = of.union(groups.select(F.col("root").alias("a"), F.col("root").alias("b")).distinct())
+    x = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
+    differ = of.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(
+        _differences, "group long, sig long, delta array<long>")
+    sized = differ.join(classes.select("sig", "n"), "sig").withColumn("size", F.size("delta")).withColumn(
+        "e", (100 + percent) * F.col("size") - (100 - percent) * F.col("n"))
+    sized = materialize(sized.dropDuplicates(["sig"]), "differences")
+    least = sized.groupBy("group").agg(F.min(F.struct("e", "sig")).alias("l")).select("group", "l.e", "l.sig")
+    held = sized.join(least.select("group", F.col("e").alias("e0"), F.col("sig").alias("sig0")), "group")
+    small = held.where("e + e0 <= 0 AND sig <> sig0").select(F.col("sig").alias("a"), F.col("sig0").alias("b"))
+
+    two = 2 * (100 + percent)
+    tokens = held.select("group", "sig", "size", "e", "e0", F.explode("delta").alias("token"))
+    often = tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("often"))
+    rarest = Window.partitionBy("sig").orderBy("often", "token")
+    places = (tokens.join(often, ["group", "token"]).withColumn("pos", F.row_number().over(rarest) - 1)
+              .where(f"pos <= size - greatest(1, ceil((e + e0) / {two})) AND often > 1"))
+    places = materialize(places.select("group", "token", "sig", "size", "e", "pos"), "places")
+    other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "size", "e", "pos")))
+    met = places.join(other, ["group", "token"]).where(
+        f"sig < sig2 AND e + e2 > 0 AND 1 + least(size - pos - 1, size2 - pos2 - 1) >= ceil((e + e2) / {two})")
+    pairs = materialize(met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct(), "inner")
+    return small.union(_verified(pairs, sets, percent))
+
+
 def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one per row of docs (doc_id, text).
+    """Rows (doc_id, n_shingles, component_id, component_key, text_id), one per row of docs (doc_id, text).
 
     Links join texts whose sets of `shingle` consecutive words overlap in at least `percent` hundredths
     of their union; component_id is the least doc_id reachable. A text with fewer words is one shingle;
@@ -150,7 +216,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> Data
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     run, schema = _profile(shingle)
-    profile = materialize(texts.mapInArrow(run, schema), "profile")
+    profile = materialize(texts.withColumn("text_id", text_id()).mapInArrow(run, schema), "profile")
     rows = profile.where("n IS NOT NULL")
     order = np.zeros(1 << SKETCH_BITS, np.uint64)
     # as many rows as the sketch has buckets, at any input
@@ -175,16 +241,9 @@ def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> Data
     heads = banded.groupBy("band").agg(F.min("sig").alias("head"), F.max("sig").alias("last")).where("head <> last")
     meets = materialize(banded.join(heads, "band").where("sig <> head").select(
         F.col("head").alias("a"), F.col("sig").alias("b")).distinct(), "meets")
-    wanted = materialize(meets.select(F.explode(F.array("a", "b")).alias("sig")).union(entries.select("sig"))
-                         .distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
-    if wanted.count() <= MOST_BROADCAST:
-        ids = F.broadcast(ids)
-    run, schema = _whole_sets(shingle)
-    found = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").mapInArrow(run, schema)
-    sets = materialize(found.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "sets")
-    first_links = materialize(_verified(meets, sets, percent), "links")
-    groups = components(first_links)
+    sets = _sets_of(texts, classes, meets, shingle)
+    groups = components(_verified(meets, sets, max(percent - APART, 30)))
+    inner = _inside(groups, classes, sets, percent)
 
     # the matrix of tokens and groups, queried by every set in it
     member = entries.join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn(
@@ -198,14 +257,34 @@ def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> Data
              f"(100 + {percent}) * (1 + least(n - pos - 1, most - place - 1)) >= {percent} * (n + least)")
     opened = member.join(other, "token").where(bound).select("sig", "n", "other").distinct()
     sized = member.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("group").alias("other")).distinct()
-    pairs = opened.join(sized, "other").where(f"100 * m >= {percent} * n AND 100 * n >= {percent} * m").select(
-        F.col("sig").alias("a"), "b")
-    links = _verified(pairs, sets, percent)
-    roots = components(links.union(groups.select(F.col("id").alias("a"), F.col("root").alias("b"))))
+    pairs = materialize(opened.join(sized, "other").where(f"100 * m >= {percent} * n AND 100 * n >= {percent} * m").select(
+        F.col("sig").alias("a"), "b"), "pairs")
+    links = _verified(pairs, _sets_of(texts, classes, pairs, shingle), percent)
+    roots = components(links.union(inner))
 
     joined = classes.select("sig", "doc_id").join(roots.withColumnRenamed("id", "sig"), "sig", "left")
     joined = joined.select("sig", "doc_id", F.coalesce("root", "sig").alias("root"))
     least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    label = joined.join(least, "root").select("sig", "component_id")
-    return (rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig")).join(label, "sig", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    label = joined.join(least, "root").select("sig", "component_id", "root")
+    return (rows.select("doc_id", "text_id", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig")).join(label, "sig", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.col("root").alias("component_key"), "text_id"))
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each group: the least doc_id, then text hash. Rows without words all stay."""
+    groups = materialize(jaccard_groups(docs, shingle, percent).where("n_shingles > 0"), "groups")
+    first = groups.groupBy(F.col("component_key").alias("_key")).agg(F.min(F.struct("doc_id", "text_id")).alias("_first"))
+    judged = groups.join(first, F.col("component_key") == F.col("_key")).withColumn(
+        "stays", F.struct("doc_id", "text_id").eqNullSafe(F.col("_first")))
+    dropped = materialize(judged.where("NOT stays").select("doc_id", "text_id"), "dropped")
+    kept = without(docs, dropped)
+    copies = materialize(judged.where("stays").groupBy("doc_id", "text_id").count().where("count > 1")
+                         .select("doc_id", "text_id"), "copies")
+    if copies.isEmpty():
+        return kept
+    # whole rows repeated, under one id: one of each
+    mine = F.broadcast(copies) if copies.count() <= MOST_BROADCAST else copies
+    mine = mine.select(F.col("doc_id").alias("_copy_id"), F.col("text_id").alias("_copy_text"))
+    met = F.col("doc_id").eqNullSafe(F.col("_copy_id")) & (text_id() == F.col("_copy_text"))
+    return without(kept, copies).unionByName(kept.join(mine, met, "left_semi").dropDuplicates(["doc_id", "text"]))

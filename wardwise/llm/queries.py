@@ -104,7 +104,7 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.jaccard_groups(_read(spark, folder, "documents"))
+    return jaccard.jaccard_groups(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
