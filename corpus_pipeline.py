@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardwise.llm import decontaminate, jaccard, quality, secrets, sentencepiece
-from wardwise.llm.rows import without
+from wardwise.llm.rows import text_id, without
 from wardwise.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; the others stay as they are."""
     rules = quality.fit_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.apply_rules(docs, rules).where("kept").select(docs.columns)
+    # written first: a filter on `kept` would be pushed down as one vast expression
+    judged = materialize(quality.apply_rules(docs.withColumn("text_id", text_id()), rules)
+                         .select("doc_id", "text_id", "kept"), "judged")
+    return without(docs, judged.where("NOT kept"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
