@@ -58,8 +58,10 @@ def test_median_impute_is_exact(frame):
 
 
 def test_coerce_types(frame):
-    df = frame([("[70-80)", "7"), ("45", "x"), (None, "3.0")], "age string, num_medications string")
-    assert [tuple(r) for r in N.coerce_types(df).collect()] == [(None, 7), (45, None), (None, 3)]
+    df = frame([("[70-80)", "7"), ("45", "x"), (None, "3.0"), ("12d", "0x1p3"), ("7f", " 8 ")],
+               "age string, num_medications string")
+    assert [tuple(r) for r in N.coerce_types(df).collect()] == [
+        (None, 7), (45, None), (None, 3), (None, None), (None, 8)]
 
 
 def test_validate_patients(frame):
@@ -69,8 +71,14 @@ def test_validate_patients(frame):
     assert row.is_valid and not row.age_in_range and not row.stay_in_range
     bad = frame([("1", 5, 3, "maybe"), (None, 7, 2, None)], schema)
     row = Q.validate_patients(bad).first()
-    assert not row.is_valid and row.invalid_readmitted == 2
-    assert row.invalid_values == "(null),maybe" and row.null_patient_id == 1
+    assert not row.is_valid and row.invalid_readmitted == 2 and row.null_patient_id == 1
+    assert sorted(map(tuple, Q.invalid_readmitted(bad).collect())) == [("(null)", 1), ("maybe", 1)]
+
+
+def test_all_invalid_values_are_listed(frame):
+    rows = [(str(i), 5, 3, f"odd{i % 15}") for i in range(30)]
+    df = frame(rows, "patient_id string, age int, time_in_hospital int, readmitted string")
+    assert Q.invalid_readmitted(df).count() == 15 == Q.validate_patients(df).first().invalid_readmitted
 
 
 def test_key_checks(frame):

@@ -63,7 +63,7 @@ def median_impute(df: DataFrame, columns=tuple(K.MEDIAN_COLUMNS),
 
 def coerce_types(df: DataFrame, columns=tuple(K.INTEGER_COLUMNS)) -> DataFrame:
     """Whole numbers where the text is one, else null."""
-    return df.withColumns({c: C.col(c).cast("string").try_cast("double").try_cast("int")
+    return df.withColumns({c: C.plain_number(C.col(c).cast("string")).try_cast("int")
                            for c in columns if c in df.columns})
 
 

@@ -90,6 +90,15 @@ def mask_diabetes_diagnoses(df: DataFrame) -> DataFrame:
     return df.withColumns(masked)
 
 
+def with_comorbidity_counts(df: DataFrame, patient: str = "patient_id",
+                            codes=tuple(K.DIAGNOSIS_COLUMNS)) -> DataFrame:
+    """Every row with n, the number of diagnoses given in all rows of its patient."""
+    counts = df.groupBy(patient).agg(
+        F.sum(C.comorbidity_count(*[F.col(c) for c in codes])).cast("bigint").alias("n"))
+    return df.join(counts.withColumnRenamed(patient, "_patient"),
+                   F.col(patient).eqNullSafe(F.col("_patient")), "left").drop("_patient")
+
+
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """Drop what is present of the given columns."""
     return df.drop(*[n for n in names if n in df.columns])

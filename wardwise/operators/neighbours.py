@@ -189,8 +189,10 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
     top = max(sizes.values(), default=0)
     out = base
     for value, n in sorted(sizes.items(), key=lambda kv: str(kv[0])):
-        if n < 2 or n == top:
+        if n == top:
             continue
+        if n < 2:
+            raise ValueError(f"class {value!r} has one row, which has no neighbour to balance it with")
         rows = df.filter(F.col(label) == value)
         out = out.unionByName(_synthetic(rows, features, label, key, k, seed, n, top - n, block_rows))
     return out

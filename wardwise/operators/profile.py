@@ -102,24 +102,36 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
 
     Returns (column, bin, low, high, n), bins numbered from zero, the last one closed.
     """
-    return histogram_of_counts(materialize(value_counts_long(df, columns), "value-counts"), bins)
-
-
-def histogram_of_counts(counts: DataFrame, bins: int) -> DataFrame:
-    span = materialize(counts.groupBy(F.col("column").alias("_c")).agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi")), "spans")  # one row per column
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    place = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("_lo")) / F.nullif(width, F.lit(0.0))),
-                F.lit(bins - 1)))
-    filled = (counts.join(span, counts["column"] == span["_c"])
-              .groupBy("column", place.cast("int").alias("bin")).agg(F.sum("n").alias("n")))
-    grid = span.select(F.col("_c").alias("column"), "_lo", width.alias("_w"),
-                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(filled, ["column", "bin"], "left")
-            .select("column", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("low"),
-                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("high"),
-                    F.coalesce("n", F.lit(0)).alias("n")))
+    x = {c: C.col(c).cast("double") for c in columns}
+    ends = df.agg(*[f(v).alias(f"{n}_{c}") for c, v in x.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    spans = [(c, ends[f"lo_{c}"], (ends[f"hi_{c}"] - ends[f"lo_{c}"]) / bins)  # one per column
+             for c in columns if ends[f"lo_{c}"] is not None]
+
+    def place(c: str, low: float, width: float) -> Column:
+        if not width:
+            return F.when(x[c].isNotNull(), F.lit(0))
+        return F.least(F.floor((x[c] - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), place(c, lo, w).alias("bin"))
+                                for c, lo, w in spans]))
+    # only bins are shuffled, columns x bins rows from each task
+    filled = (df.select(cells.alias("_c")).select("_c.*").filter("bin IS NOT NULL")
+              .groupBy("column", "bin").agg(F.count("*").alias("n"))) if spans else None
+    grid = df.sparkSession.createDataFrame(
+        [(c, b, lo + b * w, lo + (b + 1) * w) for c, lo, w in spans for b in range(bins)],
+        "column string, bin int, low double, high double")
+    if filled is None:
+        return grid.withColumn("n", F.lit(0).cast("bigint"))
+    return grid.join(filled, ["column", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def _describe_plain(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, mean, deviation, min and max of all columns: one partial aggregate, one row."""
+    x = {c: C.col(c).cast("double") for c in columns}
+    named = (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    one = df.agg(*[F.struct(F.lit(c).alias("column"), *[f(v).alias(n) for n, f in named]).alias(f"_{i}")
+                   for i, (c, v) in enumerate(x.items())])
+    return one.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))]))).filter("count > 0")
 
 
 def crosstab(df: DataFrame, rows: str | Column, columns: str | Column,
@@ -133,22 +145,14 @@ def crosstab(df: DataFrame, rows: str | Column, columns: str | Column,
 
 def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max per numeric column."""
-    counts = materialize(value_counts_long(df, columns or numeric_columns(df)), "value-counts")
-    v, n = F.col("value"), F.col("n")
-    total = F.sum(n)
-    basic = materialize(counts.groupBy("column").agg(
-        total.alias("count"), (F.sum(v * n) / total).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max")), "basic")  # one row per column
-    spread = (counts.join(basic.select("column", "mean", "count"), "column")
-              .groupBy("column")
-              .agg(F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), F.lit(2))),
-                                       F.first("count") - 1)).alias("std")))
+    columns = columns or numeric_columns(df)
+    counts = materialize(value_counts_long(df, columns), "value-counts")
     names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     quartiles = (quantiles_of_counts(counts, list(names))
                  .groupBy("column")
                  .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
                         for p, name in names.items()]))
-    return (basic.join(spread, "column").join(quartiles, "column")
+    return (_describe_plain(df, columns).join(quartiles, "column")
             .select("column", "count", "mean", "std", "min", *names.values(), "max"))
 
 

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from wardwise import constants as K
 from wardwise.functions import clinical as C
-from wardwise.operators.quantiles import quantiles_of_counts
-from wardwise.session import materialize
 
 CLASSES = ["<30", ">30"]
 
@@ -55,17 +53,16 @@ def stay_quartiles_by_age_gender(df: DataFrame, stay: str = "time_in_hospital",
     """
     keys = ["age_group", "gender"]
     rows = _grouped(df, age_group=_age_group(df)).filter("gender IS NOT NULL")
-    counts = materialize(rows.filter(F.col(stay).isNotNull())
-                         .groupBy(*keys, F.col(stay).cast("double").alias("value"))
-                         .agg(F.count("*").alias("n")), "stays")
+    counts = (rows.filter(F.col(stay).isNotNull())
+              .groupBy(*keys, F.col(stay).cast("double").alias("value")).agg(F.count("*").alias("n")))
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
     if approx:
         box = rows.groupBy(*keys).agg(
             *[F.percentile_approx(F.col(stay).cast("double"), p).alias(a) for p, a in names.items()])
     else:
-        box = quantiles_of_counts(counts, list(names)).groupBy(*keys).agg(
-            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(a)
-              for p, a in names.items()])
+        # a row per distinct stay of a group, days in a hospital: a few hundred whatever the input
+        box = counts.groupBy(*keys).agg(
+            *[F.percentile("value", F.lit(p), F.col("n")).alias(a) for p, a in names.items()])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (counts.join(box, keys).groupBy(*keys)

@@ -42,7 +42,7 @@ def rank_l1(df: DataFrame, features: list[str], label: str = "label", c: float =
 
 
 def rank_tree(df: DataFrame, features: list[str], label: str = "label", trees: int = 100,
-              depth: int = 10, seed: int = K.SEED) -> DataFrame:
+              depth: int = 30, seed: int = K.SEED) -> DataFrame:
     """By importance in a random forest."""
     data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"))
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(data)

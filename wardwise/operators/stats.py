@@ -100,18 +100,24 @@ def association(df: DataFrame, a: Column, b: Column) -> DataFrame:
 
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
-    """F statistic of a value over groups, with its degrees of freedom."""
+    """F statistic of a value over groups, its degrees of freedom and p-value.
+
+    Groups are reduced to count, mean and variance, which Spark merges without sums of squares.
+    """
     v = F.col(value).cast("double")
     g = (df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group)
-         .agg(F.count("*").alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q")))
-    t = g.agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("s").alias("s"),
-              F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"))
-    between = (F.col("b") - F.col("s") * F.col("s") / F.col("n"))
-    within = F.col("q") - F.col("b")
+         .agg(F.count("*").alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v")))
+    # the variance between groups is that of the means, weighted by n: two passes over the groups
+    centre = g.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("c")).first()[0]
+    off = F.col("m") - F.lit(centre)
+    t = g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("k"),
+              F.sum(F.col("n") * off * off).alias("between"), F.sum(F.col("n") * F.col("v")).alias("within"))
     df1, df2 = F.col("k") - 1, F.col("n") - F.col("k")
-    statistic = F.try_divide(F.try_divide(between, df1), F.try_divide(within, df2))
+    statistic = F.try_divide(F.try_divide(F.col("between"), df1), F.try_divide(F.col("within"), df2))
+    row = t.select(df1.alias("a"), df2.alias("b"), statistic.alias("f")).first()
+    p = None if row.f is None else f_test_p_value(row.f, row.a, row.b)
     return t.select(F.col("k").alias("groups"), F.col("n"), df1.alias("df_between"),
-                    df2.alias("df_within"), statistic.alias("f_statistic"))
+                    df2.alias("df_within"), statistic.alias("f_statistic"), F.lit(p).cast("double").alias("p_value"))
 
 
 def f_test_p_value(statistic: float, df1: float, df2: float) -> float:

@@ -30,22 +30,32 @@ Balance = Callable[[DataFrame, list[str]], DataFrame]
 METRICS = ["accuracy", "precision", "recall", "f1", "auc"]
 
 
+PARAMETERS = {
+    "LogisticRegression": {"C", "penalty", "max_iter"},
+    "RandomForest": {"n_estimators", "max_depth", "min_samples_leaf"},
+    "GradientBoosting": {"n_estimators", "max_depth", "min_samples_leaf", "learning_rate",
+                         "subsample", "colsample_bytree"},
+}
+
+
 # --- estimators -------------------------------------------------------------------------------
 
 def make_model(name: str, params: dict | None = None, rows: int = 1, seed: int = K.SEED):
     """Estimator by model name with the usual parameter names.
 
     ``C`` is the inverse strength of the penalty over the sum of losses, so it is divided by the
-    number of rows here. A depth of None means the deepest tree Spark grows. ``solver`` and
-    ``min_samples_split`` have no counterpart and are ignored.
+    number of rows here. Without a depth a forest grows the deepest trees that Spark grows. A
+    parameter that the model does not have raises, so that no search fits one model twice.
     """
-    p = {k: v for k, v in (params or {}).items() if k not in ("solver", "min_samples_split")}
+    p = params or {}
+    if name in PARAMETERS and set(p) - PARAMETERS[name]:
+        raise ValueError(f"{name} has no parameters {sorted(set(p) - PARAMETERS[name])}")
     if name == "LogisticRegression":
         return LogisticRegression(
             regParam=1.0 / (p.get("C", 1.0) * max(rows, 1)), standardization=False,
             elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0,
             maxIter=p.get("max_iter", 100))
-    depth = p.get("max_depth", 10 if name == "RandomForest" else 6)
+    depth = p.get("max_depth", 30 if name == "RandomForest" else 6)
     depth = 30 if depth is None else depth
     leaf = p.get("min_samples_leaf", 1)
     if name == "RandomForest":

@@ -66,15 +66,13 @@ register("join_medications_patients",
          lambda c: c.medications.join(c.patients.select("patient_id", "readmitted"), "patient_id"),
          "SELECT m.*, p.readmitted FROM {medications} m JOIN {patients} p USING (patient_id)")
 register("join_comorbidity_patients",
-         lambda c: c.patients.select(
-             "patient_id", "readmitted",
-             C.comorbidity_count(*[F.col(d) for d in K.DIAGNOSIS_COLUMNS]).alias("n")), """
-WITH cc AS (SELECT patient_id, CAST(
-    COUNT(CASE WHEN diag_1 IS NOT NULL AND diag_1 <> '?' THEN 1 END)
-    + COUNT(CASE WHEN diag_2 IS NOT NULL AND diag_2 <> '?' THEN 1 END)
-    + COUNT(CASE WHEN diag_3 IS NOT NULL AND diag_3 <> '?' THEN 1 END) AS INT) AS n
-  FROM {patients} GROUP BY patient_id)
-SELECT p.patient_id, p.readmitted, cc.n FROM cc JOIN {patients} p USING (patient_id)""")
+         lambda c: H.with_comorbidity_counts(c.encounters, "patient_nbr")
+         .select("encounter_id", "patient_nbr", "readmitted", "n"), """
+SELECT e.encounter_id, e.patient_nbr, e.readmitted, c.n
+FROM {encounters} e LEFT JOIN (
+  SELECT patient_nbr, COUNT(*) FILTER (WHERE code <> '?') AS n
+  FROM (UNPIVOT (SELECT patient_nbr, diag_1, diag_2, diag_3 FROM {encounters})
+        ON diag_1, diag_2, diag_3 INTO NAME place VALUE code) GROUP BY 1) c USING (patient_nbr)""")
 
 # --- cleaning ---------------------------------------------------------------------------------
 _TEXT = ["race", "gender", "age", "weight", "payer_code", "medical_specialty", "diag_1", "diag_2",
@@ -250,13 +248,13 @@ _P = ["patient_id", "age", "gender", "race", "time_in_hospital", "diag_1", "read
 
 def _with_bad_values(c):
     """Patients with some unknown classes, as a dirty load has them."""
-    odd = F.when(F.col("age") == 95, F.concat(F.lit("?"), F.col("race"))).otherwise(
+    odd = F.when(F.col("age") == 95, F.concat(F.lit("?"), F.col("race"), F.lit("/"), F.col("num_procedures"))).otherwise(
         F.col("readmitted"))
     return c.patients.withColumn("readmitted", odd).select(*_P)
 
 
 _BAD = """dirty AS (SELECT patient_id, age, gender, race, time_in_hospital, diag_1,
-  CASE WHEN age = 95 THEN '?' || race ELSE readmitted END AS readmitted FROM {patients})"""
+  CASE WHEN age = 95 THEN '?' || race || '/' || num_procedures ELSE readmitted END AS readmitted FROM {patients})"""
 _NULLS = ", ".join(f"COUNT(*) FILTER (WHERE {n} IS NULL) AS null_{n}" for n in _P)
 register("validate_patients", lambda c: Q.validate_patients(_with_bad_values(c)), f"""
 WITH {_BAD}, bad AS (SELECT DISTINCT COALESCE(readmitted, '(null)') AS v FROM dirty
@@ -266,9 +264,11 @@ SELECT COUNT(*) AS total_rows, {_NULLS}, MIN(age) AS min_age, MAX(age) AS max_ag
   (SELECT COUNT(*) FROM bad) AS invalid_readmitted,
   MIN(age) >= 0 AND MAX(age) <= 120 AS age_in_range,
   MIN(time_in_hospital) >= 1 AND MAX(time_in_hospital) <= 365 AS stay_in_range,
-  (SELECT string_agg(v, ',' ORDER BY v) FROM bad) AS invalid_values,
   COUNT(*) FILTER (WHERE patient_id IS NULL) = 0 AND (SELECT COUNT(*) FROM bad) = 0 AS is_valid
 FROM dirty""")
+register("invalid_readmitted", lambda c: Q.invalid_readmitted(_with_bad_values(c)), f"""
+WITH {_BAD} SELECT COALESCE(readmitted, '(null)') AS value, COUNT(*) AS n FROM dirty
+WHERE readmitted IS NULL OR readmitted NOT IN ('<30', '>30', 'NO') GROUP BY 1""")
 register("validate_medications", lambda c: Q.validate_medications(c.medications), """
 SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE patient_id IS NULL) AS null_patient_id,
   COUNT(*) FILTER (WHERE medication_name IS NULL) AS null_medication_name,

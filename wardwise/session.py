@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -24,17 +27,50 @@ def local_session(cores: int | str = 8, app: str = "wardwise") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    Where none is set, a local session gets a temporary one; on a cluster that would be a folder of
+    one machine, so it raises.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wardwise-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
+_written: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what `scratch_path` has named in this process; results not yet read are lost.
+
+    Runs by itself when the process ends in good order.
+    """
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    count = 0
+    while _written:
+        path = java(_written.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        count += bool(files.delete(path, True))
+    return count
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):  # the session may have gone first
+            clear_scratch(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/wardwise/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/wardwise/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -8,19 +8,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardwise.operators.train import batch_score
-from wardwise.session import scratch_path
 
 
 def score_new_files(spark: SparkSession, scorer: PipelineModel, source: str, schema: T.StructType,
-                    target: str, checkpoint: str | None = None,
+                    target: str, checkpoint: str,
                     files_per_batch: int = 1000) -> StreamingQuery:
     """Score the files not scored before and append them to ``target``, then stop.
 
-    The checkpoint remembers the files, so a rerun or a lost executor neither skips nor repeats.
+    The checkpoint, a shared folder of this job's own, remembers the files, so a rerun with it or a
+    lost executor neither skips nor repeats.
     """
     rows = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .parquet(source))
     return (batch_score(scorer, rows).writeStream.format("parquet").outputMode("append")
             .option("path", target)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "scoring-checkpoint"))
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
