@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardwise.operators import ordered as O
-from wardwise.operators.quantiles import exact_quantiles
+from wardwise.operators.quantiles import exact_quantiles, quantiles_of_counts
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +68,12 @@ def test_exact_quantiles(spark, hot_rows):
     for r in got.itertuples():
         want = np.quantile(pdf.loc[pdf.g == r.g, r.column], r.prob)
         assert np.isclose(r.value, want)
+
+
+def test_blocks_follow_ranks_not_values(spark):
+    ids = spark.range(200_000).select((F.col("id") + 10**12).cast("double").alias("value"))
+    edges = O.rank_edges(ids, [], F.col("value"))
+    assert len(edges) > 1000 and min(edges) >= 10**12
+    wide = ids.withColumn("n", F.lit(1))
+    got = quantiles_of_counts(wide.withColumn("k", F.lit("a")), [0.25, 0.5], hot_rows=1000)
+    assert {r.prob: r.value for r in got.collect()} == {0.25: 10**12 + 49999.75, 0.5: 10**12 + 99999.5}

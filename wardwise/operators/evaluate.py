@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from wardwise.operators.ordered import HOT_ROWS, running_sums
 from wardwise.session import materialize
 
-# Probabilities become whole numbers of 2^-40, which fall into 2^14 ranking blocks.
-_PROBABILITY_SCALE = float(1 << 40)
-_PROBABILITY_SHIFTS = (26, 33)
-
 
 def _ratio(part: Column, whole: Column) -> Column:
     """Zero where the denominator is zero."""
@@ -31,9 +27,8 @@ def exact_auc(scored: DataFrame, by: list[str], label: str = "label",
               probability: str = "probability", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Area under the ROC curve as the rank sum, ties counted half."""
     counts = _score_counts(scored, by, label, probability)
-    block = F.floor(F.col("p") * _PROBABILITY_SCALE).cast("bigint")
-    run = running_sums(counts, by, [F.col("p")], block, {"_below": F.col("neg")}, hot_rows,
-                       _PROBABILITY_SHIFTS)
+    run = running_sums(counts, by, [F.col("p")], F.col("p"), {"_below": F.col("neg")}, hot_rows,
+                       by_rank=True)
     won = F.col("pos") * (F.col("_below") - F.col("neg") / 2.0)
     return run.groupBy(*by).agg(
         F.try_divide(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
@@ -95,9 +90,8 @@ def pr_curve(scored: DataFrame, by: list[str] | None = None, label: str = "label
     """Precision and recall at every distinct threshold, and the end point without a threshold."""
     by = by or []
     counts = _score_counts(scored, by, label, probability)
-    block = F.floor(-F.col("p") * _PROBABILITY_SCALE).cast("bigint")
-    run = running_sums(counts, by, [F.col("p").desc()], block,
-                       {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows, _PROBABILITY_SHIFTS)
+    run = running_sums(counts, by, [F.col("p").desc()], -F.col("p"),
+                       {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows, by_rank=True)
     if by:
         whole = materialize(counts.groupBy(*by).agg(F.sum("pos").alias("_all")), "totals")
         run = run.join(whole, by)

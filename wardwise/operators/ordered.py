@@ -9,8 +9,10 @@ are summed in two levels, so no step sees more rows than the number of blocks of
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +20,7 @@ from pyspark.sql.window import Window
 from wardwise.session import materialize
 
 HOT_ROWS = 1_000_000
+BLOCKS = 1024
 SHIFTS = (20, 40)
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -35,16 +38,24 @@ def running_sums(
     measures: dict[str, Column],
     hot_rows: int = HOT_ROWS,
     shifts: tuple[int, int] = SHIFTS,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Add, per measure, the sum from the first row of the key through the current row.
 
     ``block_of`` is a whole number that never falls along ``order``; rows with equal high bits
-    share a block. Without keys the whole table is one run.
+    share a block. With ``by_rank`` it may be any number, and blocks are cut at its quantiles, so
+    they are even however the values lie. Without keys the whole table is one run.
     """
     tagged = _tag_hot(df, keys, hot_rows)
     if tagged is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_UP_TO_HERE)
         return df.select("*", *[F.sum(expr).over(w).alias(n) for n, expr in measures.items()])
+    if by_rank:
+        tagged = tagged.withColumn("_value", block_of.cast("double"))
+        splits = [-math.inf, *rank_edges(tagged.filter("_hot"), keys, F.col("_value")), math.inf]
+        tagged = Bucketizer(splits=splits, inputCol="_value", outputCol="_block",
+                            handleInvalid="keep").transform(tagged)
+        block_of, shifts = F.col("_block").cast("bigint"), (0, 5)
     tagged = (tagged
               .withColumn("_low", F.when(F.col("_hot"), F.shiftright(block_of, shifts[0])))
               .withColumn("_high", F.when(F.col("_hot"), F.shiftright(block_of, shifts[1]))))
@@ -60,6 +71,17 @@ def running_sums(
     )
 
 
+def rank_edges(rows: DataFrame, keys: list[str], value: Column, blocks: int = BLOCKS) -> list[float]:
+    """Values between which every hot key has about the same number of rows, from a sketch.
+
+    A key with few distinct values gives few edges. Edges of several keys are simply united; there
+    are at most ``blocks`` per hot key.
+    """
+    probs = [i / blocks for i in range(1, blocks)]
+    found = rows.groupBy(*keys).agg(F.percentile_approx(value, probs).alias("e")).collect()
+    return sorted({x for r in found for x in r["e"] or () if math.isfinite(x)})
+
+
 def _tag_hot(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     """Rows with ``_hot`` where their key is hot; None where no key is."""
     if not keys:

@@ -9,16 +9,6 @@ from wardwise.functions import clinical as C
 from wardwise.operators.ordered import HOT_ROWS, running_sums
 from wardwise.session import materialize
 
-# Values keep their order on a logarithmic scale: small fractions and 64-bit ids alike fall into
-# ranking blocks of a 2^-14 part of their size, and super blocks are a few thousand at most.
-_LOG_SCALE = float(1 << 45)
-_LOG_SHIFTS = (31, 40)
-
-
-def _block_number(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_SCALE).cast("bigint")
-
-
 def value_counts_long(df: DataFrame, columns: list[str], by: list[Column] | None = None) -> DataFrame:
     """Rows (by..., column, value, n) of the non-null values; repeated values are one row."""
     cells = F.explode(F.array(*[
@@ -37,8 +27,8 @@ def quantiles_of_counts(counts: DataFrame, probs: list[float], weight: str = "n"
     The counts are read several times, so pass a written or cheap table.
     """
     keys = [c for c in counts.columns if c not in ("value", weight)]
-    ranked = running_sums(counts, keys, [F.col("value")], _block_number(F.col("value")),
-                          {"_through": F.col(weight)}, hot_rows, _LOG_SHIFTS)
+    ranked = running_sums(counts, keys, [F.col("value")], F.col("value"),
+                          {"_through": F.col(weight)}, hot_rows, by_rank=True)
     # Written, so that Spark knows the size when it chooses between broadcast and shuffle.
     totals = materialize(counts.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
         F.sum(weight).alias("_total")), "totals")
