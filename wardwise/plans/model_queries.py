@@ -275,7 +275,7 @@ register("subgroup_evaluation",
          lambda c: rounded(E.evaluate_split(
              c.scored.join(c.encounters.select("encounter_id", C.comorbidity_level(
                  F.col("number_diagnoses")).alias("comorbidity")), "encounter_id"),
-             ["split", "comorbidity"]).drop("auc")), """
+             ["split", "comorbidity"])), """
 WITH s AS (SELECT s.*, CASE WHEN number_diagnoses <= 1 THEN 0 WHEN number_diagnoses <= 3 THEN 1
   ELSE 2 END AS comorbidity FROM {scored} s JOIN {encounters} USING (encounter_id)),
 c AS (SELECT split, comorbidity, COUNT(*) AS rows,
@@ -287,7 +287,13 @@ c AS (SELECT split, comorbidity, COUNT(*) AS rows,
 SELECT split, comorbidity, rows, ROUND((tp + tn) / rows, 9) AS accuracy,
   ROUND(COALESCE(tp / NULLIF(tp + fp, 0), 0), 9) AS precision,
   ROUND(COALESCE(tp / NULLIF(tp + fn, 0), 0), 9) AS recall,
-  ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 9) AS f1 FROM c""")
+  ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 9) AS f1, ROUND(auc, 9) AS auc
+FROM c JOIN (
+  SELECT split, comorbidity, SUM(place - (p + 1) / 2.0) / (MAX(p) * MAX(n - p)) AS auc FROM (
+    SELECT *, COUNT(*) OVER (PARTITION BY split, comorbidity) AS n, SUM(label) OVER (PARTITION BY split, comorbidity) AS p,
+      RANK() OVER (PARTITION BY split, comorbidity ORDER BY probability)
+        + (COUNT(*) OVER (PARTITION BY split, comorbidity, probability) - 1) / 2.0 AS place FROM s)
+  WHERE label = 1 GROUP BY 1, 2) USING (split, comorbidity)""")
 
 
 # Model results read as the tables that the comparisons take.

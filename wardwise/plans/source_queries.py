@@ -24,10 +24,10 @@ register("read_encounters_parquet", lambda c: _round_trip(c, "parquet"),
 
 def _partitioned(c):
     path = writers.write_table(c.scored, scratch_path(c.spark, "scored"), partition_by=["split"])
-    return c.spark.read.parquet(path).filter("split = 'test'")
+    return c.spark.read.parquet(path)
 
 
-register("write_table_by_split", _partitioned, "SELECT * FROM {scored} WHERE split = 'test'")
+register("write_table_by_split", _partitioned, "SELECT * FROM {scored}")
 
 
 def _lookup_lines(c):
@@ -51,7 +51,17 @@ def _lookup_lines(c):
     return readers.read_code_lookup(c.spark, path)
 
 
-register("read_code_lookup", _lookup_lines)
+register("read_code_lookup", _lookup_lines, """
+WITH parts AS (
+  SELECT 0 AS part, admission_type_id AS seq, admission_type_id || ',' || COALESCE(admission_type_desc, 'NULL') AS line
+  FROM {admission_type}
+  UNION ALL SELECT 1, discharge_disposition_id, discharge_disposition_id || ',' || discharge_disposition_desc
+  FROM {discharge_disposition}
+  UNION ALL SELECT 2, admission_source_id, admission_source_id || ',' || admission_source_desc FROM {admission_source}
+  UNION ALL SELECT p, -2, ',' FROM range(3) t(p)
+  UNION ALL SELECT p, -1, ['admission_type_id', 'discharge_disposition_id', 'admission_source_id'][p + 1] || ',description'
+  FROM range(3) t(p))
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY part, seq) - 1 AS INT) AS line_number, line FROM parts""")
 
 
 def _split(c):
@@ -111,14 +121,46 @@ SELECT method, CAST(ROW_NUMBER() OVER (PARTITION BY method ORDER BY best DESC) A
 def _create(c):
     place, prefix = scratch_path(c.spark, "store"), f"t{uuid.uuid4().hex[:10]}_"
     writers.create_tables(c.spark, place, prefix)
-    patients = c.patients.withColumn("created_at", F.col("created_at").cast("timestamp"))
-    stored = c.spark.table(f"{prefix}patients")
-    patients.select(*stored.columns).write.insertInto(f"{prefix}patients")
-    c.spark.catalog.refreshTable(f"{prefix}patients")
-    return c.spark.table(f"{prefix}patients").drop("created_at")
+    key = F.col("encounter_id").cast("string")
+    stays = c.encounters.select(key.alias("encounter_id"), F.col("patient_nbr").cast("string").alias("patient_id"),
+                                F.col("created_at").cast("date").alias("encounter_date"),
+                                F.lit("inpatient").alias("encounter_type"), "created_at")
+    drugs = c.medications.withColumn("id", F.xxhash64("patient_id", "medication_name")).withColumn(
+        "created_at", F.lit(None).cast("timestamp"))
+    filled = {"patients": c.patients, "encounters": stays, "medications": drugs, "model_results": c.model_results}
+    out = None
+    for name, df in filled.items():
+        stored = c.spark.table(f"{prefix}{name}")
+        df.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema]).write.insertInto(f"{prefix}{name}")
+        c.spark.catalog.refreshTable(f"{prefix}{name}")
+        rows = c.spark.table(f"{prefix}{name}")
+        # what every stored row holds, but for the ids that the writer makes
+        cells = F.concat_ws("|", *[F.col(n).cast("string") for n in _STORED[name]])
+        part = rows.select(F.lit(name).alias("table_name"), cells.alias("cells"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_STORED = {
+    "patients": ["patient_id", "age", "gender", "race", "admission_type_id", "discharge_disposition_id",
+                 "admission_source_id", "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
+                 "number_outpatient", "number_emergency", "number_inpatient", "diag_1", "diag_2", "diag_3", "readmitted"],
+    "encounters": ["encounter_id", "patient_id", "encounter_date", "encounter_type"],
+    "medications": ["patient_id", "medication_name", "dosage_change"],
+    "model_results": ["id", "model_name", "feature_selection_method", "top_n_features", "auc_score"],
+}
 
 
-register("create_tables", _create, "SELECT * EXCLUDE (created_at) FROM {patients}")
+def _cells_sql(name: str, **other: str) -> str:
+    cells = ", ".join(f"CAST({other.get(n, n)} AS VARCHAR)" for n in _STORED[name])
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {cells}) AS cells FROM {{{name}}}"
+
+
+register("create_tables", _create, " UNION ALL ".join([
+    _cells_sql("patients"),
+    _cells_sql("encounters", patient_id="patient_nbr", encounter_date="CAST(created_at AS DATE)", encounter_type="'inpatient'"),
+    _cells_sql("medications"),
+    _cells_sql("model_results", auc_score="CAST(auc_score AS DECIMAL(5, 4))")]))
 
 
 def _save(c):
@@ -137,8 +179,7 @@ def _append(c):
     """Append the best stored run of each model as a new result."""
     place, prefix = scratch_path(c.spark, "results"), f"t{uuid.uuid4().hex[:10]}_"
     writers.create_tables(c.spark, place, prefix)
-    for row in suite.best_models(c.model_results).collect():  # at most two rows per model name
-        writers.append_model_result(c.spark, row.asDict(), f"{prefix}model_results")
+    writers.append_model_results(suite.best_models(c.model_results), f"{prefix}model_results")
     return c.spark.table(f"{prefix}model_results").drop("id", "created_at").select(
         "model_name", "feature_selection_method", "top_n_features",
         *[F.col(m).cast("double").alias(m) for m in suite._METRICS])
@@ -161,12 +202,17 @@ def _result_sets(c):
         sets["Main", fs, "val"] = rows.select("id", "model_name", "auc_score")
         sets["Main", fs, "test"] = rows.select("id", "model_name", "f1_score")
     writers.write_result_sets(sets, path)
-    return readers.read_result_set(c.spark, path, "Main", "L1", "val").select(
-        "id", "model_name", "auc_score")
+    out = None
+    for (_, fs, kind), df in sets.items():
+        part = readers.read_result_set(c.spark, path, "Main", fs, kind).select(
+            F.lit(fs).alias("fs"), F.lit(kind).alias("kind"), "id", "model_name", F.col(df.columns[2]).alias("score"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 register("result_sets", _result_sets, """
-SELECT id, model_name, auc_score FROM {model_results} WHERE feature_selection_method = 'L1'""")
+SELECT feature_selection_method AS fs, 'val' AS kind, id, model_name, auc_score AS score FROM {model_results}
+UNION ALL SELECT feature_selection_method, 'test', id, model_name, f1_score FROM {model_results}""")
 register("run_sql",
          lambda c: readers.run_sql(c.spark, """
 SELECT gender, count_if(readmitted = :cls) AS n FROM {patients}

@@ -48,8 +48,11 @@ _MISSING = union_sql(
     f"CAST(COUNT(*) FILTER (WHERE {n} IS NULL) AS DOUBLE) * 100.0 / COUNT(*) AS missing_percentage"
     f" FROM nulled" for n in ALL)
 register("missing_profile", lambda c: P.missing_profile(_nulled(c)), f"WITH {_NULLED} {_MISSING}")
-register("data_info", lambda c: P.data_info(_nulled(c)).drop("dtype"),
-         f"WITH {_NULLED}, m AS ({_MISSING}) SELECT *, {len(ALL)} AS n_columns FROM m")
+register("data_info", lambda c: P.data_info(_nulled(c)),
+         f"""WITH {_NULLED}, m AS ({_MISSING}), one AS (SELECT * FROM nulled LIMIT 1),
+t AS ({union_sql(f"SELECT '{n}' AS name, lower(typeof({n})) AS kind FROM one" for n in ALL)})
+SELECT m.*, {len(ALL)} AS n_columns, CASE t.kind WHEN 'integer' THEN 'int' WHEN 'varchar' THEN 'string' WHEN 'timestamp' THEN 'timestamp_ntz' ELSE t.kind END AS dtype
+FROM m JOIN t ON t.name = m."column\"""")
 register("sentinel_profile", lambda c: P.sentinel_profile(c.encounters),
          "SELECT * FROM (" + union_sql(
              f"SELECT '{n}' AS \"column\", COUNT(*) FILTER (WHERE {n} = '?') AS sentinel_count, "

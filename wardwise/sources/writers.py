@@ -66,17 +66,19 @@ def save_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
     df.write.jdbc(url, table, mode=MODES[if_exists], properties=properties or {})
 
 
-def append_model_result(spark: SparkSession, result: dict, table: str) -> None:
-    """Append one training result; the time is set here and the id is unique, not consecutive."""
+def append_model_results(results: DataFrame, table: str) -> None:
+    """Append training results in one job; the time is set here, ids are unique, not consecutive."""
     metrics = ["accuracy", "precision", "recall", "f1_score", "auc_score"]
-    row = spark.range(1).select(
-        F.xxhash64(F.uuid()).alias("id"),
-        F.lit(result["model_name"]).alias("model_name"),
-        F.lit(result["feature_selection_method"]).alias("feature_selection_method"),
-        F.lit(result["top_n_features"]).cast("int").alias("top_n_features"),
-        *[F.lit(result[m]).cast("decimal(5,4)").alias(m) for m in metrics],
-        F.current_timestamp().alias("created_at"))
-    row.write.mode("append").format("parquet").saveAsTable(table)
+    results.select(
+        F.xxhash64(F.uuid()).alias("id"), "model_name", "feature_selection_method",
+        F.col("top_n_features").cast("int").alias("top_n_features"),
+        *[F.col(m).cast("decimal(5,4)").alias(m) for m in metrics],
+        F.current_timestamp().alias("created_at")).write.mode("append").format("parquet").saveAsTable(table)
+
+
+def append_model_result(spark: SparkSession, result: dict, table: str) -> None:
+    """Append one training result."""
+    append_model_results(spark.createDataFrame([result]), table)
 
 
 def write_result_sets(sets: dict[tuple[str, str, str], DataFrame], path: str) -> str:
