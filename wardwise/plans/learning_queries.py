@@ -1,7 +1,8 @@
 """Queries that fit models. They have no SQL twin; the tests check their invariants.
 
-Searches run over short grids with few trees, so that a check takes seconds; the functions default
-to the full settings.
+Rankings, balancing and cross-validation of single models run with the full settings. Searches over
+many configurations run over short grids with few trees here, since the full ones fit thousands of
+boosted forests; the functions default to the full settings.
 """
 
 from pyspark.sql import functions as F
@@ -21,15 +22,12 @@ GRIDS = {"LogisticRegression": {"C": [0.1, 1.0]},
 FAST = ["LogisticRegression", "RandomForest"]
 METHODS = ["MutualInfo", "L1"]
 
-_TABLES: dict[tuple, S.TrainingTable] = {}
-
 
 def table(c: Clinic) -> S.TrainingTable:
-    """The training table of a data folder, prepared once per session."""
-    at = (c.spark.sparkContext.applicationId, c.folder)
-    if at not in _TABLES:
-        _TABLES[at] = S.analysis_table(c, "Main")
-    return _TABLES[at]
+    """The training table, prepared once per query."""
+    if "_training" not in vars(c):
+        c._training = S.analysis_table(c, "Main")
+    return c._training
 
 
 def lists(c, top_ns=(5,), methods=("MutualInfo",)):
@@ -41,19 +39,21 @@ def _study_frame(c):
 
 
 register("training_table", _study_frame)
-register("balanced_training", lambda c: S.balanced(table(c)).groupBy("split", "label").agg(
-    F.count("*").alias("rows"), F.count_if(F.col("copy") > 0).alias("synthetic")))
+register("balanced_training", lambda c: S.balanced(table(c)))
+register("model_registry", lambda c: R.model_registry_table(c.spark).join(
+    c.model_results.groupBy(F.col("model_name").alias("model")).agg(F.count("*").alias("stored_results")),
+    "model", "left"))
 register("rank_l1", lambda c: G.rank_l1(table(c).train, table(c).features))
-register("rank_tree", lambda c: G.rank_tree(table(c).train, table(c).features, trees=100, depth=5))
+register("rank_tree", lambda c: G.rank_tree(table(c).train, table(c).features))
 register("select_features",
          lambda c: G.select_features("MutualInfo", table(c).train, table(c).features, top_n=15))
 register("select_all", lambda c: G.cut(
-    G.rank_all(table(c).train, table(c).features, methods=METHODS), [5, 10, 15]))
+    G.rank_all(table(c).train, table(c).features), [5, 10, 15]))
 register("cross_validate", lambda c: R.result_table(c.spark, [R.cross_validate(
     table(c).train, lists(c)[5, "MutualInfo"], "LogisticRegression", parallelism=4)]))
 register("cross_validate_balanced", lambda c: R.result_table(c.spark, [R.cross_validate(
-    table(c).train, lists(c)[5, "MutualInfo"], "LogisticRegression", folds=2,
-    balance=S.balance)]))
+    table(c).train, lists(c)[5, "MutualInfo"], "LogisticRegression",
+    balance=S.balance, parallelism=5)]))
 register("train_all", lambda c: R.result_table(c.spark, R.train_all(
     table(c).train, lists(c)[5, "MutualInfo"], SMALL, folds=2, parallelism=2)[1]))
 register("train_feature_sets", lambda c: R.train_feature_sets(
