@@ -1,0 +1,61 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from wardwise.llm import queries, secrets
+
+ASSIGN = re.compile(
+    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+EDGES = [
+    (1, None), (2, ""), (3, "token=secret=abcdefgh"), (4, "token:secret:abcdefgh"),
+    (5, 'é "API_KEY" : "abcdefgh" \U0001f600 password=short'), (6, "AKIA" + "A" * 12 + " AKIAAB AKIA0123456789AB"),
+    (7, "f" * 31 + " " + "0" * 32 + "g" + "a1" * 20), (7, "passwd = x"), (None, "token=abcdefgh1"),
+    (8, "AKIA0123456789ABCD " * 900), (9, "secret=" + "a" * 50_000), (10, "Token=abcdefgh" * 2),
+]
+
+
+def base(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query("AKIA[A-Z0-9]{12,}") == {frozenset({"aki", "kia"})}
+    assert secrets.trigram_query("[0-9a-f]{32,}") == {frozenset()}
+    assert secrets.trigram_query("(abcd|xyz)+q*") == {frozenset({"abc", "bcd"}), frozenset({"xyz"})}
+    assert secrets.trigram_query("ab?cd") == {frozenset({"abc", "bcd"}), frozenset({"acd"})}
+    assert secrets.trigram_query("(abcd)?") == {frozenset()}
+
+
+def test_spans_of_edge_texts(docs):
+    rows = secrets.scan(docs(EDGES), secrets.BASE_RULES).select("doc_id", "text", "spans").collect()
+    assert len(rows) == len(EDGES)
+    for r in rows:
+        assert [(s.start, s.rank, s.end) for s in r.spans] == base(r.text or ""), r.doc_id
+
+
+def test_query_against_brute_force(spark, documents):
+    got = {r.doc_id: r for r in queries.op1_secret_scans(spark, "/root/testdata/sf0.001").collect()}
+    for r in documents.collect():
+        spans = base(r.text or "")
+        text = ",".join(f"{secrets.RULES[k].kind}:{a}:{b}" for a, k, b in spans)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (got[r.doc_id].n_assign, got[r.doc_id].n_access, got[r.doc_id].n_hex) == tuple(
+            sum(k == i for _, k, _ in spans) for i in range(3))
+
+
+def test_more_kinds_and_redaction(docs):
+    text = "x ghp_" + "a" * 36 + " -----BEGIN RSA PRIVATE KEY----- token=abcdefgh. ok"
+    table = docs([(1, text), (2, None), (3, "clean text")]).withColumn("spans", F.lit("clash"))
+    out = {r.doc_id: r for r in secrets.redact(table).collect()}
+    assert out[1].text == "x <SECRET> <SECRET> <SECRET> ok" and out[2].text is None and out[3].text == "clean text"
+    assert out[1].spans == "clash"
+    kinds = secrets.scan(table).where("doc_id = 1").select(secrets.listed(F.col("spans"), secrets.RULES).alias("s")).first().s
+    assert [k.split(":")[0] for k in kinds.split(",")] == ["forge", "pem", "assign"]
+
+
+def test_empty_table(docs):
+    assert secrets.scan(docs([])).count() == 0 and secrets.redact(docs([])).count() == 0
