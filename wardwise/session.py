@@ -49,13 +49,39 @@ def clear_scratch(spark: SparkSession) -> int:
 
     Runs by itself when the process ends in good order.
     """
-    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    count = 0
-    while _written:
-        path = java(_written.pop())
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        count += bool(files.delete(path, True))
-    return count
+    mine, _written[:] = list(_written), []
+    return discard(spark, mine)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders through Hadoop, wherever they are; returns how many there were."""
+    java, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(bool(java(p).getFileSystem(conf).delete(java(p), True)) for p in paths)
+
+
+class Temporary:
+    """Tables that `materialize` writes inside are deleted at the end, but for those given to `keep`.
+
+        with Temporary(spark) as tables:
+            return tables.keep(result_that_reads_them)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> Temporary:
+        self._before, self._kept = list(_written), []
+        return self
+
+    def keep(self, df: DataFrame, name: str = "result") -> DataFrame:
+        out = materialize(df, name)
+        self._kept.append(_written[-1])
+        return out
+
+    def __exit__(self, *failure) -> None:
+        mine = [p for p in _written if p not in self._before and p not in self._kept]
+        _written[:] = [p for p in _written if p not in mine]
+        discard(self.spark, mine)
 
 
 @atexit.register
