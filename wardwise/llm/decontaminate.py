@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from wardwise.llm import words as W
 from wardwise.llm.rows import text_id
-from wardwise.session import materialize
+from wardwise.session import Temporary, materialize
 
 SHINGLE = 5
 #: Bits of the filter that tells tasks which shingles the benchmark has: 2 MB, whatever the benchmark's size.
@@ -106,6 +106,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     or more are hit. Null and empty texts have no words; items without words have no window; equal
     windows of several items count for each.
     """
+    with Temporary(docs.sparkSession) as tables:
+        return tables.keep(_judged(docs, benchmark, window), "contamination")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     spark = docs.sparkSession
     run, schema = _windows(window)
     windows = materialize(benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, schema), "windows")

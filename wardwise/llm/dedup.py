@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardwise.llm import words as W
-from wardwise.session import materialize
+from wardwise.session import Temporary, materialize
 
 REACH = 3
 LEAST_WORDS = 8
@@ -77,6 +77,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     `row` tells apart rows of equal doc_id. Null and empty texts have no units; units of fewer than
     LEAST_WORDS words always stay; a null doc_id ranks first.
     """
+    with Temporary(docs.sparkSession) as tables:
+        return tables.keep(_repeated(docs), "repeats")
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
     units = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text").mapInArrow(
         _units, "doc_id long, row long, start long, end long, n_words long, d1 long, d2 long"), "units")
     first = (units.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row", "start")).alias("kept"), F.count(F.lit(1)).alias("n"))

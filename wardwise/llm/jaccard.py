@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from wardwise.llm import words as W
 from wardwise.llm.graph import components
 from wardwise.llm.rows import MOST_BROADCAST, text_id, without
-from wardwise.session import materialize
+from wardwise.session import Temporary, materialize
 
 SKETCH_BITS = 18
 BANDS, ROWS = 6, 3
@@ -213,6 +213,11 @@ def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> Data
     a null or empty text has none and is its own component. Equal sets are one class, compared once.
     Hashes have 64 bits.
     """
+    with Temporary(docs.sparkSession) as tables:
+        return tables.keep(_groups(docs, shingle, percent), "groups")
+
+
+def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     run, schema = _profile(shingle)
@@ -273,7 +278,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> Data
 
 def first_of_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each group: the least doc_id, then text hash. Rows without words all stay."""
-    groups = materialize(jaccard_groups(docs, shingle, percent).where("n_shingles > 0"), "groups")
+    groups = jaccard_groups(docs, shingle, percent).where("n_shingles > 0")
     first = groups.groupBy(F.col("component_key").alias("_key")).agg(F.min(F.struct("doc_id", "text_id")).alias("_first"))
     judged = groups.join(first, F.col("component_key") == F.col("_key")).withColumn(
         "stays", F.struct("doc_id", "text_id").eqNullSafe(F.col("_first")))
