@@ -56,8 +56,11 @@ DISEASE_PREFIXES = [
     ("Diabetes", ["250"]),
     ("Hypertension", ["401", "402", "403", "404", "405"]),
     ("Heart Disease", ["410", "411", "412", "413", "414", "428"]),
-    ("Kidney Disease", [str(n) for n in range(580, 590)]),
-    ("Respiratory Disease", [str(n) for n in (*range(460, 467), *range(490, 520))]),
+    ("Kidney Disease", ["580", "581", "582", "583", "584", "585", "586", "587", "588", "589"]),
+    ("Respiratory Disease", [
+        "460", "461", "462", "463", "464", "465", "466", "490", "491", "492", "493", "494", "495",
+        "496", "497", "498", "499", "500", "501", "502", "503", "504", "505", "506", "507", "508",
+        "509", "510", "511", "512", "513", "514", "515", "516", "517", "518", "519"]),
 ]
 
 # Labels of frequent diagnosis main codes; the zero-padded form of a code has the same label.

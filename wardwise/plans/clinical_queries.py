@@ -170,13 +170,8 @@ feature("normalize_icd9", lambda: C.normalize_icd9(F.col("diag_3")), X.normalize
 feature("diagnosis_label", lambda: C.diagnosis_label(C.normalize_icd9(F.col("diag_1"))),
         X.label(f"({X.normalized('diag_1')})"))
 
-_CCS_WORDS = [("circulatory", "circulatory"), ("respiratory", "respiratory"),
-              ("digestive", "digestive"), ("diabetes", "diabetes"),
-              ("injuries", "injury|fracture|wound|burn|trauma"),
-              ("musculoskeletal", "musculoskeletal"),
-              ("genitourinary", "genitourinary|urinary|renal|kidney"),
-              ("neoplasms", "neoplasm|cancer|tumor|carcinoma")]
-_CCS_SQL = " ".join(f"WHEN regexp_matches(lower(descr), '{w}') THEN '{n}'" for n, w in _CCS_WORDS)
+_CCS_SQL = " ".join(f"WHEN regexp_matches(lower(descr), '{'|'.join(words)}') THEN '{name}'"
+                    for name, words in K.CCS_KEYWORDS)
 
 
 def _described(c):
