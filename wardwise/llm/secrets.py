@@ -159,6 +159,11 @@ def _with_candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: s
             .drop("_id", "_found"))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value worked out once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def running_sums(a: Column) -> Column:
     """Sums of a's first 1, 2, ... elements, by blocks of 256, so that long arrays cost little."""
     zero, block = F.lit(0).cast("long"), 256
@@ -167,11 +172,13 @@ def running_sums(a: Column) -> Column:
         return F.aggregate(x, F.array().cast("array<long>"),
                            lambda acc, v: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), zero) + v)))
 
-    starts = F.sequence(F.lit(1), F.greatest(F.size(a), F.lit(1)), F.lit(block))
-    blocks = F.transform(starts, lambda s: F.slice(a, s, block))
-    before = sums(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda x, y: x + y)))
-    return F.flatten(F.transform(blocks, lambda b, i: F.transform(
-        sums(b), lambda x: x + F.coalesce(F.get(before, i - 1), zero))))
+    def joined(blocks: Column) -> Column:
+        return let(sums(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda x, y: x + y))), lambda before: F.flatten(
+            F.transform(blocks, lambda b, i: let(F.coalesce(F.get(before, i - 1), zero), lambda off: F.transform(
+                sums(b), lambda x: x + off)))))
+
+    return let(a, lambda v: let(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(block)), lambda s: F.slice(v, s, block)), joined))
 
 
 SPANS = "array<struct<start:long,rank:int,end:long>>"
@@ -183,18 +190,22 @@ def _hit(rule: Rule, n: int, text: Column) -> Column:
 
 
 def _spans(rule: Rule, n: int, text: Column) -> Column:
-    """Spans of one rule: the pieces between matches give the places."""
+    """Spans of one rule: the pieces between matches give the places. Each array is made once a row."""
     pattern = F.lit(rule.pattern)
-    pieces, matches = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    steps = F.transform(pieces, lambda p, i: (
-        F.char_length(p) + F.coalesce(F.char_length(F.get(matches, i - 1)), F.lit(0))).cast("long"))
-    starts = running_sums(steps)
-    spans = F.transform(matches, lambda m, i: F.struct(
-        F.get(starts, i).alias("start"), F.lit(n).alias("rank"), (F.get(starts, i) + F.char_length(m)).alias("end")))
-    if rule.least:
-        values = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-        spans = F.filter(spans, lambda s, i: F.char_length(F.get(values, i)) >= rule.least)
-    return F.when(_hit(rule, n, text), spans.cast(SPANS)).otherwise(F.array().cast(SPANS))
+
+    def of(matches: Column) -> Column:
+        before = F.concat(F.array(F.lit("")), matches)
+        steps = F.zip_with(F.split(text, rule.pattern, -1), before, lambda p, m: (
+            F.char_length(p) + F.char_length(m)).cast("long"))
+        spans = F.zip_with(matches, F.slice(running_sums(steps), 1, F.size(matches)), lambda m, s: F.struct(
+            s.alias("start"), F.lit(n).alias("rank"), (s + F.char_length(m)).alias("end")))
+        if rule.least:
+            values = F.regexp_extract_all(text, pattern, F.lit(rule.group))
+            spans = F.array_compact(F.zip_with(spans, values, lambda s, v: F.when(F.char_length(v) >= rule.least, s)))
+        return spans
+
+    found = let(F.regexp_extract_all(text, pattern, F.lit(0)), of)
+    return F.when(_hit(rule, n, text), found.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -218,16 +229,17 @@ def listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text",
            mask: str = "<SECRET>") -> DataFrame:
-    """docs with every secret of the text replaced by `mask`, rule by rule. Null texts stay null."""
+    """docs with every secret of the text replaced by `mask`, rule by rule, the particular kinds before the
+    base ones, whose matches may be parts of theirs. Null texts stay null."""
     out = _with_candidates(docs, rules, key, text)
-    for n, rule in enumerate(rules):
+    for n, rule in sorted(enumerate(rules), key=lambda r: r[1] in BASE_RULES):
         whole, pattern = F.col(text), F.lit(rule.pattern)
         matches = F.regexp_extract_all(whole, pattern, F.lit(0))
         put = F.transform(matches, lambda m: F.lit(mask))
         if rule.least:
             values = F.regexp_extract_all(whole, pattern, F.lit(rule.group))
-            put = F.transform(matches, lambda m, i: F.when(
-                F.char_length(F.get(values, i)) >= rule.least, F.lit(mask)).otherwise(m))
+            least = rule.least
+            put = F.zip_with(matches, values, lambda m, v: F.when(F.char_length(v) >= least, F.lit(mask)).otherwise(m))
         joined = F.array_join(F.zip_with(F.split(whole, rule.pattern, -1), put, lambda p, m: F.concat(
             p, F.coalesce(m, F.lit("")))), "")
         out = out.withColumn(text, F.when(_hit(rule, n, whole), joined).otherwise(whole))
