@@ -54,7 +54,7 @@ def test_more_kinds_and_redaction(docs):
     assert out[1].text == "x <SECRET> <SECRET> <SECRET> ok" and out[2].text is None and out[3].text == "clean text"
     assert out[1].spans == "clash"
     kinds = secrets.scan(table).where("doc_id = 1").select(secrets.listed(F.col("spans"), secrets.RULES).alias("s")).first().s
-    assert [k.split(":")[0] for k in kinds.split(",")] == ["forge", "pem", "assign"]
+    assert [k.split(":")[0] for k in kinds.split(",")] == ["forge", "hex", "pem", "assign"]
 
 
 def test_empty_table(docs):
