@@ -29,7 +29,7 @@ from wardwise.llm.graph import components
 from wardwise.llm.rows import MOST_BROADCAST, text_id, without
 from wardwise.session import Temporary, materialize
 
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 BANDS, ROWS = 6, 3
 #: Hundredths of similarity below the asked ones that still bring a set into a group.
 APART = 30
@@ -103,7 +103,7 @@ def _prefixes(k: int, percent: int, rarity):
         for _, tokens, bounds in _sets(batches, k):
             n = np.diff(bounds)
             length = np.where(100 * n >= percent * (n + 1), n - (percent * n + 99) // 100 + 1, 0)
-            keys = (order[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(40)) | (
+            keys = (order[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (
                 tokens & np.uint64((1 << 40) - 1))
             picked = np.flatnonzero(length)
             chosen = [tokens[a:b][np.argsort(keys[a:b], kind="stable")[:m]] for a, b, m in zip(
@@ -192,15 +192,17 @@ def _inside(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     small = held.where("e + e0 <= 0 AND sig <> sig0").select(F.col("sig").alias("a"), F.col("sig0").alias("b"))
 
     two = 2 * (100 + percent)
-    tokens = held.select("group", "sig", "size", "e", "e0", F.explode("delta").alias("token"))
+    tokens = held.select("group", "sig", "n", "size", "e", "e0", F.explode("delta").alias("token"))
     often = tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("often"))
     rarest = Window.partitionBy("sig").orderBy("often", "token")
     places = (tokens.join(often, ["group", "token"]).withColumn("pos", F.row_number().over(rarest) - 1)
               .where(f"pos <= size - greatest(1, ceil((e + e0) / {two})) AND often > 1"))
-    places = materialize(places.select("group", "token", "sig", "size", "e", "pos"), "places")
-    other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "size", "e", "pos")))
+    places = materialize(places.select("group", "token", "sig", "n", "size", "e", "pos"), "places")
+    other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "n", "size", "e", "pos")))
+    # sets whose differences differ much in size are that far apart themselves
     met = places.join(other, ["group", "token"]).where(
-        f"sig < sig2 AND e + e2 > 0 AND 1 + least(size - pos - 1, size2 - pos2 - 1) >= ceil((e + e2) / {two})")
+        f"sig < sig2 AND e + e2 > 0 AND 100 * n >= {percent} * n2 AND 100 * n2 >= {percent} * n AND "
+        f"(100 + {percent}) * abs(size - size2) <= (100 - {percent}) * (n + n2) AND 1 + least(size - pos - 1, size2 - pos2 - 1) >= ceil((e + e2) / {two})")
     pairs = materialize(met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct(), "inner")
     return small.union(_verified(pairs, sets, percent))
 
@@ -223,12 +225,12 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     run, schema = _profile(shingle)
     profile = materialize(texts.withColumn("text_id", text_id()).mapInArrow(run, schema), "profile")
     rows = profile.where("n IS NOT NULL")
-    order = np.zeros(1 << SKETCH_BITS, np.uint64)
+    order = np.zeros(1 << SKETCH_BITS, np.uint32)
     # as many rows as the sketch has buckets, at any input
-    for b, n in (profile.where("buckets IS NOT NULL").select(F.explode("buckets").alias("x"))
-                 .select(F.shiftright("x", 40).alias("b"), F.col("x").bitwiseAND(F.lit((1 << 40) - 1)).alias("n"))
-                 .groupBy("b").agg(F.sum("n")).collect()):
-        order[b] = min(n, (1 << 24) - 1)
+    seen = (profile.where("buckets IS NOT NULL").select(F.explode("buckets").alias("x"))
+            .select(F.shiftright("x", 40).alias("b"), F.col("x").bitwiseAND(F.lit((1 << 40) - 1)).alias("n"))
+            .groupBy("b").agg(F.least(F.sum("n"), F.lit((1 << 24) - 1)).cast("int").alias("n")).toArrow())
+    order[seen["b"].to_numpy()] = seen["n"].to_numpy()
     classes = materialize(rows.where("n > 0").groupBy("sig").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes")
 
