@@ -197,11 +197,13 @@ def _inside(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     rarest = Window.partitionBy("sig").orderBy("often", "token")
     places = (tokens.join(often, ["group", "token"]).withColumn("pos", F.row_number().over(rarest) - 1)
               .where(f"pos <= size - greatest(1, ceil((e + e0) / {two})) AND often > 1"))
-    places = materialize(places.select("group", "token", "sig", "n", "size", "e", "pos"), "places")
-    other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "n", "size", "e", "pos")))
-    # sets whose differences differ much in size are that far apart themselves
+    core = (F.col("e") + F.col("e0") <= 0).alias("core")
+    places = materialize(places.select("group", "token", "sig", "n", "size", "e", "pos", core), "places")
+    other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "n", "size", "e", "pos", "core")))
+    # two sets that are linked to the least different one are connected already; sets whose differences
+    # differ much in size are that far apart themselves
     met = places.join(other, ["group", "token"]).where(
-        f"sig < sig2 AND e + e2 > 0 AND 100 * n >= {percent} * n2 AND 100 * n2 >= {percent} * n AND "
+        f"sig < sig2 AND NOT (core AND core2) AND e + e2 > 0 AND 100 * n >= {percent} * n2 AND 100 * n2 >= {percent} * n AND "
         f"(100 + {percent}) * abs(size - size2) <= (100 - {percent}) * (n + n2) AND 1 + least(size - pos - 1, size2 - pos2 - 1) >= ceil((e + e2) / {two})")
     pairs = materialize(met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct(), "inner")
     return small.union(_verified(pairs, sets, percent))
