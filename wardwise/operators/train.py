@@ -25,6 +25,7 @@ from wardwise.functions import clinical as C
 from wardwise.operators import select as G
 from wardwise.operators.prepare import stratified_folds
 from wardwise.operators.profile import union_all
+from wardwise.session import materialize
 
 Balance = Callable[[DataFrame, list[str]], DataFrame]
 METRICS = ["accuracy", "precision", "recall", "f1", "auc"]
@@ -160,11 +161,30 @@ def result_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(text(r.get(n)) for n in names) for r in rows], schema)
 
 
+def fold_parts(train: DataFrame, features: list[str], folds: int = K.CV_FOLDS, label: str = "label",
+               key: str = "encounter_id", balance: Balance | None = None,
+               seed: int = K.SEED) -> list[tuple[DataFrame, DataFrame]]:
+    """(rows to fit on, rows to test on) per stratified fold, written once for many fits.
+
+    ``balance`` sees only the training part of a fold.
+    """
+    folded = train if "fold" in train.columns else stratified_folds(train, label, key, folds, seed)
+    folded = materialize(folded, "folds")
+    rest = [folded.filter(F.col("fold") != i) for i in range(folds)]
+    if balance:
+        rest = [materialize(balance(r, features), "balanced") for r in rest]
+    return [(r, folded.filter(F.col("fold") == i)) for i, r in enumerate(rest)]
+
+
 def fold_metrics(train: DataFrame, features: list[str], name: str, params: dict | None = None,
                  folds: int = K.CV_FOLDS, label: str = "label", key: str = "encounter_id",
-                 balance: Balance | None = None, seed: int = K.SEED,
-                 parallelism: int = 1) -> list[dict[str, float]]:
-    """Metrics per stratified fold. ``balance`` sees only the training part of a fold."""
+                 balance: Balance | None = None, seed: int = K.SEED, parallelism: int = 1,
+                 parts: list[tuple[DataFrame, DataFrame]] | None = None) -> list[dict[str, float]]:
+    """Metrics per stratified fold, of ``parts`` if they were made before."""
+    if parts is not None:
+        jobs = [lambda r=r, h=h: metrics_of(score(fit(r, features, name, params, label, seed), h,
+                                                  features, label)) for r, h in parts]
+        return run_parallel(train.sparkSession, jobs, parallelism)
     folded = train if "fold" in train.columns else stratified_folds(train, label, key, folds, seed)
     folded = folded.persist()
 
@@ -199,15 +219,27 @@ def cross_validate(train: DataFrame, features: list[str], name: str, params: dic
 
 def train_model(train: DataFrame, features: list[str], name: str, params: dict | None = None,
                 **options):
-    """The model fitted on all training rows, and its cross-validated result."""
-    model = fit(train, features, name, params, options.get("label", "label"))
+    """The model fitted on all training rows, balanced if the folds are, and its cross-validated
+    result."""
+    balance = options.get("balance")
+    whole = balance(train, features) if balance else train
+    model = fit(whole, features, name, params, options.get("label", "label"))
     return model, cross_validate(train, features, name, params, **options)
 
 
+def _parts(train, features, folds=K.CV_FOLDS, label="label", key="encounter_id", balance=None,
+           seed=K.SEED, **_):
+    return fold_parts(train, features, folds, label, key, balance, seed)
+
+
 def train_all(train: DataFrame, features: list[str], params: dict[str, dict] | None = None,
               models: list[str] | None = None, **options) -> tuple[dict[str, object], list[dict]]:
     """Every model, kept by name, and the result rows."""
     kept, rows = {}, []
+    if options.get("balance") and "parts" not in options:
+        options["parts"] = _parts(train, features, **options)
+        whole = materialize(options["balance"](train, features), "balanced")
+        options["balance"] = lambda df, columns: whole
     for name in models or K.MODEL_NAMES:
         kept[name], row = train_model(train, features, name, (params or {}).get(name), **options)
         rows.append(row)
@@ -221,6 +253,7 @@ def train_feature_sets(train: DataFrame, lists: dict[tuple[int, str], list[str]]
                        **options) -> DataFrame:
     """Cross-validated results for every (top_n, method) and model; empty lists are skipped."""
     rows = []
+    options = _balanced_once(train, [f for some in lists.values() for f in some], options)
     for (top_n, method), features in lists.items():
         if features:
             _, got = train_all(train, features, params, models, **options)
@@ -228,6 +261,25 @@ def train_feature_sets(train: DataFrame, lists: dict[tuple[int, str], list[str]]
     return result_table(train.sparkSession, rows)
 
 
+def _balanced_once(train: DataFrame, features: list[str], options: dict) -> dict:
+    """The options with folds and training rows balanced once for all fits, over all the features."""
+    if not options.get("balance"):
+        return options
+    every = list(dict.fromkeys(features))
+    whole = materialize(options["balance"](train, every), "balanced")
+    return {**options, "parts": _parts(train, every, **options), "balance": lambda df, columns: whole}
+
+
+def _all(lists: dict[tuple[int, str], list[str]]) -> list[str]:
+    return list(dict.fromkeys(f for some in lists.values() for f in some))
+
+
+def balanced_train(data: DataFrame, features: list[str], balance: Balance | None) -> DataFrame:
+    """The ``train`` rows of a split table, balanced and written once if asked."""
+    train = data.filter("split = 'train'")
+    return materialize(balance(train, features), "balanced") if balance else train
+
+
 def _val_test(data: DataFrame, model, features, label, sides) -> dict[str, float]:
     out = {}
     for side in sides:
@@ -239,9 +291,9 @@ def _val_test(data: DataFrame, model, features, label, sides) -> dict[str, float
 def evaluate_all_combinations(data: DataFrame, lists: dict[tuple[int, str], list[str]],
                               params: dict[str, dict] | None = None,
                               models: list[str] | None = None, label: str = "label",
-                              parallelism: int = 1) -> DataFrame:
+                              parallelism: int = 1, balance: Balance | None = None) -> DataFrame:
     """Validation and test AUC and F1 for every selection and model, fitted on ``train``."""
-    train = data.filter("split = 'train'")
+    train = balanced_train(data, _all(lists), balance)
 
     def one(top_n, method, features, name):
         model = fit(train, features, name, (params or {}).get(name), label)
@@ -255,9 +307,9 @@ def evaluate_all_combinations(data: DataFrame, lists: dict[tuple[int, str], list
 
 def grouped_modeling(data: DataFrame, lists: dict[tuple[int, str], list[str]],
                      params: dict[str, dict] | None = None, models: list[str] | None = None,
-                     label: str = "label") -> DataFrame:
+                     label: str = "label", balance: Balance | None = None) -> DataFrame:
     """Test AUC and F1 for every selection and model, with feature counts per category."""
-    train = data.filter("split = 'train'")
+    train = balanced_train(data, _all(lists), balance)
     groups = {c: set(f) for c, f in K.FEATURE_CATEGORIES.items() if c != "Label"}
     rows = []
     for (top_n, method), features in lists.items():
@@ -275,6 +327,7 @@ def category_experiment(train: DataFrame, candidates: list[str], methods: list[s
                         label: str = "label", **options) -> DataFrame:
     """Selection and training inside each feature category on its own."""
     rows = []
+    options = _balanced_once(train, candidates, {"label": label, **options})
     for category, members in K.FEATURE_CATEGORIES.items():
         present = [f for f in members if f in candidates]
         if not present or category == "Label":
@@ -282,7 +335,7 @@ def category_experiment(train: DataFrame, candidates: list[str], methods: list[s
         for method in methods:
             chosen = G.select_features(method, train, present, label, top_n)
             features = G.feature_lists(chosen)[top_n, method]
-            _, got = train_all(train, features, params, models, label=label, **options)
+            _, got = train_all(train, features, params, models, **{"label": label, **options})
             rows += [{**r, "feature_category": category, "feature_selector": method,
                       "top_n": top_n} for r in got]
     return result_table(train.sparkSession, rows)
@@ -291,9 +344,11 @@ def category_experiment(train: DataFrame, candidates: list[str], methods: list[s
 # --- searches ---------------------------------------------------------------------------------
 
 def param_search(data: DataFrame, features: list[str], name: str, grid: dict[str, list],
-                 label: str = "label", parallelism: int = 1) -> list[dict]:
-    """Validation AUC and F1 for every parameter combination, fitted on ``train``."""
-    train = data.filter("split = 'train'")
+                 label: str = "label", parallelism: int = 1, balance: Balance | None = None,
+                 train: DataFrame | None = None) -> list[dict]:
+    """Validation AUC and F1 for every parameter combination, fitted on ``train``: the split's rows,
+    or those given."""
+    train = balanced_train(data, features, balance) if train is None else train
 
     def one(params):
         model = fit(train, features, name, params, label)
@@ -305,35 +360,43 @@ def param_search(data: DataFrame, features: list[str], name: str, grid: dict[str
 
 
 def grid_search_on_validation(data: DataFrame, lists: dict[tuple[int, str], list[str]], name: str,
-                              grid: dict[str, list], **options) -> DataFrame:
+                              grid: dict[str, list], balance: Balance | None = None,
+                              **options) -> DataFrame:
+    options["train"] = balanced_train(data, _all(lists), balance)
     rows = [{"top_n": n, "fs": m, **r} for (n, m), f in lists.items()
             for r in param_search(data, f, name, grid, **options)]
     return result_table(data.sparkSession, rows)
 
 
 def param_search_all_models(data: DataFrame, features: list[str], grids: dict[str, dict],
-                            **options) -> DataFrame:
+                            balance: Balance | None = None, **options) -> DataFrame:
     """Best parameters per model by validation AUC; the first wins a draw."""
+    options["train"] = balanced_train(data, features, balance)
     rows = [max(param_search(data, features, name, grid, **options), key=lambda r: r["val_auc"])
             for name, grid in grids.items()]
     return result_table(data.sparkSession, rows)
 
 
 def evaluate_config(data: DataFrame, features: list[str], name: str, params: dict | None = None,
-                    label: str = "label", sides=("test",)) -> dict:
-    model = fit(data.filter("split = 'train'"), features, name, params, label)
+                    label: str = "label", sides=("test",), balance: Balance | None = None,
+                    train: DataFrame | None = None) -> dict:
+    train = balanced_train(data, features, balance) if train is None else train
+    model = fit(train, features, name, params, label)
     return {"model": name, "params": params or {},
             **_val_test(data, model, features, label, list(sides))}
 
 
 def cv_search(train: DataFrame, features: list[str], name: str, grid: dict[str, list],
               folds: int = K.CV_FOLDS, label: str = "label", key: str = "encounter_id",
-              balance: Balance | None = None, parallelism: int = 1) -> list[dict]:
+              balance: Balance | None = None, parallelism: int = 1,
+              parts: list[tuple[DataFrame, DataFrame]] | None = None) -> list[dict]:
     """One row per parameter combination: fold AUCs, their mean, deviation and rank."""
     rows = []
+    if parts is None:
+        parts = fold_parts(train, features, folds, label, key, balance)
     for params in param_grid(grid):
         got = fold_metrics(train, features, name, params, folds, label, key, balance,
-                           parallelism=parallelism)
+                           parallelism=parallelism, parts=parts)
         rows.append({"model": name, "params": params,
                      **{f"split{i}_test_score": r["auc"] for i, r in enumerate(got)},
                      "mean_test_score": _mean(got, "auc"), "std_test_score": _std(got, "auc")})
@@ -344,27 +407,34 @@ def cv_search(train: DataFrame, features: list[str], name: str, grid: dict[str,
 
 def batch_search(data: DataFrame, fs: str, lists: dict[tuple[int, str], list[str]],
                  top_ns: list[int], grids: dict[str, dict], folds: int | None = None,
-                 label: str = "label", parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
+                 label: str = "label", parallelism: int = 1,
+                 balance: Balance | None = None) -> tuple[DataFrame, DataFrame]:
     """Tuned models of one selection method: (validation results, test results).
 
     With ``folds`` the parameters are chosen by cross-validation on ``train``, else on ``val``.
+    ``balance`` holds for the search, inside each fold, and for the final fits.
     """
-    train = data.filter("split = 'train'")
+    every = _all({(n, fs): lists[n, fs] for n in top_ns})
+    train = balanced_train(data, every, balance)
+    if folds is not None:
+        parts = fold_parts(data.filter("split = 'train'"), every, folds, label, balance=balance)
     val, test = [], []
     for top_n in top_ns:
         features = lists[top_n, fs]
         for name, grid in grids.items():
             head = {"model": name, "fs": fs, "top_n": top_n}
             if folds is None:
-                got = param_search(data, features, name, grid, label, parallelism)
+                got = param_search(data, features, name, grid, label, parallelism, train=train)
                 best = max(got, key=lambda r: r["val_auc"])
                 val += [{**head, **r} for r in got]
-                found = evaluate_config(data, features, name, best["params"], label)
+                found = evaluate_config(data, features, name, best["params"], label, train=train)
                 test.append({**head, **found, "val_auc": best["val_auc"], "val_f1": best["val_f1"]})
             else:
-                got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism)
+                got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism,
+                                parts=parts)
                 best = max(got, key=lambda r: r["mean_test_score"])
-                found = evaluate_config(data, features, name, best["params"], label, ("val", "test"))
+                found = evaluate_config(data, features, name, best["params"], label, ("val", "test"),
+                                        train=train)
                 tail = {"params": best["params"], "cv_score": best["mean_test_score"]}
                 val.append({**head, **{k: found[k] for k in ("val_auc", "val_f1")}, **tail})
                 test.append({**head, **{k: found[k] for k in ("test_auc", "test_f1")}, **tail})
@@ -375,9 +445,15 @@ def batch_search(data: DataFrame, fs: str, lists: dict[tuple[int, str], list[str
 def cv_search_all_methods(data: DataFrame, methods: list[str],
                           lists: dict[tuple[int, str], list[str]], top_n: int,
                           grids: dict[str, dict], folds: int = 3, label: str = "label",
-                          parallelism: int = 1) -> tuple[dict[str, dict[str, DataFrame]], dict]:
-    """Per selection method the val, test and cv tables, and the best models by (method, model)."""
-    train = data.filter("split = 'train'")
+                          parallelism: int = 1, balance: Balance | None = None
+                          ) -> tuple[dict[str, dict[str, DataFrame]], dict]:
+    """Per selection method the val, test and cv tables, and the best models by (method, model).
+
+    ``balance`` holds for the search, inside each fold, and for the final fits.
+    """
+    every = _all({(top_n, fs): lists[top_n, fs] for fs in methods})
+    train = balanced_train(data, every, balance)
+    parts = fold_parts(data.filter("split = 'train'"), every, folds, label, balance=balance)
     spark = data.sparkSession
     tables, best_models = {}, {}
     for fs in methods:
@@ -385,7 +461,8 @@ def cv_search_all_methods(data: DataFrame, methods: list[str],
         val, test, cv = [], [], []
         for name, grid in grids.items():
             head = {"model": name, "fs": fs, "top_n": top_n}
-            got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism)
+            got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism,
+                            parts=parts)
             cv += [{**head, **r} for r in got]
             best = max(got, key=lambda r: r["mean_test_score"])
             model = fit(train, features, name, best["params"], label)

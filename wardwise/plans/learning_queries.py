@@ -1,12 +1,12 @@
 """Queries that fit models. They have no SQL twin; the tests check their invariants.
 
-Rankings, balancing and cross-validation of single models run with the full settings. Searches over
-many configurations run over short grids with few trees here, since the full ones fit thousands of
-boosted forests; the functions default to the full settings.
+All run with the study's full settings: three models, three rankings, 5, 10 and 15 features, five folds,
+its grids, and rows balanced in search and final fit. The searches fit hundreds to thousands of models.
 """
 
 from pyspark.sql import functions as F
 
+from wardwise import constants as K
 from wardwise.operators import select as G
 from wardwise.operators import train as R
 from wardwise.operators import unsupervised as U
@@ -15,12 +15,19 @@ from wardwise.plans.registry import register
 from wardwise.plans.views import Clinic
 from wardwise.session import scratch_path
 
-SMALL = {"RandomForest": {"n_estimators": 20, "max_depth": 5},
-         "GradientBoosting": {"n_estimators": 5, "max_depth": 3}}
-GRIDS = {"LogisticRegression": {"C": [0.1, 1.0]},
-         "RandomForest": {"n_estimators": [10], "max_depth": [3, 5]}}
-FAST = ["LogisticRegression", "RandomForest"]
-METHODS = ["MutualInfo", "L1"]
+#: The study's grids. Its `solver` and `min_samples_split` have no counterpart in Spark.
+GRIDS = {"RandomForest": {"n_estimators": [100, 300], "max_depth": [5, 10, 20]},
+         "LogisticRegression": {"C": [0.1, 1.0, 10.0, 100.0]},
+         "GradientBoosting": {"n_estimators": [100, 300], "learning_rate": [0.1, 0.2]}}
+SENSITIVITY_GRIDS = {
+    "RandomForest": {"n_estimators": [100, 500], "max_depth": [None, 10, 20],
+                     "min_samples_leaf": [1, 4]},
+    "LogisticRegression": {"C": [0.1, 1.0, 10.0], "penalty": ["l1", "l2"], "max_iter": [1000]},
+    "GradientBoosting": {"n_estimators": [100, 500], "learning_rate": [0.05, 0.1, 0.2],
+                         "max_depth": [3, 7], "subsample": [0.8, 1.0],
+                         "colsample_bytree": [0.8, 1.0]}}
+METHODS, TOPS = K.SELECTION_METHODS, K.TOP_N_SWEEP
+SEARCH_TOP, CATEGORY_TOP = 5, 10
 
 
 def table(c: Clinic) -> S.TrainingTable:
@@ -30,10 +37,19 @@ def table(c: Clinic) -> S.TrainingTable:
     return c._training
 
 
-def lists(c, top_ns=(5,), methods=("MutualInfo",)):
+def balance(c: Clinic):
+    return S.balance_over(table(c).features)
+
+
+def lists(c, top_ns=TOPS, methods=METHODS):
     return S.feature_lists(table(c), list(methods), list(top_ns))
 
 
+def one_list(c):
+    """The features of the queries of a single configuration."""
+    return lists(c, (5,), ("MutualInfo",))[5, "MutualInfo"]
+
+
 def _study_frame(c):
     return table(c).data
 
@@ -50,38 +66,52 @@ register("select_features",
 register("select_all", lambda c: G.cut(
     G.rank_all(table(c).train, table(c).features), [5, 10, 15]))
 register("cross_validate", lambda c: R.result_table(c.spark, [R.cross_validate(
-    table(c).train, lists(c)[5, "MutualInfo"], "LogisticRegression", parallelism=4)]))
+    table(c).train, one_list(c), "LogisticRegression", parallelism=4)]))
 register("cross_validate_balanced", lambda c: R.result_table(c.spark, [R.cross_validate(
-    table(c).train, lists(c)[5, "MutualInfo"], "LogisticRegression",
-    balance=S.balance, parallelism=5)]))
+    table(c).train, one_list(c), "LogisticRegression", balance=S.balance, parallelism=5)]))
 register("train_all", lambda c: R.result_table(c.spark, R.train_all(
-    table(c).train, lists(c)[5, "MutualInfo"], SMALL, folds=2, parallelism=2)[1]))
+    table(c).train, one_list(c), balance=balance(c), parallelism=2)[1]))
 register("train_feature_sets", lambda c: R.train_feature_sets(
-    table(c).train, lists(c, (5, 10)), SMALL, FAST, folds=2, parallelism=2))
+    table(c).train, lists(c), balance=balance(c), parallelism=2))
 register("grouped_modeling", lambda c: R.grouped_modeling(
-    table(c).data, lists(c, (5, 10)), SMALL, FAST))
+    table(c).data, lists(c), balance=balance(c)))
 register("category_experiment", lambda c: R.category_experiment(
-    table(c).train, table(c).features, ["MutualInfo"], 3, SMALL, ["LogisticRegression"], folds=2))
+    table(c).train, table(c).features, METHODS, CATEGORY_TOP, balance=balance(c), parallelism=2))
 register("evaluate_all_combinations", lambda c: R.evaluate_all_combinations(
-    table(c).data, lists(c, (5, 10), METHODS), SMALL, FAST, parallelism=4))
-register("param_search", lambda c: R.grid_search_on_validation(
-    table(c).data, lists(c, (5, 10)), "LogisticRegression", {"C": [0.1, 1.0, 10.0]},
-    parallelism=3))
+    table(c).data, lists(c), parallelism=4, balance=balance(c)))
+
+
+def _grid_searches(c):
+    """Every selection and model over its grid on the validation rows."""
+    found = lists(c)
+    data = S.balanced(table(c))
+    return R.union_all([R.grid_search_on_validation(data, found, name, grid, parallelism=3)
+                        for name, grid in GRIDS.items()])
+
+
+register("param_search", _grid_searches)
 register("param_search_all_models", lambda c: R.param_search_all_models(
-    table(c).data, lists(c)[5, "MutualInfo"], GRIDS, parallelism=2))
+    table(c).data, one_list(c), GRIDS, parallelism=2, balance=balance(c)))
 register("evaluate_config", lambda c: R.result_table(c.spark, [R.evaluate_config(
-    table(c).data, lists(c)[5, "MutualInfo"], "LogisticRegression", {"C": 10.0})]))
-register("batch_search_holdout", lambda c: R.batch_search(
-    table(c).data, "MutualInfo", lists(c), [5], GRIDS, parallelism=2)[1])
-register("batch_search_cv", lambda c: R.batch_search(
-    table(c).data, "MutualInfo", lists(c), [5], {"LogisticRegression": {"C": [0.1, 1.0]}},
-    folds=2, parallelism=2)[1])
+    table(c).data, one_list(c), "LogisticRegression", {"C": 10.0}, balance=balance(c))]))
+
+
+def _batch_searches(c, folds):
+    """The batch search of every selection method."""
+    found = lists(c)
+    return R.union_all([R.batch_search(
+        table(c).data, fs, found, TOPS, GRIDS, folds, parallelism=2, balance=balance(c))[1]
+        for fs in METHODS])
+
+
+register("batch_search_holdout", lambda c: _batch_searches(c, None))
+register("batch_search_cv", lambda c: _batch_searches(c, K.CV_FOLDS))
 
 
 def _all_methods(c):
     tables, _ = R.cv_search_all_methods(
-        table(c).data, METHODS, lists(c, (5,), METHODS), 5,
-        {"LogisticRegression": {"C": [0.1, 1.0]}}, folds=2, parallelism=2)
+        table(c).data, METHODS, lists(c, (SEARCH_TOP,)), SEARCH_TOP, GRIDS, K.CV_FOLDS,
+        parallelism=2, balance=balance(c))
     return R.stack_tables(tables, "cv")
 
 
@@ -91,7 +121,7 @@ register("cv_search_all_methods", _all_methods)
 def scorer(c):
     """A scorer that was saved and loaded again."""
     t = table(c)
-    features = lists(c, (10,))[10, "MutualInfo"]
+    features = lists(c, (10,), ("MutualInfo",))[10, "MutualInfo"]
     model = R.fit(t.train, features, "LogisticRegression")
     path = scratch_path(c.spark, "models")
     R.save_models({"LogisticRegression": R.build_scorer(t.encoder, t.scaler, features, model)}, path)
@@ -100,7 +130,7 @@ def scorer(c):
 
 register("batch_score", lambda c: R.batch_score(scorer(c), table(c).raw.drop("label", "split")))
 register("sensitivity_study", lambda c: S.sensitivity_study(
-    c, ["MutualInfo"], 5, {"LogisticRegression": {"C": [0.1, 1.0]}}, folds=2, parallelism=2))
+    c, METHODS, K.TOP_N, SENSITIVITY_GRIDS, K.CV_FOLDS, parallelism=2))
 
 
 def _components(c):

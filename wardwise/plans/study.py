@@ -69,6 +69,11 @@ def balance(train: DataFrame, features: list[str]) -> DataFrame:
     return B.smote(train, features, LABEL, KEY)
 
 
+def balance_over(features: list[str]) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """SMOTE over the given features, whichever of them a fit uses."""
+    return lambda train, _: balance(train, features)
+
+
 def balanced(table: TrainingTable) -> DataFrame:
     """Validation and test rows as they are, training rows balanced; written once."""
     made = balance(table.train, table.features).withColumn("split", F.lit("train"))
@@ -103,7 +108,7 @@ def analysis_table(clinic, analysis: str) -> TrainingTable:
 
 def sensitivity_study(clinic, methods: list[str], top_n: int, grids: dict[str, dict],
                       folds: int = K.CV_FOLDS, analyses: list[str] | None = None,
-                      parallelism: int = 1) -> DataFrame:
+                      parallelism: int = 1, even: bool = True) -> DataFrame:
     """Tuned results of every analysis: search, store the result sets, read back and stack."""
     path = scratch_path(clinic.spark, "sensitivity")
     rows = []
@@ -111,7 +116,8 @@ def sensitivity_study(clinic, methods: list[str], top_n: int, grids: dict[str, d
         table = analysis_table(clinic, analysis)
         lists = feature_lists(table, methods, [top_n])
         found, _ = R.cv_search_all_methods(table.data, methods, lists, top_n, grids, folds, LABEL,
-                                            parallelism)
+                                            parallelism,
+                                            balance_over(table.features) if even else None)
         writers.write_result_sets({(analysis, fs, kind): df for fs, kinds in found.items()
                                    for kind, df in kinds.items()}, path)
         for fs in methods:
