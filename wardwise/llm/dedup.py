@@ -1,8 +1,9 @@
-"""Substring dedup by hashing lines and pieces of lines.
+"""Substring dedup by hashing lines, paragraphs and pieces of text.
 
-A line is a unit; a long line is first cut, by content, where a word's hash is less than its neighbours',
-so that a passage is cut alike wherever it stands, and then two neighbouring pieces are a unit. Units are
-normalised (A-Z in lower case, runs of white space as one), digested to 128 bits and grouped over all
+Units of a text are its lines, however short, its paragraphs, and passages: the words are cut, by content,
+where a word's hash is less than its neighbours', so that a passage is cut alike wherever it stands, and two
+neighbouring pieces are a unit. Pieces are made twice, inside lines and over line ends. Units are normalised
+(A-Z in lower case, runs of white space, line ends too, as one), digested to 128 bits and grouped over all
 documents. The earliest occurrence by (doc_id, row, place) stays; the others are removed, with their offsets
 in the original text. The earliest occurrence of every piece stays, since whatever removes one has an
 earlier copy of it.
@@ -21,69 +22,121 @@ from wardwise.llm import words as W
 from wardwise.session import Temporary, materialize
 
 REACH = 3
-LEAST_WORDS = 8
+#: Least words of a line, and of a passage or paragraph.
+LEAST_WORDS, PASSAGE_WORDS = 1, 8
+#: A piece without a cut is cut after so many words; at the latest after twice as many.
+MOST_WORDS = 48
 _SECOND = 0xA0761D6478BD642F
 
 
-def _cuts(w: W.Words, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(is the word the first of a piece, is it the first of a line)."""
-    n = w.starts.size
-    line = np.searchsorted(np.flatnonzero(buf == 10), w.starts)
-    opens = np.ones(n, bool)
-    opens[1:] = line[1:] != line[:-1]
-    opens[w.first[:-1][w.first[:-1] < n]] = True
+def _forced(cut: np.ndarray, weak: np.ndarray) -> np.ndarray:
+    """Further cuts in pieces of over MOST_WORDS words: at the next word that no neighbour is less than, so that
+    a repeated word or short cycle is cut in the same phase everywhere."""
+    at = np.flatnonzero(cut)
+    ends = np.append(at[1:], cut.size)
+    out = cut.copy()
+    for lo, hi in zip(at[ends - at > MOST_WORDS], ends[ends - at > MOST_WORDS]):
+        places = np.flatnonzero(weak[lo:hi]) + lo
+        while hi - lo > MOST_WORDS:
+            i = np.searchsorted(places, lo + MOST_WORDS)
+            lo = min(places[i] if i < places.size else hi, lo + 2 * MOST_WORDS)
+            if lo < hi:
+                out[lo] = True
+    return out
+
+
+def _cuts(hashes: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """Is the word the first of a piece; pieces end where the next run of words opens."""
+    n = hashes.size
     number = np.cumsum(opens)
-    least = np.ones(n, bool)
+    least, weak = np.ones(n, bool), np.ones(n, bool)
     for s in range(1, REACH + 1):
         same = number[s:] == number[:-s]
-        least[s:] &= ~same | (w.hashes[s:] < w.hashes[:-s])
-        least[:-s] &= ~same | (w.hashes[:-s] <= w.hashes[s:])
-    return opens | least, opens
-
-
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, buf, offsets in W.pieces(batches):
-        w = W.Words(buf, offsets, W.NOT_SPACE, W.FOLDED)
-        if not w.starts.size:
-            continue
-        cut, opens = _cuts(w, buf)
-        at = np.flatnonzero(cut)
-        ends = np.append(at[1:], w.starts.size)
-        place = np.arange(w.starts.size) - np.repeat(at, ends - at)
-        digests = [np.add.reduceat(w.hashes * W.powers(base, int(place.max()) + 1)[place], at) for base in (W._RUN, _SECOND)]
-        alone = opens[at] & np.append(opens[at][1:], True)  # the only piece of its line
-        pair = np.flatnonzero(~np.append(opens[at][1:], True))  # has a next piece in its line
-        left = np.concatenate([np.flatnonzero(alone), pair])
-        right = np.concatenate([np.flatnonzero(alone), pair + 1])
-        size = ends[right] - at[left]
-        long = size >= LEAST_WORDS
-        left, right, size = left[long], right[long], size[long]
-        lone = np.where(left == right, np.uint64(0), np.uint64(1))
-        keys = [W.mix(W.mix(d[left] + size.astype(np.uint64)) + lone * d[right]) for d in digests]
-        points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
-        doc = np.searchsorted(w.first, at[left], "right") - 1
-        zero = points[offsets[doc]]
-        yield pa.RecordBatch.from_arrays([
-            rows.column("doc_id").take(pa.array(doc)), rows.column("row").take(pa.array(doc)),
-            pa.array(points[w.starts[at[left]]] - zero, pa.int64()), pa.array(points[w.ends[ends[right] - 1]] - zero, pa.int64()),
-            pa.array(size, pa.int64()), pa.array(W.signed(keys[0])), pa.array(W.signed(keys[1]))],
-            ["doc_id", "row", "start", "end", "n_words", "d1", "d2"])
-
-
-def repeats(docs: DataFrame) -> DataFrame:
+        least[s:] &= ~same | (hashes[s:] < hashes[:-s])
+        least[:-s] &= ~same | (hashes[:-s] <= hashes[s:])
+        weak[s:] &= ~same | (hashes[s:] <= hashes[:-s])
+        weak[:-s] &= ~same | (hashes[:-s] <= hashes[s:])
+    return _forced(opens | least, weak)
+
+
+def _pairs(cut: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of two neighbouring pieces of a run."""
+    at = np.flatnonzero(cut)
+    ends = np.append(at[1:], cut.size)
+    has_next = np.flatnonzero(~np.append(opens[at][1:], True))
+    return at[has_next], ends[has_next + 1]
+
+
+def _runs(opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.flatnonzero(opens)
+    return at, np.append(at[1:], opens.size)
+
+
+def _spans(w: W.Words, buf: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of all units, each span once."""
+    n = w.starts.size
+    line = np.searchsorted(np.flatnonzero(buf == 10), w.starts)
+    text = np.zeros(n, bool)
+    text[w.first[:-1][w.first[:-1] < n]] = True
+    step = np.diff(line, prepend=line[0])
+    of_line, of_paragraph = text | (step > 0), text | (step > 1)
+    lines = _runs(of_line)
+    found = [_runs(of_paragraph), _pairs(_cuts(w.hashes, of_line), of_line), _pairs(_cuts(w.hashes, text), text)]
+    found = [(lo[hi - lo >= PASSAGE_WORDS], hi[hi - lo >= PASSAGE_WORDS]) for lo, hi in found]
+    kept = lines[1] - lines[0] >= least_words
+    left = np.concatenate([lines[0][kept], *(lo for lo, _ in found)])
+    right = np.concatenate([lines[1][kept], *(hi for _, hi in found)])
+    one = np.unique(left * (n + 1) + right)
+    return one // (n + 1), one % (n + 1)
+
+
+def _digests(hashes: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each span's words, wherever it stands."""
+    size = (right - left).astype(np.uint64)
+    out = []
+    for base in (W._RUN, _SECOND):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * W.powers(base, hashes.size)[:hashes.size], dtype=np.uint64)])
+        back = W.powers(pow(base, -1, 1 << 64), hashes.size)
+        out.append(W.mix(W.mix((total[right] - total[left]) * back[left]) + size))
+    return out
+
+
+def _units(least_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offsets in W.pieces(batches):
+            w = W.Words(buf, offsets, W.NOT_SPACE, W.FOLDED)
+            if not w.starts.size:
+                continue
+            left, right = _spans(w, buf, least_words)
+            keys = _digests(w.hashes, left, right)
+            points = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
+            doc = np.searchsorted(w.first, left, "right") - 1
+            zero = points[offsets[doc]]
+            yield pa.RecordBatch.from_arrays([
+                rows.column("doc_id").take(pa.array(doc)), rows.column("row").take(pa.array(doc)),
+                pa.array(points[w.starts[left]] - zero, pa.int64()), pa.array(points[w.ends[right - 1]] - zero, pa.int64()),
+                pa.array(right - left, pa.int64()), pa.array(W.signed(keys[0])), pa.array(W.signed(keys[1]))],
+                ["doc_id", "row", "start", "end", "n_words", "d1", "d2"])
+
+    return run
+
+
+def repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per repeated unit of docs (doc_id, text, row): doc_id, row, start, end, n_words, and the kept
     occurrence's first_doc_id and first_start. Offsets are code points of the whole original text.
 
-    `row` tells apart rows of equal doc_id. Null and empty texts have no units; units of fewer than
-    LEAST_WORDS words always stay; a null doc_id ranks first.
+    `row` tells apart rows of equal doc_id. Null and empty texts have no units; lines of fewer than
+    `least_words` words are no units; a null doc_id ranks first. docs is read twice and must give the same
+    rows both times, as a scan of files does.
     """
     with Temporary(docs.sparkSession) as tables:
-        return tables.keep(_repeated(docs), "repeats")
+        return tables.keep(_repeated(docs, least_words), "repeats")
 
 
-def _repeated(docs: DataFrame) -> DataFrame:
-    units = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text").mapInArrow(
-        _units, "doc_id long, row long, start long, end long, n_words long, d1 long, d2 long"), "units")
+def _repeated(docs: DataFrame, least_words: int) -> DataFrame:
+    # made twice, once a branch: written, the units alone take more than the input
+    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text").mapInArrow(
+        _units(least_words), "doc_id long, row long, start long, end long, n_words long, d1 long, d2 long")
     first = (units.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row", "start")).alias("kept"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("d1", "d2", "kept"))
     return units.join(first, ["d1", "d2"]).where("NOT (struct(doc_id, row, start) <=> kept)").select(
@@ -109,10 +162,11 @@ def _cut_out():
     return run
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """docs without repeated units; `removed` lists (start, end) in the original text."""
+def remove_repeats(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
+    """docs without repeated units; `removed` lists (start, end) in the original text. With least_words=1 every
+    repeated line goes, however short."""
     held = materialize(docs.drop("removed").withColumn("row", F.monotonically_increasing_id()), "rows")
-    spans = repeats(held).groupBy(F.col("row").alias("_row")).agg(
+    spans = repeats(held, least_words).groupBy(F.col("row").alias("_row")).agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
     joined = held.join(spans, F.col("row") == F.col("_row"), "left").drop("_row", "row").withColumn("removed", F.col("_spans"))
     schema = joined.drop("_spans").schema
