@@ -33,9 +33,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+#: A private key to its END line, which is the next five hyphens; without one, to the end of its base64 lines.
+PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+       r"(?:[^-]*+(?:-{1,4}[^-]++){0,64}+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+       r"|(?:(?:\s|\\[rn])*+(?:Proc-Type|DEK-Info):[^\r\n]{0,200}){0,4}+"
+       r"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{16,}+={0,2}){0,1000}+"
+       r"(?:(?:\r?\n|\\n)[A-Za-z0-9+/]{1,15}+={0,2}(?![^\s\x22\x27\\]))?)")
 RULES = (
     *BASE_RULES,
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
@@ -164,23 +170,32 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def running_sums(a: Column) -> Column:
-    """Sums of a's first 1, 2, ... elements, by blocks of 256, so that long arrays cost little."""
-    zero, block = F.lit(0).cast("long"), 256
+def _running(a: Column, step, start: int) -> Column:
+    """step over a's first 1, 2, ... elements, by blocks of 256, so that long arrays cost little."""
+    first, block = F.lit(start).cast("long"), 256
 
-    def sums(x: Column) -> Column:
+    def steps(x: Column) -> Column:
         return F.aggregate(x, F.array().cast("array<long>"),
-                           lambda acc, v: F.concat(acc, F.array(F.coalesce(F.get(acc, F.size(acc) - 1), zero) + v)))
+                           lambda acc, v: F.concat(acc, F.array(step(F.coalesce(F.get(acc, F.size(acc) - 1), first), v))))
 
     def joined(blocks: Column) -> Column:
-        return let(sums(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda x, y: x + y))), lambda before: F.flatten(
-            F.transform(blocks, lambda b, i: let(F.coalesce(F.get(before, i - 1), zero), lambda off: F.transform(
-                sums(b), lambda x: x + off)))))
+        return let(steps(F.transform(blocks, lambda b: F.aggregate(b, first, step))), lambda before: F.flatten(
+            F.transform(blocks, lambda b, i: let(F.coalesce(F.get(before, i - 1), first), lambda off: F.transform(
+                steps(b), lambda x: step(x, off))))))
 
     return let(a, lambda v: let(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(block)), lambda s: F.slice(v, s, block)), joined))
 
 
+def running_sums(a: Column) -> Column:
+    return _running(a, lambda x, y: x + y, 0)
+
+
+def running_most(a: Column) -> Column:
+    """Greatest of a's first 1, 2, ... elements, none of them negative."""
+    return _running(a, lambda x, y: F.greatest(x, y), 0)
+
+
 SPANS = "array<struct<start:long,rank:int,end:long>>"
 
 
@@ -208,16 +223,18 @@ def _spans(rule: Rule, n: int, text: Column) -> Column:
     return F.when(_hit(rule, n, text), found.cast(SPANS)).otherwise(F.array().cast(SPANS))
 
 
+def _all_spans(rules: tuple[Rule, ...], text: str) -> Column:
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.sort_array(F.concat(*(_spans(r, n, whole) for n, r in enumerate(rules))))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with `spans`: array of (start, rank, end) in code points, end exclusive, by start, then rule.
 
     A null text is empty; repeated and null keys are searched row by row like any other row; a
     column named spans is replaced.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    found = _with_candidates(docs, rules, key, text)
-    spans = F.sort_array(F.concat(*(_spans(r, n, whole) for n, r in enumerate(rules))))
-    return found.withColumn("spans", spans).drop("_rules")
+    return _with_candidates(docs, rules, key, text).withColumn("spans", _all_spans(rules, text)).drop("_rules")
 
 
 def listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -227,20 +244,45 @@ def listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
         ":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def merged(spans: Column) -> Column:
+    """Unions (start, end) of overlapping spans, from spans sorted by start."""
+
+    def of(sorted_spans: Column, ends: Column) -> Column:
+        heads = F.filter(F.transform(sorted_spans, lambda s, i: F.when(
+            F.coalesce(s["start"] >= F.get(ends, i - 1), F.lit(True)), i)), lambda i: i.isNotNull())
+        return let(heads, lambda h: F.transform(h, lambda i, k: F.struct(
+            F.get(sorted_spans, i)["start"].alias("start"),
+            F.get(ends, F.coalesce(F.get(h, k + 1), F.size(ends)) - 1).alias("end"))))
+
+    return let(spans, lambda s: let(running_most(F.transform(s, lambda x: x["end"])), lambda e: of(s, e)))
+
+
+def masked(text: Column, places: Column, mask: str) -> Column:
+    """text with each of the disjoint places replaced; it is cut by blocks of 256 places, then by place."""
+    block = 256
+    part = lambda t, lo, hi: F.substring(t, (lo + 1).cast("int"), (hi - lo).cast("int"))
+    end = lambda p, i: F.coalesce(F.get(p, i)["end"], F.lit(0).cast("long"))
+
+    def of(p: Column) -> Column:
+        def in_block(first: Column) -> Column:
+            base = end(p, first - 2)
+            inside = F.slice(p, first, block)
+            return let(F.struct(base.alias("base"), inside.alias("inside"), part(
+                text, base, end(inside, F.size(inside) - 1)).alias("text")), lambda b: F.array_join(
+                    F.transform(b["inside"], lambda s, i: F.concat(part(
+                        b["text"], F.coalesce(F.get(b["inside"], i - 1)["end"], b["base"]) - b["base"], s["start"] - b["base"]),
+                        F.lit(mask))), ""))
+
+        blocks = F.transform(F.sequence(F.lit(1), F.size(p), F.lit(block)), in_block)
+        return F.concat(F.array_join(blocks, ""), part(text, end(p, F.size(p) - 1), F.char_length(text).cast("long")))
+
+    return let(places, lambda p: F.when(F.size(p) > 0, of(p)).otherwise(text))
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text",
            mask: str = "<SECRET>") -> DataFrame:
-    """docs with every secret of the text replaced by `mask`, rule by rule, the particular kinds before the
-    base ones, whose matches may be parts of theirs. Null texts stay null."""
-    out = _with_candidates(docs, rules, key, text)
-    for n, rule in sorted(enumerate(rules), key=lambda r: r[1] in BASE_RULES):
-        whole, pattern = F.col(text), F.lit(rule.pattern)
-        matches = F.regexp_extract_all(whole, pattern, F.lit(0))
-        put = F.transform(matches, lambda m: F.lit(mask))
-        if rule.least:
-            values = F.regexp_extract_all(whole, pattern, F.lit(rule.group))
-            least = rule.least
-            put = F.zip_with(matches, values, lambda m, v: F.when(F.char_length(v) >= least, F.lit(mask)).otherwise(m))
-        joined = F.array_join(F.zip_with(F.split(whole, rule.pattern, -1), put, lambda p, m: F.concat(
-            p, F.coalesce(m, F.lit("")))), "")
-        out = out.withColumn(text, F.when(_hit(rule, n, whole), joined).otherwise(whole))
-    return out.drop("_rules").select(docs.columns)
+    """docs with every secret of the text replaced by `mask`: the spans of all rules in the original text, those
+    that overlap as one. Null texts stay null."""
+    found = _with_candidates(docs, rules, key, text)
+    whole = masked(F.col(text), merged(_all_spans(rules, text)), mask)
+    return found.withColumn(text, whole).drop("_rules").select(docs.columns)
