@@ -7,6 +7,7 @@ its grids, and rows balanced in search and final fit. The searches fit hundreds
 from pyspark.sql import functions as F
 
 from wardwise import constants as K
+from wardwise.operators import neighbours as B
 from wardwise.operators import select as G
 from wardwise.operators import train as R
 from wardwise.operators import unsupervised as U
@@ -133,14 +134,27 @@ register("sensitivity_study", lambda c: S.sensitivity_study(
     c, METHODS, K.TOP_N, SENSITIVITY_GRIDS, K.CV_FOLDS, parallelism=2))
 
 
+def balanced_rows(c):
+    """The balanced training rows; `row` tells the copies of an encounter apart."""
+    if "_balanced" not in vars(c):
+        c._balanced = S.balanced(table(c)).filter("split = 'train'")
+    copies = c._balanced.agg(F.max("copy")).first()[0]
+    return c._balanced.withColumn("row", F.col(S.KEY).cast("long") * (copies + 1) + F.col("copy"))
+
+
 def _components(c):
-    t = table(c)
-    return U.pca_2d(t.train, t.features, S.KEY)[0]
+    return U.pca_2d(balanced_rows(c), table(c).features, "row")[0].drop("row")
+
+
+def _noise(c):
+    """Every balanced training row with its flags, over all encoded features."""
+    rows = balanced_rows(c)
+    found = B.density_noise(rows, table(c).features, "row", eps=0.5, min_samples=10)
+    return rows.select("row", S.KEY, "copy").join(found, "row").drop("row")
 
 
 def _clusters(c):
-    t = table(c)
-    parts, _ = U.pca_2d(t.train, t.features, S.KEY)
+    parts, _ = U.pca_2d(balanced_rows(c), table(c).features, "row")
     clustered, inertia = U.kmeans_clusters(parts, ["pc1", "pc2"])
     return U.cluster_profile(clustered, ["pc1", "pc2"], "label").withColumn("inertia",
                                                                             F.lit(inertia))
@@ -148,5 +162,6 @@ def _clusters(c):
 
 register("pca_2d", _components)
 register("kmeans_clusters", _clusters)
+register("density_noise_balanced", _noise)
 register("isolation_forest_flags", lambda c: U.isolation_forest_flags(
-    table(c).train, table(c).features, S.KEY).select(S.KEY, "anomaly_score", "anomaly"))
+    balanced_rows(c), table(c).features, "row").select(S.KEY, "copy", "anomaly_score", "anomaly"))
