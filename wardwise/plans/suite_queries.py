@@ -153,15 +153,15 @@ FROM {{patients}} WHERE {SCORE} >= 0.3 ORDER BY risk_score DESC, num_medications
 
 
 def _bundle(c):
-    """Rows per result set of the bundle."""
+    """The rows of every result set of the bundle."""
     parts = {**S.analytics_bundle(c.patients, c.medications, c.model_results,
                                   F.to_date(F.lit(AS_OF))),
              **S.summary_bundle(c.patients, c.model_results)}
-    counts = [df.groupBy().agg(F.count("*").alias("result_rows"))
-              .select(F.lit(name).alias("result_set"), "result_rows") for name, df in parts.items()]
-    out = counts[0]
-    for one in counts[1:]:
-        out = out.unionByName(one)
+    out = None
+    for name, df in parts.items():
+        cells = F.concat_ws("|", *[F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n in df.columns])
+        part = rounded(df).select(F.lit(name).alias("result_set"), cells.alias("cells"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
