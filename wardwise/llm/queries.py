@@ -13,6 +13,7 @@ from wardwise.llm import (
     dedup,
     jaccard,
     lm,
+    manifest,
     quality,
     secrets,
     sentencepiece,
@@ -107,8 +108,15 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_groups(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of every document, a third of them with A-Z lower-cased in the text."""
+    text = F.col("text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, manifest.lowered(text)).otherwise(text)
+    return manifest.verify(_read(spark, folder, "documents"), tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scans, op2_token_counts, op3_substring_dedup, op4_sentencepiece, op5_benchmark_decontamination,
-    op6_lm_scoring, op7_sharding, op8_quality_rules, op9_chat_formatting, op10_jaccard_join)}
+    op6_lm_scoring, op7_sharding, op8_quality_rules, op9_chat_formatting, op10_jaccard_join, op11_merkle_manifest)}
 #: SQL states none of them: hashes of the engine, fitted models and digests of streams are not in DuckDB.
 ORACLES: dict[str, str] = {}
