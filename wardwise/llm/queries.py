@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from wardwise.llm import (
     chat,
+    conversation_trie,
     decontaminate,
     dedup,
     jaccard,
+    language,
     lm,
     manifest,
     quality,
@@ -115,8 +117,17 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.verify(_read(spark, folder, "documents"), tampered)
 
 
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(_read(spark, folder, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_read(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scans, op2_token_counts, op3_substring_dedup, op4_sentencepiece, op5_benchmark_decontamination,
-    op6_lm_scoring, op7_sharding, op8_quality_rules, op9_chat_formatting, op10_jaccard_join, op11_merkle_manifest)}
+    op6_lm_scoring, op7_sharding, op8_quality_rules, op9_chat_formatting, op10_jaccard_join, op11_merkle_manifest, op12_language_id,
+    op13_conversation_trie)}
 #: SQL states none of them: hashes of the engine, fitted models and digests of streams are not in DuckDB.
 ORACLES: dict[str, str] = {}
