@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardwise.llm.rows import spread_join
 from wardwise.session import materialize
 
 
@@ -16,18 +17,19 @@ def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) of longs -> rows (id, root), root the least id of the component; roots have no row.
 
     Each round links the neighbours of every vertex to the least of them; a vertex with many neighbours
-    is handled by aggregates and joins, never as a list. Rounds grow with the logarithm of the size.
+    is handled by aggregates and spread joins, never as a list or in one task. Rounds grow with the logarithm of
+    the size.
     """
     cur = materialize(edges.where("a <> b").select(
         F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     state = _state(cur)
     while state[0]:
         both = cur.select(F.col("hi").alias("v"), F.col("lo").alias("u")).union(cur.select("lo", "hi"))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = (both.join(least, "v").where("u > v AND u <> m")
-                 .select(F.col("u").alias("hi"), F.col("m").alias("lo")).distinct())
-        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(down, "hi").select(
+        least = materialize(both.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        met = spread_join(both, least.select("v", F.least("v", "m").alias("m")), ["v"], least)
+        large = materialize(met.where("u > v AND u <> m").select(F.col("u").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
+        down = materialize(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n")), "down")
+        small = spread_join(large, down.select("hi", "m"), ["hi"], down).select(
             F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")
         ).select("e.*").where("hi <> lo").distinct()
         cur = materialize(small, "edges")
