@@ -152,10 +152,10 @@ def test_train_and_search(table, spark):
     assert set(kept) == {"LogisticRegression", "RandomForest", "GradientBoosting"}
     assert all(0 <= r["cv_auc"] <= 1 for r in rows)
     grids = {"LogisticRegression": {"C": [0.1, 1.0]}}
-    val, test = R.batch_search(table.data, "M", {(6, "M"): features}, [6], grids)
+    val, test = R.batch_search(table.data, ["M"], {(6, "M"): features}, [6], grids)
     assert val.count() == 2 and test.count() == 1
     tables, best = R.cv_search_all_methods(table.data, ["M"], {(6, "M"): features}, 6, grids, 2)
-    assert ("M", "LogisticRegression") in best
+    assert best["M", "LogisticRegression"] in R.param_grid(grids["LogisticRegression"])
     cv = tables["M"]["cv"].toPandas()
     assert sorted(cv["rank_test_score"])[0] == 1
     assert np.allclose(cv["mean_test_score"], cv[["split0_test_score", "split1_test_score"]].mean(axis=1))

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from wardwise import constants as K
 from wardwise.functions import clinical as C
 from wardwise.operators import select as G
+from wardwise.operators.batch import Batch, Fit, Part
 from wardwise.operators.prepare import stratified_folds
 from wardwise.operators.profile import union_all
 from wardwise.session import materialize
@@ -131,13 +132,6 @@ def metrics_of(scored: DataFrame) -> dict[str, float]:
             "auc": float(auc)}
 
 
-def iterations(model) -> int | None:
-    """Iterations of an iterative fit, else None."""
-    if isinstance(getattr(model, "hasSummary", None), bool) and model.hasSummary:
-        return int(model.summary.totalIterations)
-    return None
-
-
 def run_parallel(spark: SparkSession, jobs: list[Callable[[], object]], parallelism: int) -> list:
     """Results of independent jobs in order; a failing job raises."""
     if parallelism <= 1 or len(jobs) <= 1:
@@ -248,28 +242,6 @@ def train_all(train: DataFrame, features: list[str], params: dict[str, dict] | N
 
 # --- experiments over feature sets ------------------------------------------------------------
 
-def train_feature_sets(train: DataFrame, lists: dict[tuple[int, str], list[str]],
-                       params: dict[str, dict] | None = None, models: list[str] | None = None,
-                       **options) -> DataFrame:
-    """Cross-validated results for every (top_n, method) and model; empty lists are skipped."""
-    rows = []
-    options = _balanced_once(train, [f for some in lists.values() for f in some], options)
-    for (top_n, method), features in lists.items():
-        if features:
-            _, got = train_all(train, features, params, models, **options)
-            rows += [{**r, "top_n": top_n, "feature_method": method} for r in got]
-    return result_table(train.sparkSession, rows)
-
-
-def _balanced_once(train: DataFrame, features: list[str], options: dict) -> dict:
-    """The options with folds and training rows balanced once for all fits, over all the features."""
-    if not options.get("balance"):
-        return options
-    every = list(dict.fromkeys(features))
-    whole = materialize(options["balance"](train, every), "balanced")
-    return {**options, "parts": _parts(train, every, **options), "balance": lambda df, columns: whole}
-
-
 def _all(lists: dict[tuple[int, str], list[str]]) -> list[str]:
     return list(dict.fromkeys(f for some in lists.values() for f in some))
 
@@ -280,101 +252,123 @@ def balanced_train(data: DataFrame, features: list[str], balance: Balance | None
     return materialize(balance(train, features), "balanced") if balance else train
 
 
-def _val_test(data: DataFrame, model, features, label, sides) -> dict[str, float]:
-    out = {}
-    for side in sides:
-        m = metrics_of(score(model, data.filter(F.col("split") == side), features, label))
-        out |= {f"{side}_auc": m["auc"], f"{side}_f1": m["f1"]}
-    return out
+def search_batch(data: DataFrame, features: list[str], folds: int | None = None, label: str = "label",
+                 key: str = "encounter_id", balance: Balance | None = None, **options) -> Batch:
+    """The rows of a search, written once: part 0 fits on ``train`` and scores ``val`` and ``test``, the parts
+    after it are the folds of ``train``. ``balance`` holds inside each fold and for part 0."""
+    sides = {side: data.filter(F.col("split") == side) for side in ("val", "test")}
+    parts = [Part(balanced_train(data, features, balance), sides)]
+    if folds:
+        train = data.filter("split = 'train'")
+        parts += [Part(r, {"fold": h}) for r, h in fold_parts(train, features, folds, label, key, balance)]
+    return Batch(parts, features, label, key, **options)
+
+
+def train_feature_sets(train: DataFrame, lists: dict[tuple[int, str], list[str]],
+                       params: dict[str, dict] | None = None, models: list[str] | None = None,
+                       **options) -> DataFrame:
+    """Cross-validated results for every (top_n, method) and model; empty lists are skipped."""
+    keys = {k: f for k, f in lists.items() if f}
+    rows = _cross_validated(train, list(keys.values()), params, models, **options)
+    return result_table(train.sparkSession, [
+        {**r, "top_n": n, "feature_method": m} for (n, m), found in zip(keys, rows) for r in found])
+
+
+def _cross_validated(train: DataFrame, lists: list[list[str]], params=None, models=None, folds: int = K.CV_FOLDS,
+                     label: str = "label", key: str = "encounter_id", balance: Balance | None = None,
+                     seed: int = K.SEED, **_) -> list[list[dict]]:
+    """Per feature list the mean AUC and F1 of every model; all fits are one batch."""
+    every = list(dict.fromkeys(f for some in lists for f in some))
+    if not every:
+        raise ValueError("nothing was trained: every feature list is empty")
+    parts = fold_parts(train, every, folds, label, key, balance, seed)
+    batch = Batch([Part(r, {"fold": h}) for r, h in parts], every, label, key)
+    of = lambda f, name: [Fit.of(name, f, (params or {}).get(name), i, ("fold",)) for i in range(folds)]
+    names = models or K.MODEL_NAMES
+    got = batch.metrics([x for f in lists for name in names for x in of(f, name)])
+
+    def row(f, name):
+        found = [got[x, "fold"] for x in of(f, name)]
+        return {"model_name": name, "cv_auc": _mean(found, "auc"), "cv_f1": _mean(found, "f1")}
+
+    return [[row(f, name) for name in names] for f in lists]
 
 
 def evaluate_all_combinations(data: DataFrame, lists: dict[tuple[int, str], list[str]],
                               params: dict[str, dict] | None = None,
                               models: list[str] | None = None, label: str = "label",
-                              parallelism: int = 1, balance: Balance | None = None) -> DataFrame:
+                              balance: Balance | None = None, batch: Batch | None = None) -> DataFrame:
     """Validation and test AUC and F1 for every selection and model, fitted on ``train``."""
-    train = balanced_train(data, _all(lists), balance)
+    batch = batch or search_batch(data, _all(lists), label=label, balance=balance)
+    fits = {(n, m, name): Fit.of(name, f, (params or {}).get(name), sides=("val", "test"))
+            for (n, m), f in lists.items() if f for name in models or K.MODEL_NAMES}
+    got = batch.metrics(list(fits.values()))
+    return result_table(data.sparkSession, [
+        {"top_n": n, "fs_method": m, "model": name, **_sides(got, fit)} for (n, m, name), fit in fits.items()])
 
-    def one(top_n, method, features, name):
-        model = fit(train, features, name, (params or {}).get(name), label)
-        return {"top_n": top_n, "fs_method": method, "model": name,
-                **_val_test(data, model, features, label, ["val", "test"])}
 
-    jobs = [lambda a=(n, m, f, name): one(*a) for (n, m), f in lists.items() if f
-            for name in models or K.MODEL_NAMES]
-    return result_table(data.sparkSession, run_parallel(data.sparkSession, jobs, parallelism))
+def _sides(got: dict, fit: Fit, sides=("val", "test")) -> dict[str, float]:
+    return {f"{side}_{k}": got[fit, side][k] for side in sides for k in ("auc", "f1")}
 
 
 def grouped_modeling(data: DataFrame, lists: dict[tuple[int, str], list[str]],
                      params: dict[str, dict] | None = None, models: list[str] | None = None,
-                     label: str = "label", balance: Balance | None = None) -> DataFrame:
+                     label: str = "label", balance: Balance | None = None, batch: Batch | None = None) -> DataFrame:
     """Test AUC and F1 for every selection and model, with feature counts per category."""
-    train = balanced_train(data, _all(lists), balance)
     groups = {c: set(f) for c, f in K.FEATURE_CATEGORIES.items() if c != "Label"}
-    rows = []
-    for (top_n, method), features in lists.items():
-        counts = {c: sum(f in members for f in features) for c, members in groups.items()}
-        for name in models or K.MODEL_NAMES:
-            model = fit(train, features, name, (params or {}).get(name), label)
-            got = _val_test(data, model, features, label, ["test"])
-            rows.append({"model": name, "fs": method, "top_n": top_n, "auc": got["test_auc"],
-                         "f1": got["test_f1"], **counts})
+    found = evaluate_all_combinations(data, lists, params, models, label, balance, batch).collect()
+    rows = [{"model": r.model, "fs": r.fs_method, "top_n": r.top_n, "auc": r.test_auc, "f1": r.test_f1,
+             **{c: sum(f in members for f in lists[r.top_n, r.fs_method]) for c, members in groups.items()}} for r in found]
     return result_table(data.sparkSession, rows)
 
 
+def grouped_histogram(data: DataFrame, lists: dict[tuple[int, str], list[str]], bins: int = 20,
+                      params: dict[str, dict] | None = None, models: list[str] | None = None,
+                      label: str = "label", balance: Balance | None = None, batch: Batch | None = None) -> DataFrame:
+    """Test rows by probability bin, label, model and selection: the spread that goes with `grouped_modeling`."""
+    batch = batch or search_batch(data, _all(lists), label=label, balance=balance)
+    fits = {Fit.of(name, f, (params or {}).get(name), sides=("test",)): (name, m, n)
+            for (n, m), f in lists.items() if f for name in models or K.MODEL_NAMES}
+    scored = batch.scores(list(fits))
+    names = data.sparkSession.createDataFrame(
+        [(i, *fits[f]) for i, f in enumerate(fits)], "config int, model string, fs string, top_n int")
+    cell = F.least(F.floor(F.col("probability") * bins), F.lit(bins - 1)).cast("int")
+    return (scored.groupBy("config", cell.alias("bin"), "label").agg(F.count(F.lit(1)).alias("rows"))
+            .join(F.broadcast(names), "config").select("model", "fs", "top_n", "bin", "label", "rows"))
+
+
 def category_experiment(train: DataFrame, candidates: list[str], methods: list[str], top_n: int = 10,
                         params: dict[str, dict] | None = None, models: list[str] | None = None,
-                        label: str = "label", **options) -> DataFrame:
+                        label: str = "label", parallelism: int = 1, **options) -> DataFrame:
     """Selection and training inside each feature category on its own."""
-    rows = []
-    options = _balanced_once(train, candidates, {"label": label, **options})
-    for category, members in K.FEATURE_CATEGORIES.items():
-        present = [f for f in members if f in candidates]
-        if not present or category == "Label":
-            continue
-        for method in methods:
-            chosen = G.select_features(method, train, present, label, top_n)
-            features = G.feature_lists(chosen)[top_n, method]
-            _, got = train_all(train, features, params, models, **{"label": label, **options})
-            rows += [{**r, "feature_category": category, "feature_selector": method,
-                      "top_n": top_n} for r in got]
-    return result_table(train.sparkSession, rows)
+    present = {c: [f for f in members if f in candidates] for c, members in K.FEATURE_CATEGORIES.items() if c != "Label"}
+    keys = [(c, m) for c, some in present.items() if some for m in methods]
+    chosen = run_parallel(train.sparkSession, [
+        lambda c=c, m=m: G.feature_lists(G.select_features(m, train, present[c], label, top_n))[top_n, m] for c, m in keys], parallelism)
+    rows = _cross_validated(train, chosen, params, models, label=label, **options)
+    return result_table(train.sparkSession, [
+        {**r, "feature_category": c, "feature_selector": m, "top_n": top_n} for (c, m), found in zip(keys, rows) for r in found])
 
 
 # --- searches ---------------------------------------------------------------------------------
 
-def param_search(data: DataFrame, features: list[str], name: str, grid: dict[str, list],
-                 label: str = "label", parallelism: int = 1, balance: Balance | None = None,
-                 train: DataFrame | None = None) -> list[dict]:
-    """Validation AUC and F1 for every parameter combination, fitted on ``train``: the split's rows,
-    or those given."""
-    train = balanced_train(data, features, balance) if train is None else train
-
-    def one(params):
-        model = fit(train, features, name, params, label)
-        return {"model": name, "params": params,
-                **_val_test(data, model, features, label, ["val"])}
-
-    return run_parallel(data.sparkSession, [lambda p=p: one(p) for p in param_grid(grid)],
-                        parallelism)
-
-
-def grid_search_on_validation(data: DataFrame, lists: dict[tuple[int, str], list[str]], name: str,
-                              grid: dict[str, list], balance: Balance | None = None,
-                              **options) -> DataFrame:
-    options["train"] = balanced_train(data, _all(lists), balance)
-    rows = [{"top_n": n, "fs": m, **r} for (n, m), f in lists.items()
-            for r in param_search(data, f, name, grid, **options)]
-    return result_table(data.sparkSession, rows)
+def search_on_validation(data: DataFrame, lists: dict[tuple[int, str], list[str]], grids: dict[str, dict],
+                         label: str = "label", balance: Balance | None = None, batch: Batch | None = None) -> list[dict]:
+    """Validation AUC and F1 of every selection, model and parameter combination, fitted on ``train``."""
+    batch = batch or search_batch(data, _all(lists), label=label, balance=balance)
+    fits = [((n, m, name), params, Fit.of(name, f, params)) for (n, m), f in lists.items() if f
+            for name, grid in grids.items() for params in param_grid(grid)]
+    got = batch.metrics([f for *_, f in fits])
+    return [{"top_n": n, "fs": m, "model": name, "params": params, **_sides(got, fit, ("val",))}
+            for (n, m, name), params, fit in fits]
 
 
 def param_search_all_models(data: DataFrame, features: list[str], grids: dict[str, dict],
-                            balance: Balance | None = None, **options) -> DataFrame:
+                            balance: Balance | None = None, label: str = "label") -> DataFrame:
     """Best parameters per model by validation AUC; the first wins a draw."""
-    options["train"] = balanced_train(data, features, balance)
-    rows = [max(param_search(data, features, name, grid, **options), key=lambda r: r["val_auc"])
-            for name, grid in grids.items()]
-    return result_table(data.sparkSession, rows)
+    found = search_on_validation(data, {(len(features), "given"): features}, grids, label, balance)
+    rows = [max((r for r in found if r["model"] == name), key=lambda r: r["val_auc"]) for name in grids]
+    return result_table(data.sparkSession, [{k: r[k] for k in ("model", "params", "val_auc", "val_f1")} for r in rows])
 
 
 def evaluate_config(data: DataFrame, features: list[str], name: str, params: dict | None = None,
@@ -386,93 +380,95 @@ def evaluate_config(data: DataFrame, features: list[str], name: str, params: dic
             **_val_test(data, model, features, label, list(sides))}
 
 
-def cv_search(train: DataFrame, features: list[str], name: str, grid: dict[str, list],
-              folds: int = K.CV_FOLDS, label: str = "label", key: str = "encounter_id",
-              balance: Balance | None = None, parallelism: int = 1,
-              parts: list[tuple[DataFrame, DataFrame]] | None = None) -> list[dict]:
-    """One row per parameter combination: fold AUCs, their mean, deviation and rank."""
-    rows = []
-    if parts is None:
-        parts = fold_parts(train, features, folds, label, key, balance)
-    for params in param_grid(grid):
-        got = fold_metrics(train, features, name, params, folds, label, key, balance,
-                           parallelism=parallelism, parts=parts)
-        rows.append({"model": name, "params": params,
-                     **{f"split{i}_test_score": r["auc"] for i, r in enumerate(got)},
-                     "mean_test_score": _mean(got, "auc"), "std_test_score": _std(got, "auc")})
-    for r in rows:
-        r["rank_test_score"] = 1 + sum(o["mean_test_score"] > r["mean_test_score"] for o in rows)
-    return rows
-
-
-def batch_search(data: DataFrame, fs: str, lists: dict[tuple[int, str], list[str]],
+def _val_test(data: DataFrame, model, features, label, sides) -> dict[str, float]:
+    out = {}
+    for side in sides:
+        m = metrics_of(score(model, data.filter(F.col("split") == side), features, label))
+        out |= {f"{side}_auc": m["auc"], f"{side}_f1": m["f1"]}
+    return out
+
+
+def cv_search(batch: Batch, lists: dict, grids: dict[str, dict], folds: int) -> dict[tuple, list[dict]]:
+    """By (key of the list, model) one row per parameter combination: fold AUCs, their mean, deviation and rank."""
+    of = lambda f, name, params: [Fit.of(name, f, params, 1 + i, ("fold",)) for i in range(folds)]
+    asked = [(key, f, name, params) for key, f in lists.items() for name, grid in grids.items() for params in param_grid(grid)]
+    got = batch.metrics([x for _, f, name, params in asked for x in of(f, name, params)])
+    out: dict[tuple, list[dict]] = {}
+    for key, f, name, params in asked:
+        found = [got[x, "fold"] for x in of(f, name, params)]
+        out.setdefault((key, name), []).append({
+            "model": name, "params": params, **{f"split{i}_test_score": r["auc"] for i, r in enumerate(found)},
+            "mean_test_score": _mean(found, "auc"), "std_test_score": _std(found, "auc")})
+    for rows in out.values():
+        for r in rows:
+            r["rank_test_score"] = 1 + sum(o["mean_test_score"] > r["mean_test_score"] for o in rows)
+    return out
+
+
+def batch_search(data: DataFrame, methods: list[str], lists: dict[tuple[int, str], list[str]],
                  top_ns: list[int], grids: dict[str, dict], folds: int | None = None,
-                 label: str = "label", parallelism: int = 1,
-                 balance: Balance | None = None) -> tuple[DataFrame, DataFrame]:
-    """Tuned models of one selection method: (validation results, test results).
+                 label: str = "label", balance: Balance | None = None,
+                 batch: Batch | None = None) -> tuple[DataFrame, DataFrame]:
+    """Tuned models of some selection methods: (validation results, test results).
 
     With ``folds`` the parameters are chosen by cross-validation on ``train``, else on ``val``.
     ``balance`` holds for the search, inside each fold, and for the final fits.
     """
-    every = _all({(n, fs): lists[n, fs] for n in top_ns})
-    train = balanced_train(data, every, balance)
-    if folds is not None:
-        parts = fold_parts(data.filter("split = 'train'"), every, folds, label, balance=balance)
+    mine = {(n, fs): lists[n, fs] for fs in methods for n in top_ns}
+    batch = batch or search_batch(data, _all(mine), folds, label, balance=balance)
     val, test = [], []
-    for top_n in top_ns:
-        features = lists[top_n, fs]
-        for name, grid in grids.items():
-            head = {"model": name, "fs": fs, "top_n": top_n}
-            if folds is None:
-                got = param_search(data, features, name, grid, label, parallelism, train=train)
-                best = max(got, key=lambda r: r["val_auc"])
-                val += [{**head, **r} for r in got]
-                found = evaluate_config(data, features, name, best["params"], label, train=train)
-                test.append({**head, **found, "val_auc": best["val_auc"], "val_f1": best["val_f1"]})
-            else:
-                got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism,
-                                parts=parts)
-                best = max(got, key=lambda r: r["mean_test_score"])
-                found = evaluate_config(data, features, name, best["params"], label, ("val", "test"),
-                                        train=train)
-                tail = {"params": best["params"], "cv_score": best["mean_test_score"]}
-                val.append({**head, **{k: found[k] for k in ("val_auc", "val_f1")}, **tail})
-                test.append({**head, **{k: found[k] for k in ("test_auc", "test_f1")}, **tail})
+    if folds is None:
+        asked = {(n, fs, name): [(p, Fit.of(name, f, p, sides=("val", "test"))) for p in param_grid(grid)]
+                 for (n, fs), f in mine.items() for name, grid in grids.items()}
+        got = batch.metrics([x for some in asked.values() for _, x in some])
+        for (n, fs, name), some in asked.items():
+            head = {"model": name, "fs": fs, "top_n": n}
+            val += [{**head, "params": p, **_sides(got, x, ("val",))} for p, x in some]
+            p, best = max(some, key=lambda s: got[s[1], "val"]["auc"])
+            test.append({**head, "params": p, **_sides(got, best, ("test", "val"))})
+    else:
+        searched = cv_search(batch, mine, grids, folds)
+        for (key, name), found, best, got in _finals(batch, mine, searched):
+            head = {"model": name, "fs": key[1], "top_n": key[0]}
+            tail = {"params": best["params"], "cv_score": best["mean_test_score"]}
+            val.append({**head, **_sides(got, found, ("val",)), **tail})
+            test.append({**head, **_sides(got, found, ("test",)), **tail})
     spark = data.sparkSession
     return result_table(spark, val), result_table(spark, test)
 
 
+def _finals(batch: Batch, lists: dict, searched: dict[tuple, list[dict]]):
+    """((key, model), final fit, best row, metrics) of every search; the first row wins a draw."""
+    best = {k: max(rows, key=lambda r: r["mean_test_score"]) for k, rows in searched.items()}
+    fits = {(key, name): Fit.of(name, lists[key], r["params"], sides=("val", "test")) for (key, name), r in best.items()}
+    got = batch.metrics(list(fits.values()))
+    return [(k, fit, best[k], got) for k, fit in fits.items()]
+
+
 def cv_search_all_methods(data: DataFrame, methods: list[str],
                           lists: dict[tuple[int, str], list[str]], top_n: int,
                           grids: dict[str, dict], folds: int = 3, label: str = "label",
-                          parallelism: int = 1, balance: Balance | None = None
+                          balance: Balance | None = None
                           ) -> tuple[dict[str, dict[str, DataFrame]], dict]:
-    """Per selection method the val, test and cv tables, and the best models by (method, model).
+    """Per selection method the val, test and cv tables, and the best parameters by (method, model).
 
-    ``balance`` holds for the search, inside each fold, and for the final fits.
+    ``balance`` holds for the search, inside each fold, and for the final fits. `fit` makes a Spark model of
+    the best parameters.
     """
-    every = _all({(top_n, fs): lists[top_n, fs] for fs in methods})
-    train = balanced_train(data, every, balance)
-    parts = fold_parts(data.filter("split = 'train'"), every, folds, label, balance=balance)
+    mine = {fs: lists[top_n, fs] for fs in methods}
+    batch = search_batch(data, _all(mine), folds, label, balance=balance)
+    searched = cv_search(batch, mine, grids, folds)
+    rows = {(fs, kind): [] for fs in methods for kind in ("val", "test", "cv")}
+    for (fs, name), found in searched.items():
+        rows[fs, "cv"] += [{"fs": fs, "top_n": top_n, **r} for r in found]
+    best_params = {}
+    for (fs, name), found, best, got in _finals(batch, mine, searched):
+        best_params[fs, name] = best["params"]
+        for side in ("val", "test"):
+            rows[fs, side].append({"model": name, "fs": fs, "top_n": top_n, **_sides(got, found, (side,)),
+                                   "params": best["params"], "n_iter": got[found, side].get("n_iter")})
     spark = data.sparkSession
-    tables, best_models = {}, {}
-    for fs in methods:
-        features = lists[top_n, fs]
-        val, test, cv = [], [], []
-        for name, grid in grids.items():
-            head = {"model": name, "fs": fs, "top_n": top_n}
-            got = cv_search(train, features, name, grid, folds, label, parallelism=parallelism,
-                            parts=parts)
-            cv += [{**head, **r} for r in got]
-            best = max(got, key=lambda r: r["mean_test_score"])
-            model = fit(train, features, name, best["params"], label)
-            best_models[fs, name] = model
-            tail = {"params": best["params"], "n_iter": iterations(model)}
-            for side, rows in (("val", val), ("test", test)):
-                rows.append({**head, **_val_test(data, model, features, label, [side]), **tail})
-        tables[fs] = {k: result_table(spark, r) for k, r in
-                      (("val", val), ("test", test), ("cv", cv))}
-    return tables, best_models
+    return {fs: {kind: result_table(spark, rows[fs, kind]) for kind in ("val", "test", "cv")} for fs in methods}, best_params
 
 
 def stack_tables(tables: dict[str, dict[str, DataFrame]], kind: str) -> DataFrame:

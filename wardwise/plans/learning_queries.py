@@ -73,36 +73,27 @@ register("cross_validate_balanced", lambda c: R.result_table(c.spark, [R.cross_v
 register("train_all", lambda c: R.result_table(c.spark, R.train_all(
     table(c).train, one_list(c), balance=balance(c), parallelism=2)[1]))
 register("train_feature_sets", lambda c: R.train_feature_sets(
-    table(c).train, lists(c), balance=balance(c), parallelism=2))
+    table(c).train, lists(c), balance=balance(c)))
 register("grouped_modeling", lambda c: R.grouped_modeling(
     table(c).data, lists(c), balance=balance(c)))
+register("grouped_histogram", lambda c: R.grouped_histogram(
+    table(c).data, lists(c), balance=balance(c)))
 register("category_experiment", lambda c: R.category_experiment(
-    table(c).train, table(c).features, METHODS, CATEGORY_TOP, balance=balance(c), parallelism=2))
+    table(c).train, table(c).features, METHODS, CATEGORY_TOP, parallelism=4, balance=balance(c)))
 register("evaluate_all_combinations", lambda c: R.evaluate_all_combinations(
-    table(c).data, lists(c), parallelism=4, balance=balance(c)))
-
-
-def _grid_searches(c):
-    """Every selection and model over its grid on the validation rows."""
-    found = lists(c)
-    data = S.balanced(table(c))
-    return R.union_all([R.grid_search_on_validation(data, found, name, grid, parallelism=3)
-                        for name, grid in GRIDS.items()])
-
-
-register("param_search", _grid_searches)
+    table(c).data, lists(c), balance=balance(c)))
+register("param_search", lambda c: R.result_table(c.spark, R.search_on_validation(
+    table(c).data, lists(c), GRIDS, balance=balance(c))))
 register("param_search_all_models", lambda c: R.param_search_all_models(
-    table(c).data, one_list(c), GRIDS, parallelism=2, balance=balance(c)))
+    table(c).data, one_list(c), GRIDS, balance=balance(c)))
 register("evaluate_config", lambda c: R.result_table(c.spark, [R.evaluate_config(
     table(c).data, one_list(c), "LogisticRegression", {"C": 10.0}, balance=balance(c))]))
 
 
 def _batch_searches(c, folds):
-    """The batch search of every selection method."""
-    found = lists(c)
-    return R.union_all([R.batch_search(
-        table(c).data, fs, found, TOPS, GRIDS, folds, parallelism=2, balance=balance(c))[1]
-        for fs in METHODS])
+    """The batch search of every selection method: validation and test rows, told apart by `side`."""
+    val, test = R.batch_search(table(c).data, METHODS, lists(c), TOPS, GRIDS, folds, balance=balance(c))
+    return val.withColumn("side", F.lit("val")).unionByName(test.withColumn("side", F.lit("test")), allowMissingColumns=True)
 
 
 register("batch_search_holdout", lambda c: _batch_searches(c, None))
@@ -110,10 +101,11 @@ register("batch_search_cv", lambda c: _batch_searches(c, K.CV_FOLDS))
 
 
 def _all_methods(c):
+    """The val, test and cv rows of every selection method, told apart by `side`."""
     tables, _ = R.cv_search_all_methods(
-        table(c).data, METHODS, lists(c, (SEARCH_TOP,)), SEARCH_TOP, GRIDS, K.CV_FOLDS,
-        parallelism=2, balance=balance(c))
-    return R.stack_tables(tables, "cv")
+        table(c).data, METHODS, lists(c, (SEARCH_TOP,)), SEARCH_TOP, GRIDS, K.CV_FOLDS, balance=balance(c))
+    stacked = [R.stack_tables(tables, kind).withColumn("side", F.lit(kind)) for kind in ("val", "test", "cv")]
+    return stacked[0].unionByName(stacked[1]).unionByName(stacked[2], allowMissingColumns=True)
 
 
 register("cv_search_all_methods", _all_methods)
@@ -131,7 +123,7 @@ def scorer(c):
 
 register("batch_score", lambda c: R.batch_score(scorer(c), table(c).raw.drop("label", "split")))
 register("sensitivity_study", lambda c: S.sensitivity_study(
-    c, METHODS, K.TOP_N, SENSITIVITY_GRIDS, K.CV_FOLDS, parallelism=2))
+    c, METHODS, K.TOP_N, SENSITIVITY_GRIDS, K.CV_FOLDS, parallelism=len(S.ANALYSES)))
 
 
 def balanced_rows(c):

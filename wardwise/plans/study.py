@@ -111,19 +111,22 @@ def sensitivity_study(clinic, methods: list[str], top_n: int, grids: dict[str, d
                       parallelism: int = 1, even: bool = True) -> DataFrame:
     """Tuned results of every analysis: search, store the result sets, read back and stack."""
     path = scratch_path(clinic.spark, "sensitivity")
-    rows = []
-    for analysis in analyses or list(ANALYSES):
+
+    def one(analysis: str) -> list[DataFrame]:
         table = analysis_table(clinic, analysis)
         lists = feature_lists(table, methods, [top_n])
         found, _ = R.cv_search_all_methods(table.data, methods, lists, top_n, grids, folds, LABEL,
-                                            parallelism,
-                                            balance_over(table.features) if even else None)
+                                           balance_over(table.features) if even else None)
         writers.write_result_sets({(analysis, fs, kind): df for fs, kinds in found.items()
                                    for kind, df in kinds.items()}, path)
+        rows = []
         for fs in methods:
             side = {k: readers.read_result_set(clinic.spark, path, analysis, fs, k)
                     .withColumns({"analysis": F.lit(analysis), "fs": F.lit(fs)})
                     for k in ("val", "test")}
             rows.append(E.collect_sensitivity(side["val"], side["test"].withColumn(
                 "pos", F.monotonically_increasing_id()), "pos"))
-    return union_all(rows)
+        return rows
+
+    jobs = [lambda a=a: one(a) for a in analyses or list(ANALYSES)]
+    return union_all([df for rows in R.run_parallel(clinic.spark, jobs, parallelism) for df in rows])
