@@ -2,10 +2,13 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardwise.llm import decontaminate, dedup, graph, jaccard, queries
+from wardwise.llm import rows as jr
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 SPACE, ALNUM = re.compile(r"[^\x20\x09-\x0D]+"), re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -55,6 +58,27 @@ def test_groups_against_all_pairs(docs, k, percent):
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == linked_groups(rows, k, percent)
 
 
+def test_pairs_inside_a_group_grow_as_the_group_does(docs, monkeypatch):
+    met, plain = {}, jaccard.materialize
+    for n in (100, 200, 400):
+        monkeypatch.setattr(jaccard, "materialize", lambda df, name="stage", n=n: (
+            lambda out: met.update({(n, name): out.count()}) or out if name in ("tests", "inner") else out)(plain(df, name)))
+        rows = list(enumerate(variants(9, n, 300, 14)))
+        out = jaccard.jaccard_groups(docs(rows), 5, 80).collect()
+        if n == 200:
+            assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == linked_groups(rows, 5, 80)
+    total = {n: met.get((n, "tests"), 0) + met.get((n, "inner"), 0) for n in (100, 200, 400)}
+    assert total[200] <= 3 * total[100] + 100 and total[400] <= 3 * total[200] + 100
+
+
+def test_hot_keys_are_dealt_out(docs, monkeypatch):
+    monkeypatch.setattr(jr, "KEY_ROWS", 3)
+    monkeypatch.setattr(jaccard, "SET_ROWS", 3)
+    rows = list(enumerate([*variants(1, 30, 80, 4), *variants(2, 12, 60, 2)])) + [(100 + i, "same words in all of these rows") for i in range(20)]
+    out = jaccard.jaccard_groups(docs(rows).withColumns({"sig": F.lit(1), "group": F.lit(2), "n": F.lit("x")}), 3, 90).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == linked_groups(rows, 3, 90)
+
+
 def test_query_against_all_pairs(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     out = queries.op10_jaccard_join(spark, "/root/testdata/sf0.001").collect()
@@ -98,13 +122,27 @@ def test_contamination_of_edge_texts(spark, docs):
     rows = [(1, None), (2, ""), (3, item.lower() + "! " + item), (4, "x " * 900 + item[:39] + " y"), (5, "short item. Short  ITEM"),
             (5, "the the"), (None, item), (7, "a b " * 40), (8, "null id item " * 9), (3, item.lower() + "! " + item), (9, "Q1 Q2 " * 50)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out = decontaminate.contamination(docs(rows), bench.where("item_id IS NOT NULL")).collect()
-    want = collections.Counter(contaminated(rows, [i for i in items if i[0] is not None]))
+    rows += [(10, "w " * 40 + " ".join(f"Q{i}" for i in range(20)) + " w" * 500), (11, "a b " * 2000)]
+    clash = {"stretch": F.lit(1), "hash": F.lit(0), "window": F.lit("x"), "words": F.lit("y")}
+    out = decontaminate.contamination(docs(rows).withColumns(clash), bench.withColumns(clash)).collect()
+    # an item without item_id is hit, but not named
+    want = collections.Counter((d, n, h, tuple(x for x in found if x != "None"), bad) for d, n, h, found, bad in contaminated(rows, items))
     assert collections.Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in out) == want
     assert {r.n_hit for r in decontaminate.contamination(docs(rows), bench.limit(0)).collect()} == {0}
     assert decontaminate.contamination(docs([]), bench).count() == 0
 
 
+def test_contamination_is_linear_in_a_repetitive_text(spark, docs):
+    bench = spark.createDataFrame([(1, "a b a b a b a b")], "item_id long, text string")
+    took = {}
+    for n in (1000, 8000, 80_000):
+        began = time.time()
+        r = decontaminate.contamination(docs([(1, "a b " * (n // 2))]), bench).first()
+        took[n] = time.time() - began
+        assert (r.n_words, r.n_hit, r["items"]) == (n, n, ["1"])
+    assert took[80_000] < 2 * took[8000] + 5
+
+
 def test_contamination_query(spark, documents):
     items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
     want = {x[0]: x for x in contaminated([(r.doc_id, r.text) for r in documents.collect()], items)}

@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardwise.llm import words as W
-from wardwise.llm.graph import components
-from wardwise.llm.rows import MOST_BROADCAST, spread_join, text_id, without
+from wardwise.llm.graph import components, merged
+from wardwise.llm.rows import MOST_BROADCAST, observed, spread_join, text_id, without
 from wardwise.session import Temporary, materialize
 
 SKETCH_BITS = 20
 BANDS, ROWS = 6, 3
 #: Hundredths of similarity below the asked ones that still bring a set into a group.
-APART = 30
+APART = 50
 #: Least rows of a group whose centre is taken from its members' differences.
 CENTRED = 8
 #: Ways in which an open set looks for another with a similar difference.
@@ -312,7 +312,7 @@ def _centred(differ: DataFrame) -> DataFrame:
 
 
 def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) that connect, within each group, what is linked there.
+    """Components (id, root) of what is linked within the groups.
 
     Sets differ by at most |dx| + |dy|, their differences from the centre, and are linked if they differ by
     at most (1 - t) / (1 + t) of n + m. With e = |d| - (1 - t) / (1 + t) n (here times 100 + percent) that holds
@@ -341,7 +341,7 @@ def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
     held = materialize(spread_join(differ, unsure.select("group", "e0", "sig0"), ["group"], unsure).withColumn(
         "core", F.col("e") + F.col("e0") <= 0), "held")
     if held.isEmpty():
-        return edges
+        return components(edges)
 
     # each open set tests the set of least difference, and those that share the least hash of their differences
     tries = F.array(*(F.array_min(F.transform("delta", _salted(i))) for i in range(TRIES)))
@@ -353,11 +353,11 @@ def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
         "NOT core AND sig <> head").select(F.col("sig").alias("a"), F.col("head").alias("b"))
     tests = held.where("NOT core AND sig <> sig0").select(F.col("sig").alias("a"), F.col("sig0").alias("b")).union(similar)
     found = _tested(materialize(tests.distinct(), "tests"), held, percent)
-    edges = materialize(edges.union(found), "contracted")
+    roots = materialize(components(edges.union(found)), "contracted")
 
     # what is still apart
-    roots = components(edges).select(F.col("id").alias("sig"), "root")
-    held = materialize(held.join(roots, "sig", "left").withColumn("comp", F.coalesce("root", "sig")).drop("root"), "apart")
+    named = roots.select(F.col("id").alias("sig"), "root")
+    held = materialize(held.join(named, "sig", "left").withColumn("comp", F.coalesce("root", "sig")).drop("root"), "apart")
     order = _sketch(held.select("group", "delta").mapInArrow(_bucket_counts, "b long, n long"))
     run, schema = _rarest(percent, spark.sparkContext.broadcast(order))
     places = materialize(held.select("group", "sig", "n", "delta", "e", "e0", "core", "comp").mapInArrow(run, schema), "places")
@@ -367,8 +367,8 @@ def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
     met = places.join(other, ["group", "token"]).where(
         f"sig < sig2 AND comp <> comp2 AND NOT (core AND core2) AND e + e2 > 0 AND 100 * n >= {percent} * n2 AND 100 * n2 >= {percent} * n AND "
         f"(100 + {percent}) * abs(size - size2) <= (100 - {percent}) * (n + n2) AND 1 + least(size - pos - 1, size2 - pos2 - 1) >= ceil((e + e2) / {two})")
-    pairs = materialize(met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct(), "inner")
-    return materialize(edges.union(_tested(pairs, held, percent)), "inside")
+    pairs, seen = observed(met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct(), "inner", n=F.count(F.lit(1)))
+    return merged(roots, materialize(_tested(pairs, held, percent), "inside")) if seen["n"] else roots
 
 
 def jaccard_groups(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -398,7 +398,8 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     # prefixes: the tokens that different sets have in common there
     run, schema = _prefixes(shingle, percent, spark.sparkContext.broadcast(order))
     prefixes = materialize(texts.mapInArrow(run, schema), "prefixes")
-    places = prefixes.select("sig", "n", F.posexplode("tokens").alias("pos", "token"))
+    # one shuffle by token serves the count and the join
+    places = prefixes.select("sig", "n", F.posexplode("tokens").alias("pos", "token")).repartition("token")
     shared = (places.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
               .where("lo <> hi").select("token"))
     entries = materialize(places.join(shared, "token").distinct(), "entries")
@@ -410,16 +411,16 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         "band", F.col("h.sig").alias("head"), F.col("h.mins").alias("head_mins"), "n"), "heads")
     same = F.size(F.filter(F.zip_with("mins", "head_mins", lambda x, y: x == y), lambda x: x))
     meets = spread_join(banded, heads.select("band", "head", "head_mins"), ["band"], heads).where(
-        (F.col("sig") != F.col("head")) & (100 * same >= max(percent - APART, 30) * BANDS * ROWS))
+        (F.col("sig") != F.col("head")) & (100 * same >= max(percent - APART, 20) * BANDS * ROWS))
     groups = materialize(components(meets.groupBy(F.col("sig").alias("b")).agg(F.min("head").alias("a"))), "grouped")
-    inner = _inside(groups, texts, classes, shingle, percent)
-    roots = materialize(components(inner), "roots")
+    roots = materialize(_inside(groups, texts, classes, shingle, percent), "roots")
 
     # the matrix of tokens and groups, queried by every set in it
     member = entries.join(groups.withColumnRenamed("id", "sig"), "sig", "left").withColumn(
         "group", F.coalesce("root", "sig")).drop("root")
     member = member.join(roots.select(F.col("id").alias("sig"), F.col("root").alias("comp")), "sig", "left").withColumn(
         "comp", F.coalesce("comp", "sig"))
+    member = member.repartition("token")
     several = member.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     member = materialize(member.join(several.select("token"), "token"), "members")
     matrix = member.groupBy("token", "group").agg(
@@ -436,8 +437,7 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.col("sig").alias("a"), "b").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     links = _verified(pairs, materialize(_sets_of(texts, classes, wanted, shingle), "sets"), percent)
-    edges = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(links)
-    roots = components(edges)
+    roots = merged(roots, materialize(links, "links"))
 
     joined = classes.select("sig", "doc_id", "rows").join(roots.withColumnRenamed("id", "sig"), "sig", "left")
     joined = materialize(joined.select("sig", "doc_id", "rows", F.coalesce("root", "sig").alias("root")), "joined")

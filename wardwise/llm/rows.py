@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardwise.session import materialize
@@ -26,19 +26,28 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(side, met, "left_anti")
 
 
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """The written table and aggregates of its rows, taken while they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, *(m.alias(k) for k, m in metrics.items())), name)
+    return out, seen.get
+
+
 def spread_join(rows: DataFrame, side: DataFrame, on: list[str], counts: DataFrame, how: str = "inner",
-                key_rows: int | None = None) -> DataFrame:
+                key_rows: int | None = None, most_rows: int | None = None) -> DataFrame:
     """rows joined to side, which has one row per key, without all rows of a hot key in one task.
 
     `counts` (on, n) says how many rows a key has. Keys with over KEY_ROWS are dealt over several copies of
     the side's row; the list of these keys, a KEY_ROWS-th of the rows at most, is broadcast if it is small, else
-    joined. Keys are not null.
+    joined. most_rows says, if known, how many rows the hottest key has. Keys are not null.
     """
     most = KEY_ROWS if key_rows is None else key_rows
+    if most_rows is not None and most_rows <= most:
+        return rows.join(side, on, how)
     names = [f"_hot{i}" for i in range(len(on))]
-    hot = materialize(counts.where(F.col("n") > most).select(
-        *(F.col(k).alias(h) for k, h in zip(on, names)), F.ceil(F.col("n") / most).cast("int").alias("_copies")), "hot")
-    n_hot = hot.count()
+    hot, seen = observed(counts.where(F.col("n") > most).select(
+        *(F.col(k).alias(h) for k, h in zip(on, names)), F.ceil(F.col("n") / most).cast("int").alias("_copies")), "hot", n=F.count(F.lit(1)))
+    n_hot = seen["n"]
     if not n_hot:
         return rows.join(side, on, how)
     hot = F.broadcast(hot) if n_hot <= MOST_BROADCAST else hot
