@@ -1,11 +1,13 @@
 """Benchmark decontamination by a prefix-filtered set join with exact verification.
 
 Benchmark items become windows of `window` words (shorter items one window), windows become shingles of
-SHINGLE words. Documents are read once: wherever one of the benchmark's shingles may stand, the words around it
-are kept as a passage with the shingles' places. The shingles are then ordered by how often they occur; a
-window needs all its shingles, so its rarest one is a sufficient prefix, and windows with a shingle
-that occurs nowhere are dropped. Passages meet windows on that shingle; its place gives the window's
-place, bounds on place and length follow, and the words are compared one by one.
+SHINGLE words. Documents are read once: their words are dealt into stretches of STRETCH words, and wherever one of
+the benchmark's shingles may stand, the stretch is kept with the shingles' places and a window's words on
+either side. The shingles are then ordered by how often they occur; a window needs all its shingles, so
+its rarest one is a sufficient prefix, and windows with a shingle that occurs nowhere are dropped. Places, without
+words, meet windows on that shingle; its place gives the window's place, bounds on place and length
+follow, and each stretch's words are compared with the windows that may stand there. All of it is linear in a text,
+however it repeats itself.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ SHINGLE = 5
 FILTER_BITS = 24
 #: Windows are broadcast up to this count (some 150 bytes each), beyond it they are shuffled.
 MOST_BROADCAST = 100_000
+STRETCH = 128
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -64,7 +67,7 @@ def _windows(window: int):
 
 
 def _passages(window: int, sizes: list[int], bits):
-    """Per document its number of words, a hash of them, and the passages with possible shingles."""
+    """Per document its number of words, a hash of them, and the stretches with possible shingles."""
     hit = pa.struct([("hash", pa.int64()), ("at", pa.int32())])
     passage = pa.struct([("start", pa.int32()), ("words", pa.string()), ("hits", pa.list_(hit))])
     schema = ("doc_id long, text_id long, n_words long, words_hash long, "
@@ -83,7 +86,8 @@ def _passages(window: int, sizes: list[int], bits):
             found: list[list] = [[] for _ in range(len(rows))]
             low = _LOWER[buf] if at.size else buf
             doc = np.searchsorted(w.first, at, "right") - 1
-            cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(at) > 2 * window)) + 1
+            part = (at - w.first[doc]) // STRETCH
+            cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(part) != 0)) + 1
             for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [at.size]])) if at.size else ():
                 d = doc[a]
                 start = max(w.first[d], at[a] - window + 1)
@@ -104,7 +108,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     Words are runs of digits, letters and code points above ASCII, with A-Z in lower case. A word is hit
     if it stands in an occurrence of a window; a document is contaminated if a twentieth of its words
     or more are hit. Null and empty texts have no words; items without words have no window; equal
-    windows of several items count for each.
+    windows of several items count for each. Windows of items without item_id are hit, but name no item.
+    Repeated rows are judged once and listed each; other columns are ignored.
     """
     with Temporary(docs.sparkSession) as tables:
         return tables.keep(_judged(docs, benchmark, window), "contamination")
@@ -127,12 +132,12 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     read = materialize(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", text_id().alias("text_id")).mapInArrow(run, schema), "passages")
 
-    # equal rows have equal passages; each is judged once
-    own = (read.where("passages IS NOT NULL").dropDuplicates(["doc_id", "words_hash"])
-           .select("doc_id", "words_hash", "n_words", F.explode("passages").alias("p"))
-           .select("doc_id", "words_hash", "n_words", "p.*"))
-    spots = own.select("*", F.explode("hits").alias("h")).select(
-        "doc_id", "words_hash", "n_words", "start", "words", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
+    # equal rows have equal stretches; each is judged once
+    own = materialize(read.where("passages IS NOT NULL").dropDuplicates(["doc_id", "words_hash"]).select(
+        "doc_id", "words_hash", "n_words", F.explode("passages").alias("p")).select(
+        F.xxhash64("doc_id", "words_hash", "p.start").alias("stretch"), "doc_id", "words_hash", "n_words", "p.*"), "stretches")
+    spots = own.select("stretch", "start", "n_words", F.explode("hits").alias("h")).select(
+        "stretch", "start", "n_words", F.col("h.hash").alias("hash"), F.col("h.at").alias("at"))
     often = spots.groupBy("hash").agg(F.count(F.lit(1)).alias("often"))
 
     # the rarest shingle of each window that has all its shingles somewhere
@@ -144,12 +149,12 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     prefix = materialize(prefix, "prefixes")
     side = F.broadcast(prefix) if prefix.count() <= MOST_BROADCAST else prefix
     placed = spots.join(side, "hash").withColumn("from", F.col("at") - F.col("off")).where(
-        "from >= start AND from + len <= n_words")
-    # `words` has single spaces: a window stands there if the text between two word places equals it
-    tokens = F.split("words", " ")
-    same = F.array_join(F.slice(tokens, F.col("from") - F.col("start") + 1, F.col("len")), " ") == F.col("window")
-    hits = materialize(placed.where(same).select("doc_id", "words_hash", "from", (F.col("from") + F.col("len")).alias("to"),
-                                                 "window").distinct(), "hits")
+        "from >= start AND from + len <= n_words").select("stretch", "from", "len", "window")
+    # `words` has single spaces: a window stands there if the words between two places equal it
+    known = own.select("stretch", "doc_id", "words_hash", "start", F.split("words", " ").alias("tokens"))
+    same = F.array_join(F.slice("tokens", F.col("from") - F.col("start") + 1, F.col("len")), " ") == F.col("window")
+    hits = materialize(placed.join(known, "stretch").where(same).select(
+        "doc_id", "words_hash", "from", (F.col("from") + F.col("len")).alias("to"), "window").distinct(), "hits")
 
     doc = Window.partitionBy("doc_id", "words_hash").orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
     spans = hits.groupBy("doc_id", "words_hash", "from").agg(F.max("to").alias("to"))

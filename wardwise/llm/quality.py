@@ -91,20 +91,17 @@ def fit_rules(docs: DataFrame, labels: DataFrame, lost: float = 0.005, bound: in
     return Rules(ratios, -math.inf if threshold is None else threshold, n)
 
 
-def _keyed_windows(h: Column, pairs: Column, bits: Column) -> Column:
-    """Sorted longs, one per 3-word window: its hash above, its position in the lowest `bits` bits."""
+def _keyed_windows(h: Column, pairs: Column) -> Column:
+    """Sorted (hash, position), one per 3-word window; hashes have 64 bits in texts of any length."""
     windows = F.slice(pairs, 1, F.greatest(F.size(h) - 2, F.lit(0)))
-    return F.sort_array(F.transform(
-        windows, lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get(h, i + 2)), bits)
-        .bitwiseOR(i.cast("long"))))
+    return F.sort_array(F.transform(windows, lambda x, i: F.struct(F.xxhash64(x, F.get(h, i + 2)).alias("h"), i.alias("i"))))
 
 
-def _repeated_at(keyed: Column, bits: Column, mask: Column) -> Column:
+def _repeated_at(keyed: Column) -> Column:
     """Positions of windows that occur twice or more: equal ones are neighbours after the sort."""
-    same = lambda a, b: F.coalesce(F.call_function(
-        "shiftrightunsigned", a.bitwiseXOR(b), bits) == 0, F.lit(False))
+    same = lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False))
     twice = F.filter(keyed, lambda x, i: same(x, F.get(keyed, i + 1)) | same(x, F.get(keyed, i - 1)))
-    return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask)))
+    return F.sort_array(F.transform(twice, lambda x: x["i"].cast("long")))
 
 
 def _covered(at: Column) -> Column:
@@ -124,14 +121,11 @@ def apply_rules(docs: DataFrame, rules: Rules) -> DataFrame:
     plain = text
     for c in SYMBOLS:
         plain = F.replace(plain, F.lit(c), F.lit(""))
-    h, bits = F.col("_h"), F.col("_bits")
-    one = F.lit(1).cast("long")
+    h = F.col("_h")
     out = (docs.withColumn("_h", _hashes(F.col("text")))
-           .withColumns({"_p": _pairs(h), "_bits": F.length(F.bin(F.size(h))),
-                         "_lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))})
-           .withColumns({"_mask": F.call_function("shiftleft", one, bits) - 1,
-                         "_keyed": _keyed_windows(h, F.col("_p"), bits)})
-           .withColumn("_at", _repeated_at(F.col("_keyed"), bits, F.col("_mask")))
+           .withColumns({"_p": _pairs(h), "_lines": F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))})
+           .withColumn("_keyed", _keyed_windows(h, F.col("_p")))
+           .withColumn("_at", _repeated_at(F.col("_keyed")))
            .withColumns({
                "n_words": F.size(h).cast("long"),
                "word_chars": F.char_length(F.replace(spaced, F.lit(" "), F.lit(""))).cast("long"),
@@ -142,4 +136,4 @@ def apply_rules(docs: DataFrame, rules: Rules) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (out.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(rules.threshold)))
-            .drop("_h", "_p", "_bits", "_mask", "_lines", "_keyed", "_at"))
+            .drop("_h", "_p", "_lines", "_keyed", "_at"))
