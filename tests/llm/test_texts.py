@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wardwise.llm import chat, lm, queries, sentencepiece, token_counts
 
@@ -183,15 +184,139 @@ def test_lm_learns_and_handles_nulls(docs):
     assert lm.score(docs([])).count() == 0
 
 
-def test_lm_probabilities_sum_to_one(spark, docs):
+def test_lm_probabilities_sum_to_one(docs):
     table = docs([(i, "a b c a b d " * 5) for i in range(2, 30)])
+    cells = lm.count_tokens(table).cells
+    model = lm.Shard(cells)
+    model.train([np.full(50, i, np.uint16) for i in range(lm.TEMPLATES)], np.arange(50) % cells.side ** 2)
+    every = np.arange(cells.side ** 2)
+    assert math.isclose((10 ** model.log10([np.full(every.size, 1, np.uint16)] * lm.TEMPLATES, every)).sum(), 1.0, rel_tol=1e-4)
+    known = np.bincount(cells.cell, cells.n + 0.5, minlength=cells.side ** 2)
+    assert np.allclose(known + 0.5, cells.mass)
+
+
+def mixed(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def one_token_at_a_time(rows, counts, n_shards):
+    """Scores by document of the same model, with weights in a dictionary and one token after the other."""
+    cells, side = counts.cells, counts.cells.side
+    salts = [int(x) for x in lm._SALTS]
+    shards, scores = collections.defaultdict(list), {}
+    parts = dict(zip(cells.hot.tolist(), cells.parts.tolist()))
+    for doc, (key, held, text) in enumerate(rows):
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, tokens, _, tails = lm._tokens(data, np.array([0, data.size]))
+        at, cell = cells.look_up(tokens, tails)
+        scores[doc] = 0.0
+        tokens = [int(t) for t in tokens]
+        for i, (t, c) in enumerate(zip(tokens, cell.tolist())):
+            one, two, three = (tokens[i - k] if i >= k else int(lm.START) for k in (1, 2, 3))
+            shard = (mixed(one) >> 32) + ((mixed(key << 1 | held) >> 20) % parts[one] if one in parts else 0)
+            keys = mixed(one ^ salts[0]), mixed((mixed(one) + two * salts[1]) % 2**64), mixed((mixed(one) + three * salts[2]) % 2**64)
+            shards[shard % n_shards].append((doc, held, tuple(k >> 64 - lm.SLOT_BITS for k in keys), c))
+            n = cells.n[at[i]] if at[i] >= 0 else 0
+            scores[doc] += math.log10((n + 0.5) / cells.mass[c])
+    share = cells.mass.reshape(side, side)
+    for events in shards.values():
+        weights, seen = collections.defaultdict(lambda: np.zeros(side)), collections.defaultdict(lambda: lm.START_SUM)
+
+        def spread(slots, c, weights=weights):
+            cls, member = divmod(c, side)
+            for kind, base, target in ((0, share.sum(axis=1) / share.sum(), cls), (1, share[cls] / share[cls].sum(), member)):
+                rows = [(kind, i, s if not kind else s + cls * 40503 + 12345 & lm.SLOTS - 1) for i, s in enumerate(slots)]
+                p = base * np.exp(sum(weights[r] for r in rows))
+                yield rows, p / p.sum(), target
+
+        def order(e):
+            held = sum(s << lm.SLOT_BITS * i for i, s in enumerate(e[2]))
+            return mixed(held ^ mixed(e[3]))
+
+        learn = sorted((e for e in events if not e[1]), key=order)
+        for lo in range(0, len(learn), lm.BATCH):
+            total = collections.defaultdict(lambda: np.zeros(side))
+            for _, _, slots, c in learn[lo:lo + lm.BATCH]:
+                for rows, p, target in spread(slots, c):
+                    for r in rows:
+                        total[r] += np.eye(side)[target] - p
+            for r, g in total.items():
+                seen[r] += (g * g).sum()
+                weights[r] = weights[r] + lm.RATE * g / seen[r] ** 0.5
+        for doc, _, slots, c in events:
+            scores[doc] += sum(math.log10(p[target]) for _, p, target in spread(slots, c))
+    return scores
+
+
+def test_lm_against_one_token_at_a_time(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 32)
+    monkeypatch.setattr(lm, "HOT_TOKENS", 40)
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["aa", "ba", "ca", "the", "xy", f"r{rnd.randint(0, 40)}"]) for _ in range(30))) for i in range(30)]
+    table = docs(rows)
+    got = {r.doc_id: r.score for r in lm.score(table).collect()}
     counts = lm.count_tokens(table)
-    model = lm.train(table, counts)
-    histories = np.array([5, 5], np.uint64)
-    total = 0.0
-    for bucket in range(lm.BUCKETS):
-        (c, _, a), (m, _, b) = lm._forward(model, histories, np.array([0, 1]), np.array([bucket, bucket]))
-        total += np.exp(a[1, c[1]] + b[1, m[1]])
-    assert math.isclose(total, 1.0, rel_tol=1e-4)
-    known = np.bincount(counts.bucket, counts.n + 0.5, minlength=lm.BUCKETS)
-    assert np.allclose(known + 0.5, counts.bucket_total)
+    assert counts.cells.parts.max() > 1
+    key = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), "text"), 2)
+    keys = {r.doc_id: (r.key, r.held, r.text) for r in table.select("doc_id", key.alias("key"), lm.held_out(F.col("doc_id")).alias("held"), "text").collect()}
+    want = one_token_at_a_time([keys[d] for d, _ in rows], counts, counts.total // lm.SHARD_TOKENS + 8)
+    assert all(math.isclose(got[d], want[i], rel_tol=1e-4) for i, (d, _) in enumerate(rows))
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    one, many = ({r.doc_id: r.score for r in lm.score(table.repartition(n)).collect()} for n in (1, 16))
+    assert all(math.isclose(one[d], many[d], rel_tol=1e-9) for d in one)
+
+
+def test_lm_gains_on_held_out_documents(spark):
+    rows = [r for r in queries.op6_lm_scoring(spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in rows)
+    model, base = (sum(r[c] for r in rows) / tokens for c in ("score", "base_score"))
+    print(f"log10 a token: {base:.3f} by unigram counts, {model:.3f} by the model")
+    assert model > base + 0.05
+
+
+def windows_of(turns, budget, history_turns, history_tokens, part_turns):
+    """(part, repeated turns, new turns) of one conversation's ordered (role, text, tokens), one turn after the other."""
+    out, system, fresh, shown = [], None, [], []
+    for i, turn in enumerate(turns):
+        full = fresh and sum(t[2] for t in shown + fresh) + turn[2] > budget
+        if full or i % part_turns == 0:
+            if fresh:
+                out.append(((i - 1) // part_turns, shown, fresh))
+            back, room = [], history_tokens
+            for j in range(i - 1, max(i - 1 - history_turns, -1), -1):
+                if turns[j][2] > room or (system is not None and j == system):
+                    break
+                back.insert(0, turns[j])
+                room -= turns[j][2]
+            shown, fresh = ([turns[system]] if system is not None else []) + back, []
+        if system is None and turn[0] == "system":
+            system = i
+        fresh.append(turn)
+    return out + ([((len(turns) - 1) // part_turns, shown, fresh)] if fresh else [])
+
+
+def test_windows_of_long_conversations_against_one_turn_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_TURNS", 16)
+    rnd = random.Random(8)
+    word = lambda: "w" * rnd.randint(1, 3)
+    rows = []
+    for conv, n in ((1, 16), (2, 17), (3, 100), (4, 5), (5, 64), (None, 40)):
+        for i in range(n):
+            role = "system" if (conv, i) in ((2, 0), (3, 20), (5, 15)) else ("user", "assistant")[i % 2]
+            # conversation 5 has one turn number only: its turns go by role and text
+            rows.append((conv, 7 if conv == 5 else i, role, f"{i:03d} " + " ".join(word() for _ in range(rnd.randint(0, 9)))))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5).withColumns({"part": F.lit(1), "kind": F.lit("x"), "pos": F.lit(0)})
+    got = {}
+    for w in chat.format_windows(df, budget=60, history_tokens=30).orderBy("part", "window").collect():
+        turns = chat.parse(w.formatted)
+        got.setdefault(w.conv_id, []).append((w.part, turns[:w.n_repeated], turns[w.n_repeated:]))
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r[1:] for r in rows if r[0] == conv))
+        turns = [(role, text, len(re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\s]", text)) + chat.TURN_TOKENS) for _, role, text in mine]
+        plain = lambda ts: [t[:2] for t in ts]
+        assert got[conv] == [(p, plain(a), plain(b)) for p, a, b in windows_of(turns, 60, 2, 30, 16)]

@@ -3,7 +3,9 @@
 A conversation's turns, in order, are cut where the prefix sum of their tokens passes the budget, so every
 window holds whole turns. A window starts with the system turn and a limited piece of the turns before
 it, both repeated and outside the loss mask; the mask covers the texts of new assistant turns, each in
-one window only. The template marks turns with control strings; inside texts these are escaped
+one window only. A window also ends after every PART_TURNS-th turn of a conversation, so that a long conversation
+is dealt over tasks; the next part is handed the system turn and the last turns before it, so its first
+window repeats history like any other. The template marks turns with control strings; inside texts these are escaped
 reversibly, by one backslash more between "<" and "|".
 """
 
@@ -17,12 +19,17 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from wardwise.session import materialize
 
 OPEN, CLOSE, LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 BUDGET, HISTORY_TURNS, HISTORY_TOKENS = 512, 2, 128
-#: A conversation of more turns is cut into parts that start anew with the system turn.
+#: Turns of a part.
 PART_TURNS = 1024
 TURN_TOKENS = 4  # of the template
+SYSTEM, HISTORY, FRESH = 0, 1, 2  # what a part is handed, and its own turns
+MOST_BROADCAST = 100_000
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
 
@@ -63,31 +70,42 @@ def _windows(budget: int, history_turns: int, history_tokens: int):
                 "n_tokens": sum(t for _, _, t in [*repeated, *fresh]), "formatted": "".join(text), "loss": loss}
 
     def of_part(conv, part, rows) -> Iterator[dict]:
-        system, before, fresh, number = None, deque(maxlen=history_turns), [], 0
-        total = start = extra = 0  # prefix sums: of all turns, up to the window, of what it repeats
-        history: list = []
+        before, fresh, number = deque(maxlen=history_turns), [], 0
+        system = handed = None  # as known so far, and as known from earlier parts
+        total = start = 0  # prefix sums: of all turns, and up to the window
+        lead, history, extra = None, [], 0  # what the window repeats, and its tokens
+
+        def repeat() -> tuple:
+            found, room = [], history_tokens
+            for old in reversed(before):
+                if old[2] > room or old is system:
+                    break
+                found.insert(0, old)
+                room -= old[2]
+            return system, found, sum(t for _, _, t in found) + (system[2] if system else 0)
+
         for row in rows:
             turn = (row["role"] or "", row["text"] or "", row["tokens"] + TURN_TOKENS)
-            if row["carried"]:
-                system, extra = turn, turn[2]
+            if row["kind"] == SYSTEM:
+                handed = system = turn
                 continue
+            if row["kind"] == HISTORY:
+                # the system turn, if it stands among the last turns, is repeated already
+                before.append(system if turn == handed else turn)
+                continue
+            if not fresh and not number:
+                lead, history, extra = repeat()
             if fresh and total + turn[2] - start + extra > budget:
-                yield build(conv, part, number, system if number or extra else None, history, fresh)
-                number, start, history, room = number + 1, total, [], history_tokens
-                for old in reversed(before):
-                    if old[2] > room or old is system:
-                        break
-                    history.insert(0, old)
-                    room -= old[2]
-                fresh = []
-                extra = sum(t for _, _, t in history) + (system[2] if system else 0)
+                yield build(conv, part, number, lead, history, fresh)
+                number, start, fresh = number + 1, total, []
+                lead, history, extra = repeat()
             if system is None and turn[0] == "system":
                 system = turn
             fresh.append(turn)
             before.append(turn)
             total += turn[2]
         if fresh:
-            yield build(conv, part, number, system if extra and not (number == 0 and system in fresh) else None, history, fresh)
+            yield build(conv, part, number, lead, history, fresh)
 
     def run(batches: Iterator[pa.RecordBatch]):
         rows = (row for batch in batches for at in range(0, batch.num_rows, 512) for row in batch.slice(at, 512).to_pylist())
@@ -104,6 +122,34 @@ def _windows(budget: int, history_turns: int, history_tokens: int):
     return run
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """rows with `pos`, their place in the conversation, in those of more than PART_TURNS turns; else null.
+
+    Places come from a range partitioning and running counts of the partitions, so no conversation has to fit a
+    task.
+    """
+    long = materialize(rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PART_TURNS)
+                       .select(F.col("conv_id").alias("_long")), "long")
+    n_long = long.count()  # at most one in PART_TURNS rows
+    if not n_long:
+        return rows.withColumn("pos", F.lit(None).cast("long"))
+    side = F.broadcast(long) if n_long <= MOST_BROADCAST else long
+    met = F.col("conv_id").eqNullSafe(F.col("_long"))
+    tie = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 16))  # equal rows may be many
+    order = ["conv_id", "turn", "role", "text", "_tie"]
+    laid = materialize(rows.join(side, met, "left_semi").withColumn("_tie", tie).repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("_at", F.monotonically_increasing_id()), "laid")
+    part = F.shiftright("_at", 33)
+    shift = materialize(laid.groupBy(part.alias("_part")).count().select("_part", F.coalesce(F.sum("count").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shift")), "shift")  # a row per partition
+    placed = laid.join(F.broadcast(shift), part == F.col("_part")).withColumn(
+        "_row", F.col("_shift") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    first = materialize(placed.groupBy(F.col("conv_id").alias("_conv")).agg(F.min("_row").alias("_first")), "first")
+    first = F.broadcast(first) if n_long <= MOST_BROADCAST else first
+    placed = placed.join(first, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(*rows.columns, (F.col("_row") - F.col("_first")).alias("pos"))
+    return rows.join(side, met, "left_anti").withColumn("pos", F.lit(None).cast("long")).union(placed)
+
+
 _WINDOW = pa.schema([
     ("conv_id", pa.int64()), ("part", pa.int64()), ("window", pa.int64()), ("n_repeated", pa.int32()), ("n_turns", pa.int32()),
     ("n_tokens", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
@@ -116,20 +162,31 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history_turns
     """Rows (conv_id, part, window, n_repeated, n_turns, n_tokens, formatted, loss), loss in code points.
 
     Turns go by turn, nulls first, then role and text; null texts and roles are empty; repeated rows are turns
-    of their own. A turn larger than the budget has a window of its own, whole. Tasks hold one window.
+    of their own; rows without conv_id are one conversation. Other columns are ignored. A turn larger than the
+    budget has a window of its own, whole. Tasks hold one window.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text",
-        (token_count(F.col("text")) if tokens is None else tokens).cast("long").alias("tokens"),
-        F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS).cast("long").alias("part"), F.lit(False).alias("carried"))
-    order = F.struct("turn", "role", "text", "tokens")
-    first = rows.where("role = 'system'").groupBy("conv_id").agg(F.min(order).alias("s"), F.min("part").alias("p"))
-    later = rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where("part <> 0")
-    carried = (later.join(first.withColumnRenamed("conv_id", "_id"), F.col("conv_id").eqNullSafe(F.col("_id")))
-               .where("part > p").select("conv_id", "s.turn", "s.role", "s.text", "s.tokens", "part", F.lit(True).alias("carried")))
-    dealt = rows.union(carried).repartition("conv_id", "part").sortWithinPartitions(
-        "conv_id", "part", F.desc("carried"), "turn", "role", "text")
-    return dealt.mapInArrow(_windows(budget, history_turns, history_tokens), _WINDOW_SQL)
+        (token_count(F.col("text")) if tokens is None else tokens).cast("long").alias("tokens"))
+    rows = _parted(rows)
+    part = F.coalesce(F.floor(F.col("pos") / PART_TURNS), F.lit(0)).cast("long")
+    rows = rows.withColumns({"part": part, "kind": F.lit(FRESH)})
+    parted = rows.where("pos IS NOT NULL")
+    # what later parts are handed: the last turns before them, and the conversation's first system turn
+    follows = F.col("pos") % PART_TURNS >= PART_TURNS - min(history_turns, PART_TURNS)
+    history = parted.where(follows).withColumns({"part": F.col("part") + 1, "kind": F.lit(HISTORY)})
+    lasts = parted.groupBy("conv_id").agg(F.max("part").alias("last"), F.min(
+        F.when(F.col("role") == "system", F.struct("pos", "turn", "role", "text", "tokens"))).alias("s"))
+    lasts = materialize(lasts.select(F.col("conv_id").alias("_id"), "last", "s"), "lasts")
+    history = history.join(lasts, F.col("conv_id").eqNullSafe(F.col("_id"))).where("part <= last").select(rows.columns)
+    first = F.floor(F.col("s.pos") / PART_TURNS).cast("long") + 1
+    system = lasts.where(first <= F.col("last")).select(
+        F.col("_id").alias("conv_id"), "s.turn", "s.role", "s.text", "s.tokens", "s.pos", F.explode(F.sequence(first, F.col("last"))).alias("part"),
+        F.lit(SYSTEM).alias("kind")).select(rows.columns)
+    dealt = rows.union(history).union(system).repartition("conv_id", "part").sortWithinPartitions(
+        "conv_id", "part", "kind", "turn", "role", "text")
+    return dealt.select("conv_id", "part", "role", "text", "tokens", "kind").mapInArrow(
+        _windows(budget, history_turns, history_tokens), _WINDOW_SQL)
 
 
 def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

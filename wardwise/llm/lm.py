@@ -1,12 +1,18 @@
-"""Language-model scoring with a hashed maximum-entropy model.
-
-A token's probability is P(class | history) * P(member | class, history) * P(token | bucket). The first two are
-softmax models of CLASSES and MEMBERS outcomes over hashed features of the history: the word before, the
-last two words, and the second and third word back on their own (skips). A bucket is one (class,
-member); the OWN most frequent tokens have one each, the others share the rest by hash, with smoothed
-counts inside. Training runs in rounds over disjoint shares of the training documents: every task takes
-gradient steps on its texts from the broadcast weights, and the steps are averaged row by row.
-Counts and rounds cover all training documents.
+"""Language-model scoring with a hashed maximum-entropy model whose size follows the corpus.
+
+A token's probability is P(class | history) * P(member | class, history) * P(token | cell). The first two are
+softmax models over hashed features of the history: the word before, the last two words, and the word
+before with the third word back (a skip). A word's class comes from its last two bytes; frequent words own a member
+of their class, the others share the rest by hash, with smoothed counts inside. Classes and members grow
+with the number of distinct words.
+
+Every feature holds the word before, so tokens are dealt into shards by that word's hash and a shard keeps the
+weights of its features alone: there are as many shards as the training tokens fill, each with SLOTS rows a
+feature and model, and no weight leaves its shard. A word before so many tokens that they would fill a good part
+of a shard is dealt over several by document, each with weights of its own. Tokens travel as compressed arrays of slots, not as
+rows. A shard puts its training tokens into an order of their own, by a hash of what they hold, takes
+gradient steps over batches of them, and then scores all its tokens in sparse numpy batches; sums per document
+come back. So the scores depend on the table alone, not on how it is partitioned.
 """
 
 from __future__ import annotations
@@ -20,218 +26,328 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardwise.llm import words as W
+from wardwise.llm.rows import spread_join
 from wardwise.session import Temporary, materialize
 
-CLASSES = MEMBERS = 16
-OWN_BITS = 7
-OWN = 1 << OWN_BITS
-BUCKETS = CLASSES * MEMBERS
-SLOT_BITS = 12
+#: Rows of weights a feature and model in each shard, and the training tokens that ask for one more shard.
+SLOT_BITS, SHARD_TOKENS = 16, 1 << 21
 SLOTS = 1 << SLOT_BITS
-#: Counts of so many frequent words travel with the tasks (4 MB); the others are joined by shuffle.
+HOT_TOKENS = SHARD_TOKENS >> 2
+TEMPLATES = 3
+#: Counts of so many frequent words travel with the tasks (some 6 MB); the others are joined by shuffle.
 FREQUENT = 1 << 18
-ROUNDS, RATE, STEP_BYTES = 2, 0.25, 1 << 18
+BATCH, RATE, START_SUM = 4096, 0.35, 0.5
+#: Texts of so many bytes share one array per shard.
+BLOCK = 1 << 22
 END, START = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
+_SALTS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AFD7ED558CCD)]
 
 
 def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def _tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[W.Words, np.ndarray, np.ndarray]:
-    """(words, tokens with an end after each text, each token's place in its text)."""
+def _tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, tokens with an end after each text, each token's place in its text, its last two bytes)."""
     w = W.Words(buf, offsets, W.NOT_SPACE, W.FOLDED)
     tokens = np.insert(w.hashes, w.first[1:], END)
     sizes = w.counts + 1
     place = np.arange(tokens.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return w, tokens, place
+    last = W._FOLD[buf[w.ends - 1]] if w.ends.size else np.zeros(0, int)
+    before = np.where(w.ends - w.starts > 1, W._FOLD[buf[np.maximum(w.ends - 2, 0)]], 0) if w.ends.size else last
+    return w, tokens, place, np.insert(before * 256 + last, w.first[1:], 1 << 16)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
 
     def flush():
-        keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        n = np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+        keys, first, back = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+        n = np.bincount(back, np.concatenate([h[1] for h in held])).astype(np.int64)
+        tails = np.concatenate([h[2] for h in held])[first]
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(W.signed(keys)), pa.array(n)], ["token", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(W.signed(keys)), pa.array(n), pa.array(tails, pa.int32())], ["token", "n", "tail"])
 
     for _, buf, offsets in W.pieces(batches):
-        held.append(np.unique(_tokens(buf, offsets)[1], return_counts=True))
+        _, tokens, _, tails = _tokens(buf, offsets)
+        keys, first, n = np.unique(tokens, return_index=True, return_counts=True)
+        held.append((keys, n, tails[first]))
         if len(held) == 16:
             yield flush()
     if held:
         yield flush()
 
 
+@dataclass
+class Cells:
+    """Classes and members of words: the frequent words' own cells, and the counts of all cells."""
+
+    side: int
+    keys: np.ndarray
+    n: np.ndarray
+    cell: np.ndarray
+    mass: np.ndarray
+    #: Words that many tokens follow, and over how many shards these go.
+    hot: np.ndarray
+    parts: np.ndarray
+
+    @classmethod
+    def shared(cls, side: int, tokens: np.ndarray, tails: np.ndarray) -> np.ndarray:
+        """The shared cell of a token: class by its last bytes, member among the upper half by hash."""
+        classes = W.mix(tails.astype(np.uint64) + np.uint64(17)) % np.uint64(side)
+        members = np.uint64(side // 2) + (W.mix(tokens) >> np.uint64(40)) % np.uint64(side // 2)
+        return (classes * np.uint64(side) + members).astype(np.int64)
+
+    def look_up(self, tokens: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index among the frequent words or -1, cell)."""
+        out = self.shared(self.side, tokens, tails)
+        if not self.keys.size:
+            return np.full(tokens.size, -1), out
+        at = np.searchsorted(self.keys, tokens)
+        at[at == self.keys.size] = 0
+        known = self.keys[at] == tokens
+        return np.where(known, at, -1), np.where(known, self.cell[at], out)
+
+
 @dataclass
 class Counts:
-    """Token counts of the training documents: whole table, totals, and the frequent ones as arrays."""
+    """Token counts of the training documents: whole table, totals, and the cells."""
 
     table: DataFrame
     total: int
     distinct: int
-    keys: np.ndarray
-    n: np.ndarray
-    bucket: np.ndarray
-    bucket_total: np.ndarray
+    cells: Cells
+
+
+def classes_for(distinct: int) -> int:
+    """Classes, and members of each: a power of two that grows as the fifth root of the distinct words."""
+    return max(8, 1 << round(np.log2(max(distinct, 2)) / 5))
+
+
+def _masses(side: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * side)
+        for b in batches:
+            cell = Cells.shared(side, b.column("token").to_numpy().view(np.uint64), b.column("tail").to_numpy().astype(np.int64))
+            total += np.bincount(cell, b.column("n").to_numpy() + 0.5, side * side)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(side * side)), pa.array(total)], ["cell", "mass"])
+
+    return run
 
 
 def count_tokens(docs: DataFrame) -> Counts:
-    table = materialize(docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(_count, "token long, n long")
-                        .groupBy("token").agg(F.sum("n").alias("n")), "counts")
+    table = materialize(docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(_count, "token long, n long, tail int")
+                        .groupBy("token").agg(F.sum("n").alias("n"), F.first("tail").alias("tail")), "counts")
     total, distinct = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+    side = classes_for(distinct)
     top = table.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    keys, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    shared = OWN + (keys >> np.uint64(64 - OWN_BITS)).astype(np.int64)
-    bucket = np.where(np.arange(keys.size) < OWN, np.arange(keys.size), shared)
-    mass = np.full(2 * OWN, 0.5)
-    for b, s, v in table.groupBy(F.shiftrightunsigned("token", 64 - OWN_BITS)).agg(F.sum("n"), F.count("n")).collect():
-        mass[OWN + int(b)] += s + 0.5 * v
-    for i in range(min(OWN, keys.size)):
-        mass[i] += n[i] + 0.5
-        mass[shared[i]] -= n[i] + 0.5
+    keys, n, tails = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy().astype(np.int64), top["tail"].to_numpy().astype(np.int64)
+    cell = Cells.shared(side, keys, tails)
+    mass = np.full(side * side, 0.5)
+    # as many rows as there are cells
+    for c, m in table.select("token", "n", "tail").mapInArrow(_masses(side), "cell long, mass double").groupBy("cell").agg(F.sum("mass")).collect():
+        mass[c] += m
+    # the most frequent words own the lower members of their classes
+    free = np.zeros(side, int)
+    for i in range(min(keys.size, 8 * side * side)):
+        c = cell[i] // side
+        if free[c] < side // 2:
+            mass[cell[i]] -= n[i] + 0.5
+            cell[i] = c * side + free[c]
+            mass[cell[i]] += n[i] + 0.5
+            free[c] += 1
+    # a text starts where another ends
+    many = n > HOT_TOKENS
+    hot = np.where(keys[many] == END, START, keys[many])
+    parts, by_key = n[many] // HOT_TOKENS + 1, np.argsort(hot)
     order = np.argsort(keys)
-    return Counts(table, total, distinct, keys[order], n[order].astype(np.int64), bucket[order], mass)
-
+    return Counts(table, total, distinct, Cells(side, keys[order], n[order], cell[order], mass, hot[by_key], parts[by_key]))
 
-@dataclass
-class Model:
-    """Row r of `weights` belongs to a feature slot: SLOTS rows for classes, SLOTS for members, then
-    the start values: one row for classes and one per class for its members."""
 
-    keys: np.ndarray
-    n: np.ndarray
-    bucket: np.ndarray
-    log_mass: np.ndarray
-    weights: np.ndarray
+# --- tokens into shards -----------------------------------------------------------------------
 
-    def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index among the frequent words or -1, bucket)."""
-        at = np.searchsorted(self.keys, tokens)
-        at[at == self.keys.size] = 0
-        known = self.keys[at] == tokens if self.keys.size else np.zeros(tokens.size, bool)
-        at = np.where(known, at, -1)
-        shared = OWN + (tokens >> np.uint64(64 - OWN_BITS)).astype(np.int64)
-        return at, np.where(known, self.bucket[at] if self.keys.size else 0, shared)
-
-
-def _histories(tokens: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+def _slots(tokens: np.ndarray, place: np.ndarray, keys: np.ndarray, cells: Cells, n_shards: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(shard, slot of each template): the word before; it and the second; it and the third word back. keys
+    are the documents' of the tokens."""
     def back(s: int) -> np.ndarray:
         out = np.full(tokens.size, START)
-        out[s:] = tokens[:-s] if s < tokens.size else out[s:]
+        if s < tokens.size:
+            out[s:] = tokens[:-s]
         out[place < s] = START
         return out
 
     one, two, three = back(1), back(2), back(3)
-    return [one, two * np.uint64(3) + one * np.uint64(5), two + np.uint64(11), three + np.uint64(13)]
-
-
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return (W.mix(keys) >> np.uint64(64 - SLOT_BITS)).astype(np.uint16)
-
-
-def _softmax(base: np.ndarray, weights: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
-    """Log probabilities, one row per token."""
-    z = base + weights[slots[0]]
-    for s in slots[1:]:
-        z += weights[s]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def _forward(model: Model, tokens: np.ndarray, place: np.ndarray, bucket: np.ndarray):
-    """(target, slots, log probabilities) of the class and of the member model."""
-    cls, member = bucket % CLASSES, bucket // CLASSES
-    histories = _histories(tokens, place)
-    by_class = [_slots(h) for h in histories]
-    salt = W.mix(cls.astype(np.uint64) + np.uint64(101))
-    by_member = [_slots(h ^ salt) for h in histories]
-    start = model.weights[2 * SLOTS:]
-    return ((cls, by_class, _softmax(start[0], model.weights[:SLOTS], by_class)),
-            (member, by_member, _softmax(start[1 + cls], model.weights[SLOTS:2 * SLOTS], by_member)))
-
-
-def _start_weights(counts: Counts) -> np.ndarray:
-    share = counts.bucket_total.reshape(MEMBERS, CLASSES).T
-    out = np.zeros((2 * SLOTS + 1 + CLASSES, CLASSES), np.float32)
-    out[2 * SLOTS] = np.log(share.sum(axis=1) / share.sum())
-    out[2 * SLOTS + 1:] = np.log(share / share.sum(axis=1, keepdims=True))
-    return out
-
-
-def _steps(model):
-    """Gradient steps of one task; a row per touched feature slot with the change of its weights."""
-    schema = "slot int, " + ", ".join(f"v{i} double" for i in range(CLASSES))
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        from copy import copy
-
-        own = copy(model.value)
-        own.weights = own.weights.copy()
-        seen = np.ones((2 * SLOTS, CLASSES), np.float32)
-        for _, buf, offsets in W.pieces(batches, limit=STEP_BYTES):
-            _, tokens, place = _tokens(buf, offsets)
-            _, bucket = own.look_up(tokens)
-            for shift, (target, slots, logs) in zip((0, SLOTS), _forward(own, tokens, place, bucket)):
-                error = -np.exp(logs)
-                error[np.arange(target.size), target] += 1
-                total = np.zeros((SLOTS, CLASSES), np.float32)
-                for s in slots:
-                    order = np.argsort(s, kind="stable")
-                    at = np.flatnonzero(np.diff(s[order], prepend=-1))
-                    total[s[order][at]] += np.add.reduceat(error[order], at, axis=0)
-                seen[shift:shift + SLOTS] += total ** 2
-                own.weights[shift:shift + SLOTS] += RATE * total / np.sqrt(seen[shift:shift + SLOTS])
-        moved = own.weights[:2 * SLOTS] - model.value.weights[:2 * SLOTS]
-        rows = np.flatnonzero(np.any(moved != 0, axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int32()), *(pa.array(moved[rows, i].astype(np.float64)) for i in range(CLASSES))],
-            ["slot", *(f"v{i}" for i in range(CLASSES))])
+    shard = W.mix(one) >> np.uint64(32)
+    if cells.hot.size:
+        at = np.minimum(np.searchsorted(cells.hot, one), cells.hot.size - 1)
+        parts = np.where(cells.hot[at] == one, cells.parts[at], 1).astype(np.uint64)
+        shard = shard + (W.mix(keys.astype(np.uint64)) >> np.uint64(20)) % parts
+    shard %= np.uint64(n_shards)
+    keys = [W.mix(one ^ _SALTS[0]), W.mix(W.mix(one) + two * _SALTS[1]), W.mix(W.mix(one) + three * _SALTS[2])]
+    return shard.astype(np.int64), [(k >> np.uint64(64 - SLOT_BITS)).astype(np.uint16) for k in keys]
+
+
+_EVENTS = "shard int, docs binary, counts binary, slots binary, cells binary"
+_CODEC = "zstd"
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays byte by byte, low bytes together, compressed; the size before compression comes first."""
+    raw = b"".join(a.view(np.uint8).reshape(a.size, -1).T.tobytes() for a in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, _CODEC, asbytes=True)
+
+
+def _unpack(data: bytes, kind, n: int, k: int) -> list[np.ndarray]:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), _CODEC, asbytes=True), np.uint8)
+    return [np.ascontiguousarray(p.reshape(size, n).T).reshape(-1).view(kind) for p in raw.reshape(k, -1)] if n else [np.zeros(0, kind)] * k
+
+
+def _deal(sent, n_shards: int):
+    """Per block of texts and shard one row: the documents with tokens there, how many each, and the tokens."""
+    names = ["shard", "docs", "counts", "slots", "cells"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = sent.value
+        for rows, buf, offsets in W.pieces(batches, limit=BLOCK):
+            w, tokens, place, tails = _tokens(buf, offsets)
+            doc = np.repeat(np.arange(len(rows)), w.counts + 1)
+            keys = (rows.column("key").to_numpy() << 1) | rows.column("held").to_numpy(zero_copy_only=False).astype(np.int64)
+            _, cell = cells.look_up(tokens, tails)
+            shard, slots = _slots(tokens, place, keys[doc], cells, n_shards)
+            order = np.argsort((shard.astype(np.uint64) << np.uint64(44)) | (doc.astype(np.uint64) << np.uint64(16)) | slots[0])
+            shard, doc, cell = shard[order], doc[order], cell[order].astype(np.uint32)
+            slots = [s[order] for s in slots]
+            bounds = np.searchsorted(shard, np.arange(n_shards + 1))
+            out = []
+            for s in range(n_shards):
+                a, b = bounds[s], bounds[s + 1]
+                if a < b:
+                    some, counts = np.unique(doc[a:b], return_counts=True)
+                    out.append((s, keys[some].tobytes(), _pack(counts.astype(np.uint32)), _pack(*(x[a:b] for x in slots)), _pack(cell[a:b])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), *[pa.binary()] * 4))], names)
+
+    return run
+
+
+# --- the model of a shard ---------------------------------------------------------------------
+
+class Shard:
+    """Weights of the class model and of the member model, a row per slot and template."""
+
+    def __init__(self, cells: Cells, batch: int = BATCH):
+        side = self.side = cells.side
+        self.batch = batch
+        self.weights = [np.zeros((TEMPLATES * SLOTS, side), np.float32) for _ in range(2)]
+        self.seen = [np.full(TEMPLATES * SLOTS, START_SUM, np.float32) for _ in range(2)]
+        share = cells.mass.reshape(side, side)
+        self.classes = np.log(share.sum(axis=1) / share.sum()).astype(np.float32)
+        self.members = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    def rows(self, slots: list[np.ndarray], cls: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Rows of weights for the class and for the member, whose features hold the class."""
+        by_class = [s.astype(np.int64) + i * SLOTS for i, s in enumerate(slots)]
+        turn = cls * 40503 + 12345
+        return by_class, [((s + turn) & (SLOTS - 1)) + i * SLOTS for i, s in enumerate(slots)]
+
+    def forward(self, slots: list[np.ndarray], cls: np.ndarray) -> list[tuple[list[np.ndarray], np.ndarray]]:
+        """(rows, log probabilities of all outcomes) of both models."""
+        out = []
+        for rows, weights, base in zip(self.rows(slots, cls), self.weights, (self.classes, self.members[cls])):
+            z = base + weights[rows[0]]
+            for r in rows[1:]:
+                z += weights[r]
+            z -= z.max(axis=1, keepdims=True)
+            z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+            out.append((rows, z))
+        return out
 
-    return run, schema
+    def step(self, slots: list[np.ndarray], cell: np.ndarray) -> None:
+        """One step on a batch: per row the sum of its errors, by a rate that falls with what the row has seen."""
+        cls, member = cell // self.side, cell % self.side
+        for (rows, logs), target, weights, seen in zip(self.forward(slots, cls), (cls, member), self.weights, self.seen):
+            error = -np.exp(logs)
+            error[np.arange(target.size), target] += 1
+            for r in rows:
+                order = np.argsort(r, kind="stable")
+                first = np.flatnonzero(np.diff(r[order], prepend=-1))
+                total = np.add.reduceat(error[order], first, axis=0)
+                at = r[order][first]
+                seen[at] += (total * total).sum(axis=1)
+                weights[at] += RATE * total / np.sqrt(seen[at])[:, None]
+
+    def train(self, slots: list[np.ndarray], cell: np.ndarray) -> None:
+        """Batches in an order that only what the tokens hold decides."""
+        held = sum((s.astype(np.uint64) << np.uint64(SLOT_BITS * i) for i, s in enumerate(slots)), np.zeros(cell.size, np.uint64))
+        order = np.argsort(W.mix(held ^ W.mix(cell.astype(np.uint64))), kind="stable")
+        for lo in range(0, cell.size, self.batch):
+            at = order[lo:lo + self.batch]
+            self.step([s[at] for s in slots], cell[at])
+
+    def log10(self, slots: list[np.ndarray], cell: np.ndarray) -> np.ndarray:
+        """log10 of the cell's probability."""
+        out = np.empty(cell.size)
+        for lo in range(0, cell.size, BATCH):
+            c = cell[lo:lo + BATCH]
+            cls, member = c // self.side, c % self.side
+            (_, a), (_, b) = self.forward([s[lo:lo + BATCH] for s in slots], cls)
+            each = np.arange(c.size)
+            out[lo:lo + BATCH] = (a[each, cls] + b[each, member]).astype(float) / np.log(10)
+        return out
 
 
-def train(docs: DataFrame, counts: Counts) -> Model:
-    """Rounds of averaged gradient steps; every training document takes part in one round."""
-    spark = docs.sparkSession
-    model = Model(counts.keys, counts.n, counts.bucket, np.log10(counts.bucket_total), _start_weights(counts))
-    texts = docs.where(~held_out(F.col("doc_id")))
-    for r in range(ROUNDS):
-        share = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == r).select("text")
-        sent = spark.sparkContext.broadcast(model)
-        run, schema = _steps(sent)
-        # at most 2 * SLOTS rows come back
-        mean = share.mapInArrow(run, schema).groupBy("slot").agg(*(F.avg(f"v{i}").alias(f"v{i}") for i in range(CLASSES))).toArrow()
-        weights = model.weights.copy()
-        if mean.num_rows:
-            weights[mean["slot"].to_numpy()] += np.stack([mean[f"v{i}"].to_numpy() for i in range(CLASSES)], axis=1).astype(np.float32)
-        sent.unpersist()
-        model = Model(model.keys, model.n, model.bucket, model.log_mass, weights)
-    return model
-
-
-def _scores(model):
-    schema = "doc_id long, words_hash long, n_tokens long, n_known long, log_counts double, shape double, rare array<long>"
+def _model(sent, size: int):
+    """Per shard: train on its tokens of training documents, then the sum of each document's tokens."""
+    def finished(cells: Cells, held: list[tuple]) -> pa.RecordBatch:
+        keys = np.concatenate([np.repeat(k, c) for k, c, _, _ in held])
+        slots = [np.concatenate([s[i] for _, _, s, _ in held]) for i in range(TEMPLATES)]
+        cell = np.concatenate([c for *_, c in held]).astype(np.int64)
+        held.clear()
+        model, learns = Shard(cells, size), keys & 1 == 0
+        model.train([s[learns] for s in slots], cell[learns])
+        some, back = np.unique(keys, return_inverse=True)
+        sums = np.bincount(back, model.log10(slots, cell))
+        return pa.RecordBatch.from_arrays([pa.array(some >> 1), pa.array(sums)], ["key", "log10"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, now, held = sent.value, None, []
+        for batch in batches:
+            for shard, docs, counts, slots, cell in zip(*(batch.column(c) for c in ("shard", "docs", "counts", "slots", "cells"))):
+                if shard.as_py() != now and held:
+                    yield finished(cells, held)
+                now = shard.as_py()
+                keys = np.frombuffer(docs.as_py(), np.int64)
+                counts = _unpack(counts.as_py(), np.uint32, keys.size, 1)[0]
+                n = int(counts.sum())
+                held.append((keys, counts, _unpack(slots.as_py(), np.uint16, n, TEMPLATES), _unpack(cell.as_py(), np.uint32, n, 1)[0]))
+        if held:
+            yield finished(cells, held)
+
+    return run
+
+
+# --- documents --------------------------------------------------------------------------------
+
+def _read(sent):
+    """Per document its tokens, and what needs no model: log counts of frequent words and log masses of cells."""
+    schema = "doc_id long, key long, n_tokens long, n_known long, log_counts double, log_mass double, rare array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]):
-        m = model.value
+        cells = sent.value
+        mass = np.log10(cells.mass)
         for rows, buf, offsets in W.pieces(batches):
-            w, tokens, place = _tokens(buf, offsets)
-            at, bucket = m.look_up(tokens)
-            (cls, _, a), (member, _, b) = _forward(m, tokens, place, bucket)
-            each = np.arange(tokens.size)
-            shape = (a[each, cls] + b[each, member]).astype(np.float64) / np.log(10) - m.log_mass[bucket]
-            log_n = np.where(at >= 0, np.log10(m.n[at] + 0.5) if m.n.size else 0.0, 0.0)
+            w, tokens, _, tails = _tokens(buf, offsets)
+            at, cell = cells.look_up(tokens, tails)
             bounds = w.first + np.arange(w.first.size)
+            log_n = np.where(at >= 0, np.log10(cells.n[at] + 0.5) if cells.n.size else 0.0, 0.0)
             rare = at < 0
             rare_bounds = np.concatenate([[0], np.cumsum(rare)])[bounds]
             yield pa.RecordBatch.from_arrays([
-                rows.column("doc_id"), pa.array(W.signed(w.text_hashes())), pa.array(np.diff(bounds), pa.int64()),
+                rows.column("doc_id"), rows.column("key"), pa.array(np.diff(bounds), pa.int64()),
                 pa.array(np.diff(bounds) - np.diff(rare_bounds), pa.int64()),
-                pa.array(np.add.reduceat(log_n, bounds[:-1])), pa.array(np.add.reduceat(shape, bounds[:-1])),
+                pa.array(np.add.reduceat(log_n, bounds[:-1])), pa.array(np.add.reduceat(mass[cell], bounds[:-1])),
                 W.listed(W.signed(tokens[rare]), rare_bounds, pa.int64())],
-                ["doc_id", "words_hash", "n_tokens", "n_known", "log_counts", "shape", "rare"])
+                ["doc_id", "key", "n_tokens", "n_known", "log_counts", "log_mass", "rare"])
 
     return run, schema
 
@@ -240,7 +356,8 @@ def score(docs: DataFrame) -> DataFrame:
     """One row per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the whole text, A-Z in lower case, and one end. base_score is the smoothed unigram
-    log10 probability, score the model's. A null text is empty and has the end only; without training
+    log10 probability, score the model's. A null text is empty and has the end only; a null doc_id learns.
+    Repeated rows learn as often as they stand and score alike; other columns are ignored. Without training
     documents every token is unknown.
     """
     with Temporary(docs.sparkSession) as tables:
@@ -248,23 +365,32 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def _scored(docs: DataFrame) -> DataFrame:
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = count_tokens(texts)
-    model = train(texts, counts)
-    run, schema = _scores(docs.sparkSession.sparkContext.broadcast(model))
-    scored = materialize(texts.mapInArrow(run, schema), "scored")
+    cells = spark.sparkContext.broadcast(counts.cells)
+    # equal rows have one key, of 62 bits, and equal scores
+    key = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), 2)
+    keyed = texts.withColumns({"key": key, "held": held_out(F.col("doc_id"))})
+    run, schema = _read(cells)
+    read = materialize(keyed.select("doc_id", "key", "text").mapInArrow(run, schema), "read")
+
+    n_shards = counts.total // SHARD_TOKENS + 8
+    dealt = keyed.select("key", "held", "text").mapInArrow(_deal(cells, n_shards), _EVENTS)
+    dealt = dealt.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard")
+    modelled = dealt.mapInArrow(_model(cells, BATCH), "key long, log10 double").groupBy(F.col("key").alias("_key")).agg(F.sum("log10").alias("log10"))
     # rare words: counts by shuffle; equal rows are joined once
-    rare = (scored.where("size(rare) > 0").dropDuplicates(["doc_id", "words_hash"])
-            .select("doc_id", "words_hash", F.explode("rare").alias("token"))
-            .join(counts.table, "token", "left")
-            .groupBy("doc_id", "words_hash").agg(
-                F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_logs"), F.count("n").alias("rare_known"))
-            .select(F.col("doc_id").alias("_id"), F.col("words_hash").alias("_hash"), "rare_logs", "rare_known"))
-    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("words_hash") == F.col("_hash"))
-    logs = F.col("log_counts") + F.coalesce("rare_logs", F.lit(0.0))
+    once = materialize(read.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("rare").alias("rare")), "once")
+    rare = (once.where("size(rare) > 0").select("key", F.explode("rare").alias("token"))
+            .join(counts.table.select("token", "n"), "token", "left").groupBy(F.col("key").alias("_rare"))
+            .agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_logs"), F.count("n").alias("rare_known")))
+    label = once.select("key", "copies").join(modelled, F.col("key") == F.col("_key")).join(rare, F.col("key") == F.col("_rare"), "left")
+    label = materialize(label.select("key", (F.col("log10") / F.col("copies")).alias("log10"), F.coalesce("rare_logs", F.lit(0.0)).alias("rare_logs"),
+                         F.coalesce("rare_known", F.lit(0)).alias("rare_known")), "label")
+    logs = F.col("log_counts") + F.col("rare_logs")
     unit = float(np.log10(counts.total + 0.5 * (counts.distinct + 1)))
-    return scored.join(rare, met, "left").select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(counts.total).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(unit)).alias("base_score"), (logs + F.col("shape")).alias("score"))
+    met = spread_join(read.drop("rare"), label, ["key"], once.select("key", F.col("copies").alias("n")))
+    return met.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("n_known") + F.col("rare_known")).alias("n_known"),
+        F.lit(counts.total).cast("long").alias("train_tokens"), (logs - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
+        (logs - F.col("log_mass") + F.col("log10")).alias("score"))
