@@ -206,8 +206,12 @@ def train(docs: DataFrame, bound: int = BOUND) -> Model | None:
     while len(langs) << bits > WEIGHTS and bits > 8:
         bits -= 1
     each = max(1, bound // len(langs))
-    order = F.xxhash64("key", F.lit(3))
-    drawn = distinct.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(order, "key"))).where(F.col("place") <= each)
+    # of a language of many texts about twice as many are ranked, by hash
+    order = F.shiftrightunsigned(F.xxhash64("key", F.lit(3)), 12)
+    sizes = materialize(distinct.groupBy(F.col("lang").alias("_of")).count(), "sizes")
+    few = distinct.join(F.broadcast(sizes), F.col("lang") == F.col("_of")).where(
+        order.cast("double") * F.col("count") <= float((2 * each + 64) << 52)).select("lang", "key")
+    drawn = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(order, "key"))).where(F.col("place") <= each)
     numbers = spark.createDataFrame(list(zip(langs, range(len(langs)))), "_lang string, label int")
     drawn = materialize(drawn.join(F.broadcast(numbers), F.col("lang") == F.col("_lang")).select(
         F.col("key").alias("_key"), F.col("lang").alias("_lang"), "label", "place"), "drawn")
