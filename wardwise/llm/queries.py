@@ -22,6 +22,7 @@ from wardwise.llm import (
     sharding,
     token_counts,
 )
+from wardwise.llm.oracles import ORACLES  # noqa: F401  the statements of those that SQL can state
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -129,5 +130,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_secret_scans, op2_token_counts, op3_substring_dedup, op4_sentencepiece, op5_benchmark_decontamination,
     op6_lm_scoring, op7_sharding, op8_quality_rules, op9_chat_formatting, op10_jaccard_join, op11_merkle_manifest, op12_language_id,
     op13_conversation_trie)}
-#: SQL states none of them: hashes of the engine, fitted models and digests of streams are not in DuckDB.
-ORACLES: dict[str, str] = {}
