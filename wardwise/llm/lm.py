@@ -34,8 +34,8 @@ SLOT_BITS, SHARD_TOKENS = 16, 1 << 21
 SLOTS = 1 << SLOT_BITS
 HOT_TOKENS = SHARD_TOKENS >> 2
 TEMPLATES = 3
-#: Counts of so many frequent words travel with the tasks (some 6 MB); the others are joined by shuffle.
-FREQUENT = 1 << 18
+#: Counts of so many frequent words travel with the tasks (some 12 MB); the others are joined by shuffle.
+FREQUENT = 1 << 19
 BATCH, RATE, START_SUM = 4096, 0.35, 0.5
 #: Texts of so many bytes share one array per shard.
 BLOCK = 1 << 22
@@ -302,7 +302,6 @@ def _model(sent, size: int):
         keys = np.concatenate([np.repeat(k, c) for k, c, _, _ in held])
         slots = [np.concatenate([s[i] for _, _, s, _ in held]) for i in range(TEMPLATES)]
         cell = np.concatenate([c for *_, c in held]).astype(np.int64)
-        held.clear()
         model, learns = Shard(cells, size), keys & 1 == 0
         model.train([s[learns] for s in slots], cell[learns])
         some, back = np.unique(keys, return_inverse=True)
@@ -310,18 +309,17 @@ def _model(sent, size: int):
         return pa.RecordBatch.from_arrays([pa.array(some >> 1), pa.array(sums)], ["key", "log10"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, now, held = sent.value, None, []
+        # one shard to a task
+        cells, held = sent.value, {}
         for batch in batches:
             for shard, docs, counts, slots, cell in zip(*(batch.column(c) for c in ("shard", "docs", "counts", "slots", "cells"))):
-                if shard.as_py() != now and held:
-                    yield finished(cells, held)
-                now = shard.as_py()
                 keys = np.frombuffer(docs.as_py(), np.int64)
                 counts = _unpack(counts.as_py(), np.uint32, keys.size, 1)[0]
                 n = int(counts.sum())
-                held.append((keys, counts, _unpack(slots.as_py(), np.uint16, n, TEMPLATES), _unpack(cell.as_py(), np.uint32, n, 1)[0]))
-        if held:
-            yield finished(cells, held)
+                held.setdefault(shard.as_py(), []).append((
+                    keys, counts, _unpack(slots.as_py(), np.uint16, n, TEMPLATES), _unpack(cell.as_py(), np.uint32, n, 1)[0].astype(np.uint16)))
+        for shard in sorted(held):
+            yield finished(cells, held.pop(shard))
 
     return run
 
@@ -377,16 +375,17 @@ def _scored(docs: DataFrame) -> DataFrame:
 
     n_shards = counts.total // SHARD_TOKENS + 8
     dealt = keyed.select("key", "held", "text").mapInArrow(_deal(cells, n_shards), _EVENTS)
-    dealt = dealt.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard")
+    dealt = dealt.repartitionById(n_shards, F.col("shard"))
     modelled = dealt.mapInArrow(_model(cells, BATCH), "key long, log10 double").groupBy(F.col("key").alias("_key")).agg(F.sum("log10").alias("log10"))
-    # rare words: counts by shuffle; equal rows are joined once
-    once = materialize(read.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("rare").alias("rare")), "once")
-    rare = (once.where("size(rare) > 0").select("key", F.explode("rare").alias("token"))
+    # rare words: counts by shuffle
+    once = materialize(read.groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "once")
+    rare = (read.where("size(rare) > 0").select("key", F.explode("rare").alias("token"))
             .join(counts.table.select("token", "n"), "token", "left").groupBy(F.col("key").alias("_rare"))
             .agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_logs"), F.count("n").alias("rare_known")))
     label = once.select("key", "copies").join(modelled, F.col("key") == F.col("_key")).join(rare, F.col("key") == F.col("_rare"), "left")
-    label = materialize(label.select("key", (F.col("log10") / F.col("copies")).alias("log10"), F.coalesce("rare_logs", F.lit(0.0)).alias("rare_logs"),
-                         F.coalesce("rare_known", F.lit(0)).alias("rare_known")), "label")
+    label = materialize(label.select("key", (F.col("log10") / F.col("copies")).alias("log10"),
+                         F.coalesce(F.col("rare_logs") / F.col("copies"), F.lit(0.0)).alias("rare_logs"),
+                         F.coalesce((F.col("rare_known") / F.col("copies")).cast("long"), F.lit(0)).alias("rare_known")), "label")
     logs = F.col("log_counts") + F.col("rare_logs")
     unit = float(np.log10(counts.total + 0.5 * (counts.distinct + 1)))
     met = spread_join(read.drop("rare"), label, ["key"], once.select("key", F.col("copies").alias("n")))
