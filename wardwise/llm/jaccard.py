@@ -41,6 +41,8 @@ CENTRED = 8
 TRIES = 3
 #: Arrow rows are handled in slices of about so many bytes.
 SLICE = 1 << 22
+#: Buckets of a set's tally.
+TALLY = 512
 #: Sets of a group that meet one copy of its pivot's set.
 SET_ROWS = 128
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -184,8 +186,38 @@ def _counted(pairs: DataFrame, column: str) -> DataFrame:
     return pairs.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, n, tally): how many tokens of a set are in each of TALLY buckets, modulo 256."""
+    for batch in _sliced(batches):
+        tallies, n = [], []
+        for tokens in batch.column("tokens"):
+            tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
+            n.append(tokens.size)
+            tallies.append(np.bincount((W.mix(tokens) % np.uint64(TALLY)).astype(np.int64), minlength=TALLY).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(n, pa.int64()), pa.array(tallies, pa.binary())], ["sig", "n", "tally"])
+
+
+def _may_link(percent: int):
+    """The pairs whose sets may differ little enough: buckets differ by no more than the sets do."""
+    def run(batches):
+        for batch in _sliced(batches):
+            keep = []
+            for n, m, x, y in zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), batch.column("x"), batch.column("y")):
+                apart = np.frombuffer(x.as_buffer(), np.uint8) - np.frombuffer(y.as_buffer(), np.uint8)
+                least = np.minimum(apart, 0 - apart).sum(dtype=np.int64)
+                keep.append((100 + percent) * least <= (100 - percent) * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The written pairs (a, b) of signatures whose sets are as similar as asked."""
+    """The written pairs (a, b) of signatures whose written sets are as similar as asked."""
+    tallies = materialize(sets.mapInArrow(_tallied, "sig long, n long, tally binary").dropDuplicates(["sig"]), "tallies")
+    x = tallies.select(F.col("sig").alias("a"), "n", F.col("tally").alias("x"))
+    y = tallies.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("tally").alias("y"))
+    met = spread_join(spread_join(pairs, x, ["a"], _counted(pairs, "a")), y, ["b"], _counted(pairs, "b"))
+    pairs = materialize(met.select("a", "b", "n", "m", "x", "y").mapInArrow(_may_link(percent), "a long, b long"), "near")
     x = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
     met = spread_join(spread_join(pairs, x, ["a"], _counted(pairs, "a")), y, ["b"], _counted(pairs, "b"))
