@@ -60,7 +60,7 @@ class Part:
 class Batch:
     """Parts written as one table (part, side, label, x, draw); `features` is the order of x."""
 
-    def __init__(self, parts: list[Part], features: list[str], label: str = "label", key: str = "encounter_id",
+    def __init__(self, parts: list[Part], features: list[str], label: str = "label", key: str | None = "encounter_id",
                  fit_rows: int = FIT_ROWS, seed: int = K.SEED):
         self.features, self.fit_rows, self.seed = list(features), fit_rows, seed
         self.spark = parts[0].fit.sparkSession
@@ -68,8 +68,9 @@ class Batch:
 
         def rows(df: DataFrame, part: int, side: str) -> DataFrame:
             keys = [F.col(c) for c in (key, "copy") if c in df.columns]
+            draw = seeded_hash(seed, *keys) if keys else F.xxhash64(x)
             return df.select(F.lit(part).alias("part"), F.lit(side).alias("side"), F.col(label).cast("int").alias("label"),
-                             x.alias("x"), seeded_hash(seed, *keys).alias("draw"))
+                             x.alias("x"), draw.alias("draw"))
 
         stacked = [rows(p.fit, i, "fit") for i, p in enumerate(parts)]
         stacked += [rows(df, i, side) for i, p in enumerate(parts) for side, df in p.sides.items()]
@@ -475,9 +476,3 @@ def _score(sent):
                             pa.array(np.tile(labels[rows], len(found)), pa.int32()), pa.array((flat > 0.5).astype(np.int32)), pa.array(flat)], names)
 
     return run
-
-
-def fit_logistic(spark: SparkSession, batch: Batch, fit: Fit) -> tuple[dict[str, float], float]:
-    """(weight by feature, intercept) of one logistic fit."""
-    weights, _ = batch.logistic([fit])[fit]
-    return dict(zip(fit.features, weights[:-1].tolist())), float(weights[-1])

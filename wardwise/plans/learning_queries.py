@@ -14,7 +14,7 @@ from wardwise.operators import unsupervised as U
 from wardwise.plans import study as S
 from wardwise.plans.registry import register
 from wardwise.plans.views import Clinic
-from wardwise.session import scratch_path
+from wardwise.session import materialize, scratch_path
 
 #: The study's grids. Its `solver` and `min_samples_split` have no counterpart in Spark.
 GRIDS = {"RandomForest": {"n_estimators": [100, 300], "max_depth": [5, 10, 20]},
@@ -66,6 +66,24 @@ register("select_features",
          lambda c: G.select_features("MutualInfo", table(c).train, table(c).features, top_n=15))
 register("select_all", lambda c: G.cut(
     G.rank_all(table(c).train, table(c).features), [5, 10, 15]))
+
+
+def _selection_tables(c):
+    """The selection tables of the study's own rankings and sizes, one row per feature."""
+    chosen = materialize(G.cut(G.rank_all(table(c).train, table(c).features), list(TOPS)), "chosen")
+    return G.selection_detail(chosen, list(TOPS), list(METHODS)).join(
+        G.selection_summary(chosen, list(TOPS)), "feature").join(
+        G.common_features(chosen, 1).groupBy("feature").pivot("top_n", list(TOPS)).agg(F.max("methods")).select(
+            "feature", *[F.coalesce(f"`{n}`", F.lit(0)).alias(f"methods_{n}") for n in TOPS]), "feature")
+
+
+def _l1_path(c):
+    found = G.l1_path(table(c).train, table(c).features)
+    return R.result_table(c.spark, [{"c": strength, "feature": f, "weight": w} for strength, some in found.items() for f, w in some.items()])
+
+
+register("selection_tables", _selection_tables)
+register("l1_path", _l1_path)
 register("cross_validate", lambda c: R.result_table(c.spark, [R.cross_validate(
     table(c).train, one_list(c), "LogisticRegression", parallelism=4)]))
 register("cross_validate_balanced", lambda c: R.result_table(c.spark, [R.cross_validate(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wardwise.operators import migration, suite
 from wardwise.plans.registry import register
 from wardwise.plans.suite_queries import RATE
-from wardwise.session import scratch_path
+from wardwise.session import materialize, scratch_path
 from wardwise.sources import readers, writers
 
 
@@ -118,6 +118,14 @@ SELECT method, CAST(ROW_NUMBER() OVER (PARTITION BY method ORDER BY best DESC) A
   feature FROM p""")
 
 
+def _dropped(c, df, *tables):
+    """The rows, written once, with the catalog tables that they were read from dropped."""
+    out = materialize(df, "rows")
+    for table in tables:
+        c.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return out
+
+
 def _create(c):
     place, prefix = scratch_path(c.spark, "store"), f"t{uuid.uuid4().hex[:10]}_"
     writers.create_tables(c.spark, place, prefix)
@@ -138,7 +146,7 @@ def _create(c):
         cells = F.concat_ws("|", *[F.col(n).cast("string") for n in _STORED[name]])
         part = rows.select(F.lit(name).alias("table_name"), cells.alias("cells"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return _dropped(c, out, *(f"{prefix}{name}" for name in filled))
 
 
 _STORED = {
@@ -167,8 +175,8 @@ def _save(c):
     place, table = scratch_path(c.spark, "saved"), f"t{uuid.uuid4().hex[:10]}_saved"
     writers.save_dataframe(c.medications, table, "fail", place)
     writers.save_dataframe(c.medications, table, "append")
-    return c.spark.table(table).groupBy("medication_name", "dosage_change").agg(
-        F.count("*").alias("n"))
+    return _dropped(c, c.spark.table(table).groupBy("medication_name", "dosage_change").agg(
+        F.count("*").alias("n")), table)
 
 
 register("save_dataframe", _save, """
@@ -180,9 +188,10 @@ def _append(c):
     place, prefix = scratch_path(c.spark, "results"), f"t{uuid.uuid4().hex[:10]}_"
     writers.create_tables(c.spark, place, prefix)
     writers.append_model_results(suite.best_models(c.model_results), f"{prefix}model_results")
-    return c.spark.table(f"{prefix}model_results").drop("id", "created_at").select(
+    rows = c.spark.table(f"{prefix}model_results").drop("id", "created_at").select(
         "model_name", "feature_selection_method", "top_n_features",
         *[F.col(m).cast("double").alias(m) for m in suite._METRICS])
+    return _dropped(c, rows, *(f"{prefix}{name}" for name in _STORED))
 
 
 register("append_model_result", _append, """
