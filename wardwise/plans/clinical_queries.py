@@ -123,7 +123,9 @@ register("trim_strings", lambda c: N.trim_strings(_gappy(c).select("patient_id",
          f"WITH {_GAPPY} SELECT patient_id, trim(race) AS race FROM gappy")
 register("stamp_created_at",
          lambda c: N.stamp_created_at(c.encounters.select("encounter_id")))
-register("reorder_columns", lambda c: N.reorder_columns(N.derive_features(c.encounters)))
+register("reorder_columns", lambda c: N.reorder_columns(N.derive_features(c.encounters)), f"""
+SELECT *, {X.MIDPOINT} AS age_midpoint, {X.AGE_GROUP} AS age_group, {X.icd9('diag_1')} AS diag_1_category,
+  {X.icd9('diag_2')} AS diag_2_category, {X.icd9('diag_3')} AS diag_3_category, {X.LEVEL} AS comorbidity FROM {{encounters}}""")
 _INTS = ", ".join(
     f"CAST(trunc(COALESCE({n}, (SELECT MEDIAN({n}) FROM gappy))) AS INT) AS {n}"
     for n in K.MEDIAN_COLUMNS)
