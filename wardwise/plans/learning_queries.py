@@ -123,7 +123,7 @@ def _all_methods(c):
     tables, _ = R.cv_search_all_methods(
         table(c).data, METHODS, lists(c, (SEARCH_TOP,)), SEARCH_TOP, GRIDS, K.CV_FOLDS, balance=balance(c))
     stacked = [R.stack_tables(tables, kind).withColumn("side", F.lit(kind)) for kind in ("val", "test", "cv")]
-    return stacked[0].unionByName(stacked[1]).unionByName(stacked[2], allowMissingColumns=True)
+    return stacked[0].unionByName(stacked[1], allowMissingColumns=True).unionByName(stacked[2], allowMissingColumns=True)
 
 
 register("cv_search_all_methods", _all_methods)
