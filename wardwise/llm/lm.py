@@ -37,8 +37,8 @@ TEMPLATES = 3
 #: Counts of so many frequent words travel with the tasks (some 12 MB); the others are joined by shuffle.
 FREQUENT = 1 << 19
 BATCH, RATE, START_SUM = 4096, 0.35, 0.5
-#: Texts of so many bytes share one array per shard.
-BLOCK = 1 << 22
+#: Texts of so many bytes share one array per shard; sums of so many documents and shards are held at a time.
+BLOCK, MOST_SUMS = 1 << 22, 1 << 21
 END, START = np.uint64(0x6A09E667F3BCC908), np.uint64(0xBB67AE8584CAA73B)
 _SALTS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AFD7ED558CCD)]
 
@@ -187,7 +187,7 @@ def _slots(tokens: np.ndarray, place: np.ndarray, keys: np.ndarray, cells: Cells
     return shard.astype(np.int64), [(k >> np.uint64(64 - SLOT_BITS)).astype(np.uint16) for k in keys]
 
 
-_EVENTS = "shard int, docs binary, counts binary, slots binary, cells binary"
+_EVENTS = "shard int, block long, docs binary, counts binary, slots binary, cells binary"
 _CODEC = "zstd"
 
 
@@ -205,7 +205,7 @@ def _unpack(data: bytes, kind, n: int, k: int) -> list[np.ndarray]:
 
 def _deal(sent, n_shards: int):
     """Per block of texts and shard one row: the documents with tokens there, how many each, and the tokens."""
-    names = ["shard", "docs", "counts", "slots", "cells"]
+    names = ["shard", "block", "docs", "counts", "slots", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = sent.value
@@ -214,6 +214,7 @@ def _deal(sent, n_shards: int):
             doc = np.repeat(np.arange(len(rows)), w.counts + 1)
             keys = (rows.column("key").to_numpy() << 1) | rows.column("held").to_numpy(zero_copy_only=False).astype(np.int64)
             _, cell = cells.look_up(tokens, tails)
+            block = int(W.signed(W.mix(keys.view(np.uint64)).sum(keepdims=True))[0])
             shard, slots = _slots(tokens, place, keys[doc], cells, n_shards)
             order = np.argsort((shard.astype(np.uint64) << np.uint64(44)) | (doc.astype(np.uint64) << np.uint64(16)) | slots[0])
             shard, doc, cell = shard[order], doc[order], cell[order].astype(np.uint32)
@@ -224,8 +225,8 @@ def _deal(sent, n_shards: int):
                 a, b = bounds[s], bounds[s + 1]
                 if a < b:
                     some, counts = np.unique(doc[a:b], return_counts=True)
-                    out.append((s, keys[some].tobytes(), _pack(counts.astype(np.uint32)), _pack(*(x[a:b] for x in slots)), _pack(cell[a:b])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), *[pa.binary()] * 4))], names)
+                    out.append((s, block, keys[some].tobytes(), _pack(counts.astype(np.uint32)), _pack(*(x[a:b] for x in slots)), _pack(cell[a:b])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int64(), *[pa.binary()] * 4))], names)
 
     return run
 
@@ -297,33 +298,57 @@ class Shard:
 
 
 def _model(sent, size: int):
-    """Per shard: train on its tokens of training documents, then the sum of each document's tokens."""
+    """Per shard: train on its tokens of training documents; then per block the sum of each document's tokens."""
+    names = ["block", "docs", "sums"]
+
     def finished(cells: Cells, held: list[tuple]) -> pa.RecordBatch:
-        keys = np.concatenate([np.repeat(k, c) for k, c, _, _ in held])
-        slots = [np.concatenate([s[i] for _, _, s, _ in held]) for i in range(TEMPLATES)]
-        cell = np.concatenate([c for *_, c in held]).astype(np.int64)
-        model, learns = Shard(cells, size), keys & 1 == 0
-        model.train([s[learns] for s in slots], cell[learns])
-        some, back = np.unique(keys, return_inverse=True)
-        sums = np.bincount(back, model.log10(slots, cell))
-        return pa.RecordBatch.from_arrays([pa.array(some >> 1), pa.array(sums)], ["key", "log10"])
+        learns = [np.repeat(keys & 1 == 0, counts) for _, keys, counts, _, _ in held]
+        model = Shard(cells, size)
+        model.train([np.concatenate([h[3][i][at] for h, at in zip(held, learns)]) for i in range(TEMPLATES)],
+                    np.concatenate([h[4][at] for h, at in zip(held, learns)]).astype(np.int64))
+        out = []
+        for block, keys, counts, slots, cell in held:
+            first = np.cumsum(counts) - counts
+            out.append((block, (keys >> 1).tobytes(), np.add.reduceat(model.log10(slots, cell.astype(np.int64)), first).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one shard to a task
         cells, held = sent.value, {}
         for batch in batches:
-            for shard, docs, counts, slots, cell in zip(*(batch.column(c) for c in ("shard", "docs", "counts", "slots", "cells"))):
+            for shard, block, docs, counts, slots, cell in zip(*(batch.column(c) for c in ("shard", "block", "docs", "counts", "slots", "cells"))):
                 keys = np.frombuffer(docs.as_py(), np.int64)
-                counts = _unpack(counts.as_py(), np.uint32, keys.size, 1)[0]
+                counts = _unpack(counts.as_py(), np.uint32, keys.size, 1)[0].astype(np.int64)
                 n = int(counts.sum())
                 held.setdefault(shard.as_py(), []).append((
-                    keys, counts, _unpack(slots.as_py(), np.uint16, n, TEMPLATES), _unpack(cell.as_py(), np.uint32, n, 1)[0].astype(np.uint16)))
+                    block.as_py(), keys, counts, _unpack(slots.as_py(), np.uint16, n, TEMPLATES), _unpack(cell.as_py(), np.uint32, n, 1)[0].astype(np.uint16)))
         for shard in sorted(held):
             yield finished(cells, held.pop(shard))
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over all shards of the documents of some blocks; at most MOST_SUMS parts are held at a time."""
+    held, size = [], 0
+
+    def compact():
+        keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(back, np.concatenate([v for _, v in held]))
+
+    for batch in batches:
+        for docs, sums in zip(batch.column("docs"), batch.column("sums")):
+            held.append((np.frombuffer(docs.as_py(), np.int64), np.frombuffer(sums.as_py(), np.float64)))
+            size += held[-1][0].size
+            if size > MOST_SUMS:
+                held[:] = [compact()]
+                size = 0
+    if held:
+        keys, sums = compact()
+        for lo in range(0, keys.size, 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[lo:lo + (1 << 16)]), pa.array(sums[lo:lo + (1 << 16)])], ["key", "log10"])
+
+
 # --- documents --------------------------------------------------------------------------------
 
 def _read(sent):
@@ -376,7 +401,8 @@ def _scored(docs: DataFrame) -> DataFrame:
     n_shards = counts.total // SHARD_TOKENS + 8
     dealt = keyed.select("key", "held", "text").mapInArrow(_deal(cells, n_shards), _EVENTS)
     dealt = dealt.repartitionById(n_shards, F.col("shard"))
-    modelled = dealt.mapInArrow(_model(cells, BATCH), "key long, log10 double").groupBy(F.col("key").alias("_key")).agg(F.sum("log10").alias("log10"))
+    sums = dealt.mapInArrow(_model(cells, BATCH), "block long, docs binary, sums binary").repartition("block")
+    modelled = sums.select("docs", "sums").mapInArrow(_summed, "key long, log10 double").groupBy(F.col("key").alias("_key")).agg(F.sum("log10").alias("log10"))
     # rare words: counts by shuffle
     once = materialize(read.groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "once")
     rare = (read.where("size(rare) > 0").select("key", F.explode("rare").alias("token"))
