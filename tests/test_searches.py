@@ -128,3 +128,9 @@ def test_fits_read_a_bounded_sample(batch):
     assert len(few.scores([fit]).collect()) == data.filter("split = 'val'").count()
     again = R.search_batch(data.repartition(3), list("abcd"), fit_rows=50)
     assert few.metrics([fit]) == again.metrics([fit])
+
+
+def test_sensitivity_study_runs_analyses_side_by_side(clinic):
+    grids = {"LogisticRegression": {"C": [1.0], "penalty": ["l2"]}, "RandomForest": {"n_estimators": [2, 4], "max_depth": [3]}}
+    rows = S.sensitivity_study(clinic, ["MutualInfo"], 3, grids, 2, ["Main", "Diabetes_diag1"], parallelism=2, even=False).collect()
+    assert {(r.analysis, r.model) for r in rows} == {(a, m) for a in ("Main", "Diabetes_diag1") for m in grids}
