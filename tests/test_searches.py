@@ -121,6 +121,12 @@ def test_first_split_is_the_best_of_all():
     assert np.allclose(tree["value"][1:], [(w * y)[s].sum() / w[s].sum() for s in (side, ~side)])
 
 
+def test_unknown_parameters_raise():
+    for model, params in (("LogisticRegression", {"solver": "x"}), ("Nothing", {})):
+        with pytest.raises(ValueError):
+            Fit.of(model, ["a"], params)
+
+
 def test_fits_read_a_bounded_sample(batch):
     _, _, data, _ = batch
     few = R.search_batch(data, list("abcd"), fit_rows=50)

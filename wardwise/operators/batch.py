@@ -34,6 +34,14 @@ MOST_DEPTH = 30
 CHUNK_BYTES = 48 << 20
 
 
+PARAMETERS = {
+    "LogisticRegression": {"C", "penalty", "max_iter"},
+    "RandomForest": {"n_estimators", "max_depth", "min_samples_leaf"},
+    "GradientBoosting": {"n_estimators", "max_depth", "min_samples_leaf", "learning_rate",
+                         "subsample", "colsample_bytree"},
+}
+
+
 @dataclass(frozen=True)
 class Fit:
     """One asked model: which part's rows it is fitted on, and the sides it is scored on."""
@@ -46,6 +54,8 @@ class Fit:
 
     @classmethod
     def of(cls, model: str, features: list[str], params: dict | None = None, part: int = 0, sides=("val",)) -> Fit:
+        if model not in PARAMETERS or set(params or {}) - PARAMETERS[model]:
+            raise ValueError(f"unknown model or parameter: {model!r} {sorted(params or {})}")
         return cls(model, tuple(features), tuple(sorted((params or {}).items())), part, tuple(sides))
 
 
@@ -400,8 +410,10 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, params: dict, seed: int) -> tuple[
         among = np.zeros(k, bool)
         among[rng.permutation(k)[:max(1, int(some * k))]] = True
         p = 1 / (1 + np.exp(-score))
+        # a row weighs a quarter at most
+        leaf = max(1e-3, (params.get("min_samples_leaf", 1) - 1) / 4)
         tree = grow_tree(bins, np.where(kept, y - p, 0.0), np.where(kept, p * (1 - p), 0.0), params.get("max_depth") or 6,
-                         1e-3, 1.0, lambda level, m: np.broadcast_to(among, (m, k)))  # noqa: B023
+                         leaf, 1.0, lambda level, m: np.broadcast_to(among, (m, k)))  # noqa: B023
         tree["value"] = rate * tree["value"]
         trees.append(tree)
         at = np.zeros(n, int)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from wardwise import constants as K
 from wardwise.functions import clinical as C
 from wardwise.operators import select as G
-from wardwise.operators.batch import Batch, Fit, Part
+from wardwise.operators.batch import PARAMETERS, Batch, Fit, Part
 from wardwise.operators.prepare import stratified_folds
 from wardwise.operators.profile import union_all
 from wardwise.session import materialize
@@ -32,14 +32,6 @@ Balance = Callable[[DataFrame, list[str]], DataFrame]
 METRICS = ["accuracy", "precision", "recall", "f1", "auc"]
 
 
-PARAMETERS = {
-    "LogisticRegression": {"C", "penalty", "max_iter"},
-    "RandomForest": {"n_estimators", "max_depth", "min_samples_leaf"},
-    "GradientBoosting": {"n_estimators", "max_depth", "min_samples_leaf", "learning_rate",
-                         "subsample", "colsample_bytree"},
-}
-
-
 # --- estimators -------------------------------------------------------------------------------
 
 def make_model(name: str, params: dict | None = None, rows: int = 1, seed: int = K.SEED):
