@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from wardwise.operators import cohort as H
@@ -162,6 +163,16 @@ def test_train_and_search(table, spark):
     assert tables["M"]["val"].first().n_iter is not None
 
 
+@pytest.mark.parametrize("name", ["LogisticRegression", "RandomForest", "GradientBoosting"])
+def test_fitted_models_score_after_an_observation(spark, name):
+    """A session that has taken an Observation is no longer serializable."""
+    df = spark.range(200).select((F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 2 * 2.0 + F.rand(1)).alias("a"))
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("n")).collect()
+    model = R.fit(df, ["a"], name, TREES.get(name))
+    assert seen.get["n"] == 200 and R.metrics_of(R.score(model, df, ["a"]))["auc"] == 1.0
+
+
 def test_make_model():
     with pytest.raises(ValueError):
         R.make_model("Nothing")
