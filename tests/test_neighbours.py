@@ -83,3 +83,42 @@ def test_smote(spark, points, block_rows):
     again = B.smote(df.repartition(5), list("abc"), "label", "id", block_rows=block_rows).toPandas()
     key = ["id", "copy"]
     assert np.allclose(out.sort_values(key)[list("abc")], again.sort_values(key)[list("abc")])
+
+
+def _block(rng, n, first, grid):
+    x = rng.integers(0, 3, (n, 4)) + 1e6 if grid else rng.normal(size=(n, 6))
+    x = x.astype(float)
+    x[:3, 1] = [np.nan, np.inf, -np.inf]
+    return pd.DataFrame({"pid": np.arange(n) + first, "w": rng.integers(1, 3, n), "x": list(x)})
+
+
+@pytest.mark.parametrize("grid", [True, False])
+def test_kernels_equal_plain_distances(grid):
+    """Ties, far from the origin, missing and infinite coordinates; a point meets itself."""
+    rng = np.random.default_rng(2)
+    left = _block(rng, 300, 0, grid)
+    right = pd.concat([left[:120], _block(rng, 200, 1000, grid)])
+    with np.errstate(invalid="ignore"):
+        d2 = squared_between(np.stack(left["x"]), np.stack(right["x"]))
+    nid, w = right["pid"].to_numpy(), right["w"].to_numpy()
+    got = B._nearest_kernel(5)(left, right).groupby("pid")
+    for i, p in enumerate(left["pid"]):
+        copies = w - (nid == p)
+        want = [j for j in np.lexsort((nid, d2[i])) if copies[j] > 0 and np.isfinite(d2[i, j])][:5]
+        mine = got.get_group(p) if p in got.groups else got.obj[:0]
+        assert list(mine["nid"]) == list(nid[want]) and list(mine["w"]) == list(copies[want]) and np.allclose(mine["d2"], d2[i][want])
+    for eps in (1.0, 2.0, np.sqrt(2)):
+        assert list(B._count_kernel(eps)(left, right)["n"]) == list((d2 <= eps * eps) @ w)
+
+
+def squared_between(a, b):
+    diff = a[:, None, :] - b[None, :, :]
+    return np.einsum("ijk,ijk->ij", diff, diff)
+
+
+def test_the_blocks_of_few_bytes_are_compared_in_many_tasks(spark, points):
+    df = spark.createDataFrame(points)
+    blocks, edges = B._blocked(B._distinct_points(df, list("abc"), "id"), 3, 8)
+    own = blocks.select("block").distinct().selectExpr("block a", "block b")
+    found = B._compare(blocks, blocks, own, B._nearest_kernel(2), "pid BIGINT, nid BIGINT, w BIGINT, d2 DOUBLE")
+    assert found.rdd.getNumPartitions() == min(own.count(), 32) > 8
