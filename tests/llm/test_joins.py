@@ -71,6 +71,21 @@ def test_pairs_inside_a_group_grow_as_the_group_does(docs, monkeypatch):
     assert total[200] <= 3 * total[100] + 100 and total[400] <= 3 * total[200] + 100
 
 
+def test_only_tokens_that_can_still_link_are_dealt(docs, monkeypatch):
+    """Counts in a sketch of fixed size let ever more tokens through as it filled up."""
+    seen, plain = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name="stage": seen.setdefault(name, plain(df, name)) if name in ("apart", "places") else plain(df, name))
+    rows = list(enumerate([*variants(9, 200, 300, 14), *variants(4, 60, 80, 7)]))
+    out = jaccard._groups(docs(rows), 5, 80).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == linked_groups(rows, 5, 80)
+    holders = collections.defaultdict(list)
+    for r in seen["apart"].collect():
+        for t in r.delta:
+            holders[r.group, t].append((r.comp, r.core))
+    places = seen["places"].collect()
+    assert places and all(len({c for c, _ in holders[p.group, p.token]}) > 1 and not all(core for _, core in holders[p.group, p.token]) for p in places)
+
+
 def test_hot_keys_are_dealt_out(docs, monkeypatch):
     monkeypatch.setattr(jr, "KEY_ROWS", 3)
     monkeypatch.setattr(jaccard, "SET_ROWS", 3)

@@ -268,21 +268,6 @@ def _tested(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "n", "m", "dx", "dy").mapInArrow(_near(percent), "a long, b long")
 
 
-def _token_keys(values: np.ndarray, bounds: np.ndarray, groups: np.ndarray) -> np.ndarray:
-    """A hash per token of a difference that is another one in every group."""
-    return W.mix(values.view(np.uint64) ^ W.mix(np.repeat(groups.view(np.uint64), np.diff(bounds))))
-
-
-def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for batch in _sliced(batches):
-        values, bounds = _lists(batch.column("delta"))
-        keys = _token_keys(values, bounds, batch.column("group").to_numpy())
-        np.add.at(sketch, (keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-    used = np.flatnonzero(sketch)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sketch[used])], ["b", "n"])
-
-
 def _sketch(rows: DataFrame) -> np.ndarray:
     """Counts by bucket from rows (b, n), at most one per bucket after the sum."""
     order = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -291,40 +276,22 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     return order
 
 
-def _rarest(percent: int, rarity):
+def _places(held: DataFrame, percent: int) -> DataFrame:
     """Rows (group, token, sig, n, size, e, pos, core, comp): the rarest tokens of every difference.
 
-    A set whose partners need `o` tokens in common takes all but its o - 1 commonest ones. Tokens that are
-    alone in their bucket are in no other difference.
+    A set whose partners need `o` tokens in common takes all but its o - 1 commonest ones. Tokens that no two
+    sets have which could still be linked (of two components, one of them open) come first and are left out.
     """
-    two = 2 * (100 + percent)
-    names = ["group", "token", "sig", "n", "size", "e", "pos", "core", "comp"]
-    kinds = [pa.int64()] * 3 + [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-
-    def run(batches):
-        order = rarity.value
-        for batch in _sliced(batches):
-            values, bounds = _lists(batch.column("delta"))
-            keys = _token_keys(values, bounds, batch.column("group").to_numpy())
-            often = order[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-            picked, row, pos = [], [], []
-            for i, (e, e0, core) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("e", "e0", "core")))):
-                a, b = bounds[i], bounds[i + 1]
-                shared = max(1, -(-(e - e0 + 1 if core else e + e0) // two))
-                at = np.lexsort((keys[a:b], often[a:b]))[:max(0, b - a - shared + 1)]
-                kept = np.flatnonzero(often[a:b][at] > 1)
-                picked.append(a + at[kept])
-                pos.append(kept)
-                row.append(np.full(kept.size, i))
-            if not row:
-                continue
-            picked, row, pos = np.concatenate(picked), np.concatenate(row), np.concatenate(pos)
-            take = lambda c: batch.column(c).to_numpy(zero_copy_only=False)[row]
-            size = np.diff(bounds)[row]
-            columns = [take("group"), values[picked], take("sig"), take("n"), size, take("e"), pos, take("core"), take("comp")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    return run, "group long, token long, sig long, n long, size long, e long, pos long, core boolean, comp long"
+    need = F.ceil(F.when(F.col("core"), F.col("e") - F.col("e0") + 1).otherwise(F.col("e") + F.col("e0")) / (2 * (100 + percent)))
+    tokens = held.select("group", "sig", "n", F.size("delta").cast("long").alias("size"), "e", "core", "comp",
+                         F.greatest(F.lit(1), need).alias("need"), F.explode("delta").alias("token"))
+    shared = materialize(tokens.groupBy("group", "token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bool_and("core").alias("closed"))
+        .where("lo < hi AND NOT closed").select("group", "token", "n"), "shared")
+    useful = spread_join(tokens, shared.select("group", "token", F.col("n").alias("often")), ["group", "token"], shared)
+    mine = Window.partitionBy("sig")
+    pos = F.col("size") - F.count(F.lit(1)).over(mine) + F.row_number().over(mine.orderBy("often", "token")) - 1
+    return useful.withColumn("pos", pos).where("pos <= size - need").select("group", "token", "sig", "n", "size", "e", "pos", "core", "comp")
 
 
 def _salted(seed: int):
@@ -350,7 +317,6 @@ def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
     at most (1 - t) / (1 + t) of n + m. With e = |d| - (1 - t) / (1 + t) n (here times 100 + percent) that holds
     if the e's sum up to 0 or less; else the differences share at least half the sum, rounded up.
     """
-    spark = groups.sparkSession
     of = groups.select(F.col("root").alias("group"), F.col("id").alias("sig"))
     of = materialize(of.union(of.select("group", F.col("group").alias("sig")).distinct()), "of")
     sizes = materialize(of.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "sizes")
@@ -390,9 +356,7 @@ def _inside(groups: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
     # what is still apart
     named = roots.select(F.col("id").alias("sig"), "root")
     held = materialize(held.join(named, "sig", "left").withColumn("comp", F.coalesce("root", "sig")).drop("root"), "apart")
-    order = _sketch(held.select("group", "delta").mapInArrow(_bucket_counts, "b long, n long"))
-    run, schema = _rarest(percent, spark.sparkContext.broadcast(order))
-    places = materialize(held.select("group", "sig", "n", "delta", "e", "e0", "core", "comp").mapInArrow(run, schema), "places")
+    places = materialize(_places(held, percent), "places")
     other = places.select("group", "token", *(F.col(c).alias(f"{c}2") for c in ("sig", "n", "size", "e", "pos", "core", "comp")))
     # sets whose differences differ much in size are that far apart themselves
     two = 2 * (100 + percent)
