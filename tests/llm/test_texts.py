@@ -265,6 +265,12 @@ def test_lm_against_one_token_at_a_time(spark, docs, monkeypatch):
     assert all(math.isclose(got[d], want[i], rel_tol=1e-4) for i, (d, _) in enumerate(rows))
 
 
+def test_lm_row_maxima():
+    """Column by column, as a reduction over each short row took most of a step."""
+    z = np.random.default_rng(2).normal(size=(500, 16)).astype(np.float32)
+    assert (lm._highest(z) == z.max(axis=1, keepdims=True)).all() and (lm._highest(z[:, :1]) == z[:, :1]).all()
+
+
 def test_lm_scores_do_not_depend_on_partitions(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     one, many = ({r.doc_id: r.score for r in lm.score(table.repartition(n)).collect()} for n in (1, 16))
