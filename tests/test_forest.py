@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardwise.operators import forest as T
 from wardwise.operators import select as G
+from wardwise.operators import train as R
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +43,27 @@ def test_partitions_do_not_matter_and_upper_nodes_are_split_in_passes(data):
     assert T.forest_importances(_rows(data), 30, 1, node_rows=10).argmax() == T.forest_importances(_rows(data), 30, 1).argmax() == 0
 
 
+def test_scores_of_held_rows(data):
+    rest, held = data.where("hash(a, b) % 3 <> 0"), data.where("hash(a, b) % 3 = 0")
+    told = lambda cells: R.metrics_of(cells.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), "n")
+    cells = T.forest_scores(_rows(rest), _rows(held), 60, 30)
+    assert cells.agg(F.sum("n")).first()[0] == held.count()
+    model = R.fit(rest, list("abcde"), "RandomForest", {"n_estimators": 60})
+    spark_s = R.metrics_of(R.score(model, held, list("abcde")))
+    assert all(abs(told(cells)[m] - spark_s[m]) < 0.03 for m in R.METRICS)
+    # upper nodes by passes, whatever the partitions
+    passes = T.forest_scores(_rows(rest), _rows(held), 60, 30, node_rows=150)
+    again = T.forest_scores(_rows(rest.repartition(5)), _rows(held.repartition(3)), 60, 30, node_rows=150)
+    assert sorted(map(tuple, passes.collect())) == sorted(map(tuple, again.collect()))
+    assert abs(told(passes)["auc"] - spark_s["auc"]) < 0.03
+    # one split by a pass: both sides are upper leaves
+    stump = T.forest_scores(_rows(rest), _rows(held), 1, 1, node_rows=10).collect()
+    assert sum(r.n for r in stump) == held.count() and len({r.probability for r in stump}) <= 2
+    # leaves of all rows
+    flat = T.forest_scores(_rows(rest), _rows(held), 3, 30, leaf=10_000).select("probability").distinct().collect()
+    assert len(flat) == 1 and 0 < flat[0][0] < 1
+
+
 def test_a_subtree_is_the_best_of_all_splits():
     rng = np.random.default_rng(1)
     bins, y, w = rng.integers(0, 6, (80, 3)).astype(np.uint8), rng.integers(0, 3, 80), rng.integers(1, 3, 80)

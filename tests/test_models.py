@@ -163,6 +163,17 @@ def test_train_and_search(table, spark):
     assert tables["M"]["val"].first().n_iter is not None
 
 
+def test_folds_fit_no_spark_forest(table, monkeypatch):
+    """Spark's forest of deep trees on all rows did not end; the kept one is fitted when it is asked for."""
+    fitted, plain = [], R.fit
+    monkeypatch.setattr(R, "fit", lambda train, features, name, *rest: fitted.append(name) or plain(train, features, name, *rest))
+    kept, rows = R.train_all(table.train, table.features[:4], TREES, ["LogisticRegression", "RandomForest"], folds=2, balance=S.balance)
+    assert fitted == ["LogisticRegression"] * 2 and [r["model_name"] for r in rows] == list(kept)
+    assert kept["RandomForest"] is kept["RandomForest"] and fitted[2:] == ["RandomForest"]
+    with pytest.raises(KeyError):
+        kept["GradientBoosting"]
+
+
 @pytest.mark.parametrize("name", ["LogisticRegression", "RandomForest", "GradientBoosting"])
 def test_fitted_models_score_after_an_observation(spark, name):
     """A session that has taken an Observation is no longer serializable."""
