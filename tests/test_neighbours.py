@@ -111,6 +111,19 @@ def test_kernels_equal_plain_distances(grid):
         assert list(B._count_kernel(eps)(left, right)["n"]) == list((d2 <= eps * eps) @ w)
 
 
+def test_a_block_returns_only_points_within_a_rows_own_radius():
+    rng = np.random.default_rng(3)
+    left, right = _block(rng, 300, 0, False), _block(rng, 400, 1000, False)
+    left["r2"] = rng.choice([0.0, 2.0, 6.0, np.inf], 300)
+    whole = B._nearest_kernel(5)(left.drop(columns="r2"), right)
+    r2 = left["r2"].to_numpy()[whole["pid"]]
+    want = whole[whole["d2"].to_numpy() <= r2]
+    got = B._nearest_kernel(5)(left, right)
+    assert 0 < len(want) < len(whole) and (got[["pid", "nid", "w"]].to_numpy() == want[["pid", "nid", "w"]].to_numpy()).all()
+    far = right.assign(x=[x + 100 for x in right["x"]])
+    assert not set(left["pid"][left["r2"] < 10][3:]) & set(B._nearest_kernel(5)(left, far)["pid"])
+
+
 def squared_between(a, b):
     diff = a[:, None, :] - b[None, :, :]
     return np.einsum("ijk,ijk->ij", diff, diff)

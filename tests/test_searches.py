@@ -56,6 +56,23 @@ def test_searches_fit_balanced_rows(table, folds):
             assert n[0, r.split, r.label] == r["count"]
 
 
+def test_rows_of_a_side_go_to_all_tasks(spark):
+    """The rows of a side lay in the few files of its table, so one task scored them with all models."""
+    rows = spark.range(4000).selectExpr("id encounter_id", "cast(id % 2 as int) label", "cast(id as double) a").coalesce(1)
+    stored = B.Batch([B.Part(rows, {"val": rows.where("encounter_id % 4 = 0")})], ["a"]).rows
+    files = {r.side: r["count"] for r in stored.selectExpr("side", "input_file_name() f").distinct().groupBy("side").count().collect()}
+    assert stored.count() == 5000 and min(files["fit"], files["val"]) >= spark.sparkContext.defaultParallelism
+
+
+def test_the_cohort_is_read_once(clinic, monkeypatch):
+    """Null shares, class sizes, ranks and split each read the base tables and ranked all encounters."""
+    wrote, plain = {}, S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, name="stage": wrote.setdefault(name, df) and plain(df, name))
+    found = S.analysis_table(clinic, "Main")
+    reads = lambda df: any("lineitem" in f for f in df.inputFiles())
+    assert reads(wrote["cohort"]) and not reads(wrote["split"]) and found.data.count() == wrote["cohort"].count()
+
+
 @pytest.fixture(scope="module")
 def batch(spark):
     rng = np.random.default_rng(5)
