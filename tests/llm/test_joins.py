@@ -71,6 +71,16 @@ def test_pairs_inside_a_group_grow_as_the_group_does(docs, monkeypatch):
     assert total[200] <= 3 * total[100] + 100 and total[400] <= 3 * total[200] + 100
 
 
+def test_a_loose_family_is_one_group(docs, monkeypatch):
+    """Sets joined the group of one band's first only: a family fell into several groups, whose sets all met each other."""
+    seen, plain = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name="stage": (lambda out: seen.update({name: out.count()}) or out)(plain(df, name)))
+    rows = list(enumerate(variants(9, 150, 300, 30)))
+    out = jaccard.jaccard_groups(docs(rows), 5, 80).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == linked_groups(rows, 5, 80)
+    assert seen["pairs"] <= 15
+
+
 def test_only_tokens_that_can_still_link_are_dealt(docs, monkeypatch):
     """Counts in a sketch of fixed size let ever more tokens through as it filled up."""
     seen, plain = {}, jaccard.materialize

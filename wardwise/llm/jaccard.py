@@ -2,7 +2,7 @@
 
 Texts become sets of hashed word shingles. Similar sets are gathered into groups: sets with a min-hash band
 in common are compared, by their least hashes, with the band's first set, and those not far from it join its
-group. The matrix holds, for every token of the sets' prefixes (their rarest tokens), the groups whose
+group; a set that joins several makes them one. The matrix holds, for every token of the sets' prefixes (their rarest tokens), the groups whose
 union has it, with the group's least and largest set and the token's first place. A set queries it with its
 prefix: only other groups whose size and place bounds leave room for the asked overlap are opened, and
 their sets with the token are compared exactly. The prefix is long enough that no link is lost,
@@ -400,7 +400,7 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
               .where("lo <> hi").select("token"))
     entries = materialize(places.join(shared, "token").distinct(), "entries")
 
-    # groups: sets that meet in a band are compared with the band's first; each joins the first of these
+    # groups: sets that meet in a band are compared with the band's first; a set unites the groups of all these
     room = f"100 * n >= {percent} * (n + 1)"
     banded = classes.where(room).select("sig", "mins", F.explode("bands").alias("band"))
     heads = materialize(banded.groupBy("band").agg(F.min(F.struct("sig", "mins")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
@@ -408,7 +408,7 @@ def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     same = F.size(F.filter(F.zip_with("mins", "head_mins", lambda x, y: x == y), lambda x: x))
     meets = spread_join(banded, heads.select("band", "head", "head_mins"), ["band"], heads).where(
         (F.col("sig") != F.col("head")) & (100 * same >= max(percent - APART, 20) * BANDS * ROWS))
-    groups = materialize(components(meets.groupBy(F.col("sig").alias("b")).agg(F.min("head").alias("a"))), "grouped")
+    groups = materialize(components(meets.select(F.col("sig").alias("b"), F.col("head").alias("a"))), "grouped")
     roots = materialize(_inside(groups, texts, classes, shingle, percent), "roots")
 
     # the matrix of tokens and groups, queried by every set in it
