@@ -81,3 +81,18 @@ def test_missing_numbers_are_scored_where_they_were_fitted(spark):
     fits = [Fit.of("RandomForest", ["a"], {"n_estimators": 5}), Fit.of("GradientBoosting", ["a"], {"n_estimators": 5})]
     got = R.search_batch(df, ["a"]).metrics(fits)
     assert all(got[f, "val"]["auc"] > 0.9 for f in fits)
+
+
+def test_folds_fit_no_spark_boosting(data, monkeypatch):
+    """Spark's boosting ran one fold after the other, some jobs a level of every round."""
+    fitted, plain = [], R.fit
+    monkeypatch.setattr(R, "fit", lambda train, features, name, *rest: fitted.append(name) or plain(train, features, name, *rest))
+    params, train = {"GradientBoosting": {"n_estimators": 5, "max_depth": 3}}, data.where("split = 'train'")
+    kept, rows = R.train_all(train, list("abc"), params, ["GradientBoosting"], folds=3)
+    assert fitted == [] and 0.6 < rows[0]["cv_auc"] < 1
+    assert R.train_feature_sets(train, {(3, "M"): list("abc")}, params, ["GradientBoosting"], folds=3).first().cv_auc == rows[0]["cv_auc"]
+    # a single fit is Spark's; both models tell the same rows apart
+    model = kept["GradientBoosting"]
+    val = data.where("split = 'val'")
+    mine = R.held_metrics(train, val, list("abc"), "GradientBoosting", params["GradientBoosting"])
+    assert fitted == ["GradientBoosting"] and abs(mine["auc"] - R.metrics_of(R.score(model, val, list("abc")))["auc"]) < 0.03
