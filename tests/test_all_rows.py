@@ -55,6 +55,19 @@ def test_both_ways_to_split_agree(known):
         assert (a[5] == b[5]).all() and (a[6] == b[6]).all()
 
 
+def test_cuts_are_quantiles_of_all_rows(spark):
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=3000), rng.integers(0, 20, 3000), rng.exponential(size=3000)])
+    x[:700, 2] = 1.0
+    df = spark.createDataFrame([(i, i % 2, "train" if i % 3 else "val", *map(float, r)) for i, r in enumerate(x)],
+                               "encounter_id long, label int, split string, a double, b double, c double")
+    got = R.search_batch(df, list("abc"), 2).edges([0, 2])
+    train = x[np.arange(3000) % 3 > 0]
+    for c, cut in zip((0, 2), (got[0][0], got[0][2])):
+        assert np.array_equal(cut, np.unique(np.quantile(train[:, c], np.arange(1, 32) / 32, method="lower")))
+    assert np.array_equal(got[0][1], np.arange(19) + 0.5) and len(got[2]) == 3 and not np.array_equal(got[2][0], got[0][0])
+
+
 def test_draws_are_of_rows():
     rng = np.random.default_rng(6)
     bins, w0, w1 = rng.integers(0, 9, (4000, 6)).astype(np.uint8), rng.integers(0, 40, 4000), rng.integers(0, 3, 4000)
